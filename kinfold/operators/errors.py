@@ -7,9 +7,11 @@ import random
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from types import SimpleNamespace
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from kinfold.schemas import OUTCOME
 
@@ -138,11 +140,11 @@ def route_errors(
                 streak[0] = 0
                 return success(row, response, int((time.monotonic() - started) * 1000))
 
-    def partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         streak = [0]
         for batch in batches:
-            rows = [out for row in batch.itertuples(index=False) for out in one(row, streak)]
-            frame = pd.DataFrame(rows, columns=ROUTED.names)
-            yield frame.astype({"entityId": "Int64", "attempts": "Int32", "elapsedMs": "Int64"})
+            rows = [out for row in batch.to_pylist() for out in one(SimpleNamespace(**row), streak)]
+            yield pa.RecordBatch.from_pylist(rows, schema=shape)
 
-    return records.select("dataSource", "recordId", "payload").mapInPandas(partition, ROUTED)
+    shape = to_arrow_schema(ROUTED)
+    return records.select("dataSource", "recordId", "payload").mapInArrow(partition, ROUTED)

@@ -7,6 +7,7 @@ instead of the text. Everything here is a column expression over one record.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -122,20 +123,20 @@ def relating_values(featured: DataFrame, ftypes: list[str] = RELATING) -> DataFr
 
 def _combine(ftypes: tuple[str, ...]) -> Column:
     """All value combinations of one record for a rule, as digests."""
-    of_type = lambda t: F.transform(F.filter("features", lambda f: f["ftype"] == t), lambda f: f["value"])
-    combined = of_type(ftypes[0])
-    for t in ftypes[1:]:
-        right = of_type(t)
-        combined = F.flatten(
-            F.transform(combined, lambda a: F.transform(right, lambda b: F.unhex(F.md5(F.concat(a, b)))))
-        )
-    return combined
+
+    def of_type(ftype: str) -> Column:
+        return F.transform(F.filter("features", lambda f: f["ftype"] == ftype), lambda f: f["value"])
+
+    def pair(left: Column, right: Column) -> Column:
+        return F.flatten(F.transform(left, lambda a: F.transform(right, lambda b: F.unhex(F.md5(F.concat(a, b))))))
+
+    return reduce(pair, [of_type(f) for f in ftypes])
 
 
 def link_keys(featured: DataFrame, rules: list[LinkRule] = RULES) -> DataFrame:
     """(record_seq, rule, key): records with an equal key under one rule are the same entity."""
-    per_rule = [
-        F.transform(_combine(rule.ftypes), lambda k, code=rule.code: F.struct(F.lit(code).alias("rule"), k.alias("key")))
-        for rule in rules
-    ]
+    def keys_of(rule: LinkRule) -> Column:
+        return F.transform(_combine(rule.ftypes), lambda k: F.struct(F.lit(rule.code).alias("rule"), k.alias("key")))
+
+    per_rule = [keys_of(rule) for rule in rules]
     return featured.select("record_seq", F.inline(F.array_distinct(F.concat(*per_rule))))

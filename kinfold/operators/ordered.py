@@ -28,8 +28,8 @@ def _range_of(order: Column, bounds: list) -> Column:
 def with_range(frame: DataFrame, order: str, buckets: int = BUCKETS, min_rows: int = _MIN_ROWS) -> DataFrame:
     """Add `_range`: value ranges of about equal row counts (bounds from the quantile sketch)."""
     position = F.col(order)
-    if dict(frame.dtypes)[order] == "timestamp":
-        position = F.unix_micros(position)
+    if dict(frame.dtypes)[order].startswith("timestamp"):
+        position = F.unix_micros(position.cast("timestamp"))
     numbered = frame.withColumn("_position", position.cast("bigint"))
     wanted = max(1, min(buckets, frame.count() // max(1, min_rows)))
     cuts = [i / wanted for i in range(1, wanted)]

@@ -1,3 +1,3 @@
 """Imports every query module, which registers its queries."""
 
-from kinfold.queries import entities, sources  # noqa: F401
+from kinfold.queries import entities, resolving, routing, sources  # noqa: F401

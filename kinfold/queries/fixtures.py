@@ -80,7 +80,7 @@ def commits(t: Tables) -> DataFrame:
     )
 
 
-IN_FLIGHT = 70.0
+IN_FLIGHT = 370.0
 COMMITS_SQL = f"""commits AS (
   SELECT CAST(floor(event_id / 100) * 100 AS BIGINT) AS range_start,
          CAST(floor(event_id / 100) * 100 + 100 AS BIGINT) AS range_end, max(ts) AS committed_at

@@ -13,13 +13,18 @@ ORACLES: dict[str, str] = {}
 
 
 class Tables:
-    """Lazy access to the input tables: ``t.orders`` reads `<dir>/orders.parquet`."""
+    """Lazy access to the input tables: ``t.orders`` reads `<dir>/orders.parquet`, its footer once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # The files hold zone-less timestamps; the session zone is UTC.
+        local = [c for c, kind in frame.dtypes if kind == "timestamp_ntz"]
+        frame = frame.withColumns({c: frame[c].cast("timestamp") for c in local}) if local else frame
+        setattr(self, name, frame)
+        return frame
 
 
 def query(name: str, oracle: str | None = None):
