@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kinfold.operators.skew import HOT_FLOOR, hot_keys, salted_join
+from kinfold.session import materialize
 
 PAGE_SIZE = 10_000
 
@@ -27,8 +28,8 @@ _FEATURE = (
 )
 
 
-def _item(frame: DataFrame, entity: Column, kind: str | None, value: Column | None) -> DataFrame:
-    shapes = {"rec": _RECORD, "rel": _RELATED, "feat": _FEATURE}
+def _item(frame: DataFrame, entity: Column, kind: str, value: Column) -> DataFrame:
+    shapes = {"name": "string", "rec": _RECORD, "rel": _RELATED, "feat": _FEATURE}
     return frame.select(
         entity.alias("entity_id"),
         *[(value if name == kind else F.lit(None)).cast(shape).alias(name) for name, shape in shapes.items()],
@@ -75,15 +76,20 @@ def _feature_items(features: DataFrame) -> DataFrame:
     ))
 
 
-def _paged(items: DataFrame, page_size: int, floor: int) -> DataFrame:
-    """Add `page`: a hash of the item over the number of pages the entity needs."""
-    large = items.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > page_size)
+def _paged(items: DataFrame, page_size: int, floor: int) -> tuple[DataFrame, DataFrame | None]:
+    """Add `page`: a hash of the item over the number of pages the entity needs. Also returns the
+    entities of several pages, None if there are none."""
+    large = materialize(
+        items.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > page_size), "large-entities"
+    )
+    if large.isEmpty():
+        return items.withColumn("page", F.lit(0)), None
     pages = large.select("entity_id", F.ceil(F.col("n") / page_size).cast("int").alias("_pages"))
     joined = salted_join(items, pages, ["entity_id"], hot_keys(large, ["entity_id"], floor=floor), "left")
     page = F.pmod(F.xxhash64("rec", "rel", "feat"), F.coalesce("_pages", F.lit(1)))
-    # The bare entity row goes to page 0, which therefore always exists.
+    # The row of the entity itself goes to page 0, which therefore always exists.
     bare = F.col("rec").isNull() & F.col("rel").isNull() & F.col("feat").isNull()
-    return joined.withColumn("page", F.when(bare, 0).otherwise(page).cast("int")).drop("_pages")
+    return joined.withColumn("page", F.when(bare, 0).otherwise(page).cast("int")).drop("_pages"), large
 
 
 def assemble_documents(
@@ -95,13 +101,15 @@ def assemble_documents(
     floor: int = HOT_FLOOR,
 ) -> DataFrame:
     """(entity_id, page, json). ``names`` holds one (entity_id, entity_name) row per entity."""
-    items = _item(names, F.col("entity_id"), None, None).unionByName(_record_items(members))
+    items = _item(names, F.col("entity_id"), "name", F.col("entity_name")).unionByName(_record_items(members))
     if relations is not None:
         items = items.unionByName(_relation_items(relations))
     if features is not None:
         items = items.unionByName(_feature_items(features))
     # One shuffle gathers all three lists; a list holds about one page of items.
-    gathered = _paged(items, page_size, floor).groupBy("entity_id", "page").agg(
+    paged, large = _paged(items, page_size, floor)
+    gathered = paged.groupBy("entity_id", "page").agg(
+        F.max("name").alias("entity_name"),
         F.array_sort(F.collect_list("rec")).alias("recs"),
         F.array_sort(F.collect_list("rel")).alias("rels"),
         F.array_sort(F.collect_list("feat")).alias("feats"),
@@ -116,7 +124,11 @@ def assemble_documents(
         t.alias("key"),
         F.transform(F.filter("feats", lambda f: f["FTYPE"] == t), lambda f: f.dropFields("FTYPE")).alias("value"),
     )))
-    named = gathered.join(names.select("entity_id", "entity_name"), "entity_id", "left")
+    named = gathered
+    if large is not None:
+        # Later pages repeat the name; only entities of several pages take part in this join.
+        of_large = names.join(large, "entity_id", "left_semi").select("entity_id", F.col("entity_name").alias("_name"))
+        named = gathered.join(of_large, "entity_id", "left").withColumn("entity_name", F.coalesce("entity_name", "_name"))
     document = F.struct(
         F.struct(
             F.col("entity_id").alias("ENTITY_ID"), F.col("entity_name").alias("ENTITY_NAME"),

@@ -112,15 +112,18 @@ def feature_rows(featured: DataFrame) -> DataFrame:
     return featured.select("record_seq", F.inline("features"))
 
 
-def relating_values(featured: DataFrame, ftypes: list[str] = RELATING) -> DataFrame:
-    """(record_seq, ftype, value) of the features that relate entities, without their texts."""
-    slim = F.transform(
-        F.filter("features", lambda f: f["ftype"].isin(ftypes)),
-        lambda f: F.struct(f["ftype"].alias("ftype"), f["value"].alias("value")),
-    )
+def feature_values(featured: DataFrame, ftypes: list[str] | None = None) -> DataFrame:
+    """(record_seq, ftype, value), each once per record. The texts are dropped inside the array, before
+    a row per feature exists."""
+    wanted = F.filter("features", lambda f: f["ftype"].isin(ftypes)) if ftypes else F.col("features")
+    slim = F.transform(wanted, lambda f: F.struct(f["ftype"].alias("ftype"), f["value"].alias("value")))
     return featured.select("record_seq", F.inline(F.array_distinct(slim)))
 
 
+def relating_values(featured: DataFrame) -> DataFrame:
+    return feature_values(featured, RELATING)
+
+
 def _combine(ftypes: tuple[str, ...]) -> Column:
     """All value combinations of one record for a rule, as digests."""
 

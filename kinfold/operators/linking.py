@@ -21,9 +21,10 @@ def star_links(keys: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
 
     The links join the same records as all pairs would, because the relation is an equality.
     """
-    groups = keys.groupBy("rule", "key").agg(
-        F.min("record_seq").alias("lo"), F.count(F.lit(1)).alias("n")
-    ).filter(F.col("n") > 1)
+    groups = materialize(
+        keys.groupBy("rule", "key").agg(F.min("record_seq").alias("lo"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1),
+        "groups",
+    )
     hot = hot_keys(groups, ["rule", "key"], floor=floor)
     linked = salted_join(keys, groups.drop("n"), ["rule", "key"], hot)
     return linked.filter(F.col("record_seq") > F.col("lo")).select(
@@ -40,20 +41,23 @@ def _is_star_forest(edges: DataFrame) -> bool:
     return roles.filter((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("down") == 1))).isEmpty()
 
 
-def _hang(edges: DataFrame, node: str, other: str, floor: int) -> tuple[DataFrame, DataFrame]:
-    """Smallest neighbour per node, and every neighbour paired with it."""
+def _hang(edges: DataFrame, node: str, other: str, floor: int, large: bool) -> tuple[DataFrame, DataFrame]:
+    """Smallest neighbour per node, and every neighbour paired with it. Fewer edges than the floor
+    cannot hold a hot node, which saves the count."""
     lows = edges.groupBy(node).agg(F.min(other).alias("low"), F.count(F.lit(1)).alias("n"))
-    return lows, salted_join(edges, lows.drop("n"), [node], hot_keys(lows, [node], floor=floor))
+    hot = hot_keys(lows, [node], floor=floor) if large else []
+    return lows, salted_join(edges, lows.drop("n"), [node], hot)
 
 
 def _round(edges: DataFrame, floor: int) -> DataFrame:
     """One large-star step and one small-star step (Kiveris et al., "Connected Components in
     MapReduce and Beyond", 2014)."""
+    many = 2 * edges.count() >= floor
     both = edges.select("hi", "lo").unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-    _, paired = _hang(both, "hi", "lo", floor)
+    _, paired = _hang(both, "hi", "lo", floor, many)
     root = F.least("low", "hi")
     large = paired.filter(F.col("lo") > F.col("hi")).select(F.col("lo").alias("hi"), root.alias("lo")).distinct()
-    lows, paired = _hang(large, "hi", "lo", floor)
+    lows, paired = _hang(large, "hi", "lo", floor, many)
     small = paired.filter(F.col("lo") != F.col("low")).select(F.col("lo").alias("hi"), F.col("low").alias("lo"))
     return small.unionByName(lows.select("hi", F.col("low").alias("lo"))).distinct()
 

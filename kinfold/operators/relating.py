@@ -27,10 +27,12 @@ def entity_values(values: DataFrame, moved: DataFrame) -> DataFrame:
 
 
 def block_index(values: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
-    """Values of two or more entities, each row with the block's size and anchor (smallest holder)."""
-    sizes = values.groupBy("ftype", "value").agg(
-        F.count(F.lit(1)).alias("n"), F.min("entity_id").alias("anchor")
-    ).filter(F.col("n") > 1)
+    """Values of two or more entities, each row with the block's size and anchor (smallest holder).
+    ``values`` is read twice and should be a stored frame."""
+    sizes = materialize(
+        values.groupBy("ftype", "value").agg(F.count(F.lit(1)).alias("n"), F.min("entity_id").alias("anchor")).filter(F.col("n") > 1),
+        "block-sizes",
+    )
     hot = hot_keys(sizes, ["ftype", "value"], floor=floor)
     return salted_join(values, sizes, ["ftype", "value"], hot)
 
@@ -111,7 +113,7 @@ def relations(scored: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
 
     def flag(frame: DataFrame, end: str) -> DataFrame:
         several = degree.select(F.col("id").alias(end), F.lit(True).alias(f"_{end}"))
-        return salted_join(frame, several, [end], hot.withColumnRenamed("id", end), "left")
+        return salted_join(frame, several, [end], hot, "left")
 
     flagged = flag(flag(same.select("lo", "hi"), "lo"), "hi")
     ambiguous = flagged.filter(F.col("_lo") | F.col("_hi")).select("lo", "hi", F.lit(True).alias("_a"))

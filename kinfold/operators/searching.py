@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from kinfold.operators.features import with_features
+from kinfold.operators.features import feature_values, with_features
 from kinfold.operators.relating import MAX_BLOCK, level_of
 from kinfold.operators.skew import HOT_FLOOR, hot_keys, salted_join
+from kinfold.session import materialize
 
 _MERGING = ["FULLTEXT", "OPENING", "CLOSING", "SSN"]
 _RELATING = ["LINE", "NAME", "ADDRESS", "PHONE", "EMAIL"]
@@ -16,10 +17,10 @@ def search_index(values: DataFrame, max_block: int = MAX_BLOCK, floor: int = HOT
     """One row per (ftype, value) with its holders.
 
     A value with more than ``max_block`` holders answers with its anchor, the smallest one; the other
-    holders are that entity's relations (see ``relating.py``).
+    holders are that entity's relations (see ``relating.py``). ``values`` is read twice; store it first.
     """
     sizes = values.groupBy("ftype", "value").agg(F.count(F.lit(1)).alias("n"), F.min("entity_id").alias("anchor"))
-    large = sizes.filter(F.col("n") > max_block)
+    large = materialize(sizes.filter(F.col("n") > max_block), "large-blocks")
     flags = large.select("ftype", "value", F.lit(True).alias("_large"))
     marked = salted_join(values, flags, ["ftype", "value"], hot_keys(large, ["ftype", "value"], floor=floor), "left")
     small = marked.filter(F.col("_large").isNull()).groupBy("ftype", "value").agg(
@@ -33,14 +34,12 @@ def request_features(requests: DataFrame) -> DataFrame:
     shaped = requests.select(
         F.col("request_id").alias("record_seq"), F.lit("").alias("dataSource"), F.lit("").alias("recordId"), "payload"
     )
-    return with_features(shaped).select(F.col("record_seq").alias("request_id"), F.inline("features")).select(
-        "request_id", "ftype", "value"
-    )
+    return feature_values(with_features(shaped)).withColumnRenamed("record_seq", "request_id")
 
 
 def search(requests: DataFrame, index: DataFrame, top: int = 10, floor: int = HOT_FLOOR) -> DataFrame:
     """(request_id, rank, entity_id, shared, match_level_code): the best ``top`` entities per request."""
-    asked = request_features(requests).distinct()
+    asked = materialize(request_features(requests), "asked")
     weights = asked.groupBy("ftype", "value").agg(F.count(F.lit(1)).alias("n"))
     hits = salted_join(asked, index, ["ftype", "value"], hot_keys(weights, ["ftype", "value"], floor=floor))
     counted = hits.select("request_id", "ftype", F.explode("holders").alias("entity_id")).groupBy(

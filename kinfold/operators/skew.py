@@ -2,40 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-HOT_KEYS = 256  # at most this many keys can be hot, whatever the size of the data
+HOT_KEYS = 256  # at most this many keys are salted; any other key has under 1/256 of the rows
 SALTS = 256
 HOT_FLOOR = 100_000  # a key with fewer rows is never worth salting
 
 
-def hot_keys(weighted: DataFrame, on: list[str], rows: str = "n", floor: int = HOT_FLOOR) -> DataFrame:
-    """Keys that carry at least 1/HOT_KEYS of all rows, from a frame with one (key, row count) per key.
+def hot_keys(weighted: DataFrame, on: list[str], rows: str = "n", floor: int = HOT_FLOOR) -> list[tuple]:
+    """The keys with the most rows, from a frame with one (key, row count) row per key.
 
-    Row counts add up to the total, so no more than HOT_KEYS keys can qualify: the result is safe to
-    broadcast at any scale.
+    One small job. At most HOT_KEYS keys of at least ``floor`` rows come back to the driver, so the list
+    is bounded whatever the size of the data.
     """
-    share = weighted.agg(F.greatest(F.ceil(F.sum(rows) / HOT_KEYS), F.lit(floor))).scalar()
-    return weighted.filter(F.col(rows) >= share).select(*on)
+    top = weighted.filter(F.col(rows) >= floor).orderBy(F.col(rows).desc()).limit(HOT_KEYS)
+    return [tuple(row) for row in top.select(*on).collect()]
 
 
 def salted_join(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
-    hot: DataFrame,
+    hot: list[tuple],
     how: str = "inner",
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join with the rows of hot left keys spread over ``salts`` tasks.
+    """Join with the rows of hot left keys spread over ``salts`` tasks; a plain join if none is hot.
 
     Only the right rows of hot keys are repeated. The salt is a hash of the left row, so a task that
     runs again places its rows where the first run did.
     """
-    flags = F.broadcast(hot.select(*on).withColumn("_hot", F.lit(True)))
-    spread = left.join(flags, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(F.lit(0)).cast("int")
-    ).drop("_hot")
+    if not hot:
+        return left.join(right, on, how)
+    key = T.StructType([T.StructField(c, left.schema[c].dataType) for c in on])
+    listed = left.sparkSession.createDataFrame(hot, key).withColumn("_hot", F.lit(True))
+    flags = F.broadcast(listed)  # at most HOT_KEYS rows
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(F.lit(0))
+    spread = left.join(flags, on, "left").withColumn("_salt", salt.cast("int")).drop("_hot")
     every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     repeated = right.join(flags, on, "left").withColumn("_salt", F.explode(every)).drop("_hot")
     return spread.join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -39,7 +39,7 @@ def resolve(records: DataFrame, rules: list[LinkRule] = RULES, floor: int = HOT_
 
 def relation_index(records: DataFrame, moved: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
     """Stored block index over the entities of a resolution."""
-    values = entity_values(relating_values(with_features(records)), moved)
+    values = materialize(entity_values(relating_values(with_features(records)), moved), "values")
     return materialize(block_index(values, floor), "blocks")
 
 

@@ -11,7 +11,7 @@ from kinfold.plans import mart as marts
 from kinfold.queries import fixtures as fx
 from kinfold.queries.registry import Tables, query
 from kinfold.schemas import MART, MART_TABLES
-from kinfold.session import scratch
+from kinfold.session import materialize, scratch
 from kinfold.streaming.marts import start_mart_sync
 
 # --- responses and scalars -------------------------------------------------------------------
@@ -226,11 +226,11 @@ def _stored_hashes(t: Tables) -> DataFrame:
 @query("mart_change_gate", f"""{_E}, {fx.hashes_sql(1)}, {fx.hashes_sql(2)}
 SELECT h2.id AS entity_id, h2.hash AS entity_hash FROM h2 LEFT JOIN h1 USING (id) WHERE h1.hash IS NULL OR h1.hash <> h2.hash""")
 def mart_change_gate(t: Tables) -> DataFrame:
-    return upsert.change_gate(_parsed(t, 2), _stored_hashes(t)).select("entity_id", "entity_hash")
+    return upsert.change_gate(materialize(_parsed(t, 2), "parsed"), _stored_hashes(t)).select("entity_id", "entity_hash")
 
 
 def _departed(t: Tables) -> DataFrame:
-    parsed = _parsed(t, 2)
+    parsed = materialize(_parsed(t, 2), "parsed")
     refreshed = parsed.groupBy("entity_id").agg(F.sum("record_count").alias("n"))
     return upsert.departed_records(fx.order_records(t, 1), docs.record_frame(parsed), refreshed)
 
@@ -284,7 +284,7 @@ UNION ALL SELECT 'entity_doc', count(*), CAST(sum(id) AS BIGINT) FROM c1 WHERE i
 UNION ALL SELECT 'entity_record', count(*), CAST(sum(id) AS BIGINT) FROM r1 WHERE id NOT IN (SELECT id FROM gone)
 UNION ALL SELECT 'relationship', count(*), CAST(sum(lo) AS BIGINT) FROM p1 WHERE lo NOT IN (SELECT id FROM gone) AND hi NOT IN (SELECT id FROM gone)""")
 def mart_tombstone_cascade(t: Tables) -> DataFrame:
-    parsed = _parsed(t, 1)
+    parsed = materialize(_parsed(t, 1), "parsed")
     tables = {
         "entity": docs.entity_frame(parsed), "entity_doc": docs.document_frame(parsed),
         "entity_record": docs.record_frame(parsed), "relationship": upsert.fold_relations(docs.relation_frame(parsed)),

@@ -9,6 +9,7 @@ from kinfold.operators import documents as ed, features as ft, linking, relating
 from kinfold.plans import mart as marts, resolver
 from kinfold.queries import fixtures as fx
 from kinfold.queries.registry import Tables, query
+from kinfold.session import materialize
 
 # --- the same resolution in SQL --------------------------------------------------------------
 
@@ -290,8 +291,8 @@ def resolve_search(t: Tables) -> DataFrame:
     """Every document as a request, its three best entities."""
     records = fx.records(t)
     state = resolver.resolve(records)
-    held = ft.feature_rows(ft.with_features(records)).select("record_seq", "ftype", "value")
-    index = searching.search_index(relating.entity_values(held, state.moved))
+    held = relating.entity_values(ft.feature_values(ft.with_features(records)), state.moved)
+    index = searching.search_index(materialize(held, "values"))
     requests = records.select(F.col("record_seq").alias("request_id"), "payload")
     return searching.search(requests, index, top=3)
 
@@ -302,8 +303,8 @@ def resolve_search_results(t: Tables) -> DataFrame:
     """Requests with their result JSON: every request gets one, found or not."""
     records = fx.records(t)
     state = resolver.resolve(records)
-    held = ft.feature_rows(ft.with_features(records)).select("record_seq", "ftype", "value")
-    index = searching.search_index(relating.entity_values(held, state.moved))
+    held = relating.entity_values(ft.feature_values(ft.with_features(records)), state.moved)
+    index = searching.search_index(materialize(held, "values"))
     requests = t.benchmark.select(F.col("item_id").alias("request_id"), F.to_json(F.struct(F.col("text").alias("TEXT"))).alias("payload"))
     results = searching.search_results(requests, searching.search(requests, index))
     listed = F.get_json_object("resultJson", "$.RESOLVED_ENTITIES").isNotNull().cast("int")
