@@ -13,7 +13,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from kinfold.schemas import struct
 from kinfold.session import read_if_exists
+from kinfold.sources.changefeed import snapshot_diff
 
 
 @dataclass(frozen=True)
@@ -35,10 +37,13 @@ class KeyedTable:
         return T.StructType([*self.row.fields, *extra])
 
     def create(self) -> None:
-        self.spark.createDataFrame([], self._stored()).write.mode("ignore").parquet(f"{self.path}/base=0/refresh_seq=0")
+        empty = self.spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self._stored()])
+        empty.write.mode("ignore").parquet(f"{self.path}/base=0/refresh_seq=0")
 
     def write(self, seq: int, upserts: DataFrame | None = None, removed: DataFrame | None = None, base: int = 0) -> None:
         """Store the rows of pass ``seq``. A key both written and removed in one pass is written."""
+        if upserts is None and removed is None:
+            return
         rows = []
         if upserts is not None:
             rows.append(upserts.select(*self.row.names).withColumn("removed", F.lit(False)))
@@ -81,3 +86,56 @@ class KeyedTable:
         """Restate the table in base ``as_of``; the caller then reads and writes that base."""
         self.write(as_of, self.read(as_of, base=base), base=as_of)
         return as_of
+
+
+class VersionedTables:
+    """Keyed tables below one folder that move forward together.
+
+    A pass writes every table under the next number and records the number last, in the `_sync_state`
+    table. Readers go by the recorded number: a pass shows in all tables at once or not at all, and one
+    that stopped half way is simply run again.
+    """
+
+    SEQ = "refresh_seq"
+    STATE = (struct("key string, value string"), ["key"])
+
+    def __init__(self, spark: SparkSession, path: str, shapes: dict, accumulate: tuple[str, ...] = ()):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.tables = {
+            name: KeyedTable(spark, f"{self.path}/{name}", row, tuple(keys), name in accumulate)
+            for name, (row, keys) in {**shapes, "_sync_state": self.STATE}.items()
+        }
+
+    def create(self) -> None:
+        for table in self.tables.values():
+            table.create()
+
+    def state(self) -> dict[str, str]:
+        """The few recorded values; a value of an unfinished pass is overwritten when it is run again."""
+        rows = self.tables["_sync_state"].read(2**62).select("key", "value").collect()
+        return {row["key"]: row["value"] for row in rows}
+
+    def read_state(self, key: str) -> str | None:
+        return self.state().get(key)
+
+    def commit(self, seq: int, **values: object) -> None:
+        rows = [(key, str(value)) for key, value in {self.SEQ: seq, **values}.items()]
+        self.tables["_sync_state"].write(seq, self.spark.createDataFrame(rows, "key string, value string").coalesce(1))
+
+    @property
+    def seq(self) -> int:
+        return int(self.read_state(self.SEQ) or 0)
+
+    def read(self, table: str, as_of: int | None = None, columns: list[str] | None = None) -> DataFrame:
+        return self.tables[table].read(self.seq if as_of is None else as_of, columns)
+
+    def changes(self, table: str, since: int, until: int) -> DataFrame:
+        """Row changes of a table between two passes, for downstream readers. Only keys that a pass in
+        between wrote are compared."""
+        held = self.tables[table]
+        touched = held.versions(until, since=since + 1).select(*held.keys).distinct()
+
+        def at(seq: int) -> DataFrame:
+            return held.read(seq).drop("refresh_seq").join(touched, list(held.keys), "left_semi")
+
+        return snapshot_diff(at(since), at(until), list(held.keys))

@@ -11,52 +11,15 @@ from kinfold.operators.documents import quarantine_rows, tombstones
 from kinfold.operators.upsert import (
     RELATION_KEY, change_gate, departed_records, fold_relations, verify_departed,
 )
-from kinfold.plans.keyed_table import KeyedTable
+from kinfold.plans.keyed_table import VersionedTables
 from kinfold.schemas import MART
 from kinfold.session import materialize
-from kinfold.sources.changefeed import snapshot_diff
 
-SEQ = "refresh_seq"
-
-
-class EntityMart:
-    """Four replicated tables plus `_sync_state` and `_quarantine` below one folder.
-
-    A pass writes all tables under the next sequence number and records that number last. Readers go by
-    the recorded number, so a pass shows in all tables at once or not at all, and one that stopped half
-    way is simply run again.
-    """
+class EntityMart(VersionedTables):
+    """Four replicated tables plus `_sync_state` and `_quarantine`."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        self.tables = {
-            name: KeyedTable(spark, f"{self.path}/{name}", row, tuple(keys), accumulate=name == "relationship")
-            for name, (row, keys) in MART.items()
-        }
-
-    def create(self) -> None:
-        for table in self.tables.values():
-            table.create()
-
-    # --- state -------------------------------------------------------------------------------
-
-    def read_state(self, key: str) -> str | None:
-        state = self.tables["_sync_state"]
-        row = state.read(2**62).filter(F.col("key") == key).select("value").first()
-        return row["value"] if row else None
-
-    def write_state(self, key: str, value: str, seq: int) -> None:
-        state = self.spark.createDataFrame([(key, value)], "key string, value string")
-        self.tables["_sync_state"].write(seq, state)
-
-    @property
-    def seq(self) -> int:
-        return int(self.read_state(SEQ) or 0)
-
-    def read(self, table: str, as_of: int | None = None, columns: list[str] | None = None) -> DataFrame:
-        return self.tables[table].read(self.seq if as_of is None else as_of, columns)
-
-    # --- sync --------------------------------------------------------------------------------
+        super().__init__(spark, path, MART, accumulate=("relationship",))
 
     def sync(self, fetched: DataFrame, live: DataFrame | None = None) -> int:
         """Apply one batch of fetched entities; returns the sequence number of the pass.
@@ -106,21 +69,9 @@ class EntityMart:
         self.tables["relationship"].write(seq, pairs, ended)
 
         self.tables["_quarantine"].write(seq, quarantine_rows(fetched))
-        self.write_state(SEQ, str(seq), seq)
+        self.commit(seq)
         return seq
 
-    # --- change feed -------------------------------------------------------------------------
-
-    def changes(self, table: str, since: int, until: int) -> DataFrame:
-        """Row changes of a table between two passes, for downstream readers.
-
-        Only keys that a pass in between wrote are compared.
-        """
-        held = self.tables[table]
-        touched = held.versions(until, since=since + 1).select(*held.keys).distinct()
-        state = lambda seq: held.read(seq).drop("refresh_seq").join(touched, list(held.keys), "left_semi")
-        return snapshot_diff(state(since), state(until), list(held.keys))
-
 
 # --- reports ---------------------------------------------------------------------------------
 

@@ -78,68 +78,106 @@ def _affected(touches: DataFrame, op: str, run_id: str) -> DataFrame:
 
 # --- incremental verbs -----------------------------------------------------------------------
 
+
+@dataclass(frozen=True)
+class Change:
+    """What a verb did. ``members`` holds only the rows that changed or were added, with the entity
+    before as `old_id`; ``lost`` the members that left with theirs. Both are stored frames."""
+
+    members: DataFrame
+    lost: DataFrame
+    fresh_keys: DataFrame | None
+    affected: DataFrame
+
+    def apply_to_members(self, members: DataFrame) -> DataFrame:
+        gone = self.lost.select("record_seq").unionByName(self.members.select("record_seq"))
+        return members.select(*_MEMBER).join(gone, "record_seq", "left_anti").unionByName(self.members.select(*_MEMBER))
+
+    def apply_to_keys(self, keys: DataFrame) -> DataFrame:
+        kept = keys.join(self.lost, "record_seq", "left_anti")
+        return kept if self.fresh_keys is None else kept.unionByName(self.fresh_keys.select(*kept.columns))
+
+
+_MEMBER = ["record_seq", *KEY, "entity_id"]
+
+
 def _recluster(members: DataFrame, keys: DataFrame, lost: DataFrame, floor: int) -> DataFrame:
-    """Members after ``lost`` records left: only the entities that lost one are clustered again."""
-    shaken = members.join(lost, "record_seq", "left_semi").select("entity_id")
-    stay = members.join(lost, "record_seq", "left_anti")
-    part = materialize(stay.join(shaken, "entity_id", "left_semi"), "shaken")
-    moved = components(star_links(keys.join(part, "record_seq", "left_semi"), floor), floor)
-    return stay.join(shaken, "entity_id", "left_anti").select(*part.columns).unionByName(
-        membership(part, moved).select(*part.columns)
+    """The members left in entities that lost a record, clustered again; all other entities stay as
+    they are. ``lost`` holds (record_seq, old_id)."""
+    shaken = lost.select(F.col("old_id").alias("entity_id"))
+    part = materialize(
+        members.select(*_MEMBER).join(shaken, "entity_id", "left_semi").join(lost, "record_seq", "left_anti"), "shaken"
     )
+    if part.isEmpty():
+        return part.withColumn("old_id", F.col("entity_id"))
+    moved = components(star_links(keys.join(part, "record_seq", "left_semi"), floor), floor)
+    again = membership(part, moved).join(part.select("record_seq", F.col("entity_id").alias("old_id")), "record_seq")
+    return materialize(again.select(*_MEMBER, "old_id"), "reclustered")
+
+
+def _lost(members: DataFrame, leaving: DataFrame) -> DataFrame:
+    found = members.join(leaving.select(*KEY), KEY, "left_semi")
+    return materialize(found.select("record_seq", *KEY, F.col("entity_id").alias("old_id")), "lost")
 
 
 def add_records(
-    records: DataFrame, keys: DataFrame, members: DataFrame, batch: DataFrame, run_id: str,
+    keys: DataFrame, members: DataFrame, batch: DataFrame, run_id: str,
     rules: list[LinkRule] = RULES, floor: int = HOT_FLOOR,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Add or replace ``batch``; returns (members, keys, affected rows).
+) -> tuple[DataFrame, Change]:
+    """Add or replace ``batch``; returns the batch with its final record numbers, and the change.
 
     ``batch`` has a free `record_seq` for new records; a record known by its key keeps its number.
-    Entities already resolved enter the clustering as single nodes, so the work depends on the batch
-    and on the entities that lose a replaced record, not on the size of what the batch touches.
+    Entities already resolved enter the clustering as single nodes, so the work depends on the batch,
+    the keys it meets, and the entities that lose a replaced record.
     """
-    known = records.select("record_seq", *KEY)
+    lost = _lost(members, batch)
+    known = lost.select(*KEY, F.col("record_seq").alias("_old"))
     numbered = materialize(
-        batch.join(known.withColumnRenamed("record_seq", "_old"), KEY, "left").select(
-            F.coalesce("_old", "record_seq").alias("record_seq"), *KEY, "payload", F.col("_old").isNotNull().alias("_replaced")
-        ),
-        "batch",
+        batch.join(known, KEY, "left").select(F.coalesce("_old", "record_seq").alias("record_seq"), *KEY, "payload"), "batch"
     )
-    replaced = numbered.filter("_replaced").select("record_seq")
     fresh_keys = materialize(link_keys(with_features(numbered), rules), "batch-keys")
-    kept_keys = keys.join(replaced, "record_seq", "left_anti")
-    stayed = materialize(_recluster(members, kept_keys, replaced, floor), "stayed")
+    kept_keys = keys.join(lost, "record_seq", "left_anti")
+    again = _recluster(members, kept_keys, lost, floor)
 
     # Entities reachable by a key of the batch, as nodes next to the batch records.
-    met = kept_keys.join(fresh_keys.select("rule", "key"), ["rule", "key"], "left_semi")
-    entity_keys = met.join(stayed.select("record_seq", "entity_id"), "record_seq").select(
-        F.col("entity_id").alias("record_seq"), "rule", "key"
-    ).distinct()
-    roots = components(star_links(entity_keys.unionByName(fresh_keys), floor), floor)
-
-    merged = roots.select(F.col("record_seq").alias("entity_id"), F.col("entity_id").alias("_root"))
-    columns = ["record_seq", *KEY, "entity_id"]
-    before_batch = stayed.join(merged, "entity_id", "left").withColumn(
-        "entity_id", F.coalesce("_root", "entity_id")
-    ).select(*columns)
-    after = before_batch.unionByName(membership(numbered, roots).select(*columns))
-    after = materialize(after, "members")
-    landed = after.join(numbered.select("record_seq"), "record_seq", "left_semi").select(
-        *KEY, F.col("entity_id").alias("entityId")
+    met = materialize(kept_keys.join(fresh_keys.select("rule", "key"), ["rule", "key"], "left_semi"), "met")
+    settled = members.select("record_seq", "entity_id").join(met, "record_seq", "left_semi")
+    current = settled.join(again.select("record_seq", F.col("entity_id").alias("_new")), "record_seq", "left").select(
+        "record_seq", F.coalesce("_new", "entity_id").alias("entity_id")
+    )
+    nodes = met.join(current, "record_seq").select(F.col("entity_id").alias("record_seq"), "rule", "key").distinct()
+    roots = components(star_links(nodes.unionByName(fresh_keys.select("record_seq", "rule", "key")), floor), floor)
+
+    root_of = roots.select(F.col("record_seq").alias("entity_id"), F.col("entity_id").alias("_root"))
+
+    def rooted(frame: DataFrame) -> DataFrame:
+        return frame.join(root_of, "entity_id", "left").withColumn("entity_id", F.coalesce("_root", "entity_id")).drop("_root")
+
+    untouched = members.select(*_MEMBER).join(again.select("record_seq").unionByName(lost.select("record_seq")), "record_seq", "left_anti")
+    merged = rooted(untouched.join(root_of, "entity_id", "left_semi").withColumn("old_id", F.col("entity_id")))
+    landed = membership(numbered, roots).join(lost.select("record_seq", "old_id"), "record_seq", "left")
+    columns = [*_MEMBER, "old_id"]
+    changed = materialize(
+        rooted(again).select(*columns).unionByName(merged.select(*columns)).unionByName(landed.select(*columns)), "changed"
     )
-    touches = landed.unionByName(affected_diff(members, after))
-    return after, kept_keys.unionByName(fresh_keys), _affected(touches, "ADD", run_id)
+    own = changed.join(numbered.select("record_seq"), "record_seq", "left_semi").select(*KEY, F.col("entity_id").alias("entityId"))
+    touches = own.unionByName(_moves(changed))
+    return numbered, Change(changed, lost, fresh_keys, _affected(touches, "ADD", run_id))
+
+
+def _moves(changed: DataFrame) -> DataFrame:
+    """(dataSource, recordId, entityId): both ids of every changed row whose entity differs."""
+    moved = changed.filter(~F.col("entity_id").eqNullSafe(F.col("old_id")))
+    ids = F.filter(F.array("old_id", "entity_id"), lambda i: i.isNotNull())
+    return moved.select(*KEY, F.explode(ids).alias("entityId"))
 
 
-def delete_records(
-    keys: DataFrame, members: DataFrame, batch: DataFrame, run_id: str, floor: int = HOT_FLOOR
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+def delete_records(keys: DataFrame, members: DataFrame, batch: DataFrame, run_id: str, floor: int = HOT_FLOOR) -> Change:
     """Remove ``batch`` (by record key); an absent record is a no-op without an error row."""
-    lost = materialize(members.join(batch.select(*KEY), KEY, "left_semi").select("record_seq"), "lost")
-    kept = keys.join(lost, "record_seq", "left_anti")
-    after = materialize(_recluster(members, kept, lost, floor), "members")
-    return after, kept, _affected(affected_diff(members, after), "DELETE", run_id)
+    lost = _lost(members, batch)
+    again = _recluster(members, keys.join(lost, "record_seq", "left_anti"), lost, floor)
+    touches = _moves(again).unionByName(lost.select(*KEY, F.col("old_id").alias("entityId")))
+    return Change(again, lost, None, _affected(touches, "DELETE", run_id))
 
 
 # --- redo ------------------------------------------------------------------------------------

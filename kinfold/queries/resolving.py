@@ -9,7 +9,10 @@ from kinfold.operators import documents as ed, features as ft, linking, relating
 from kinfold.plans import mart as marts, resolver
 from kinfold.queries import fixtures as fx
 from kinfold.queries.registry import Tables, query
-from kinfold.session import materialize
+from kinfold.plans.store import ResolverStore
+from kinfold.session import materialize, scratch
+from kinfold.sources.inbox import write_inbox
+from kinfold.streaming.feeder import drain, start_feeder
 
 # --- the same resolution in SQL --------------------------------------------------------------
 
@@ -221,12 +224,11 @@ diff AS (
   WHERE a.entity_id IS DISTINCT FROM b.entity_id)"""
 
 
-def _add(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    before = _as_records(t.documents.filter(f"NOT ({_NEW})"))
-    state = resolver.resolve(before)
+def _add(t: Tables) -> tuple[DataFrame, resolver.Change]:
+    state = resolver.resolve(_as_records(t.documents.filter(f"NOT ({_NEW})")))
     batch = _as_records(_edit(t.documents.filter(f"{_NEW} OR {_EDITED}")))
-    after, _, affected = resolver.add_records(before, state.keys, state.members, batch, "run-1")
-    return state.members, after, affected
+    _, change = resolver.add_records(state.keys, state.members, batch, "run-1")
+    return state.members, change
 
 
 @query("resolve_add_affected", f"""{_BEFORE_AFTER}
@@ -234,13 +236,14 @@ SELECT DISTINCT id AS "entityId", 'ADD' AS op, 'run-1' AS "runId" FROM (
   SELECT id FROM diff WHERE id IS NOT NULL
   UNION SELECT entity_id FROM members1 WHERE doc_id IN (SELECT doc_id FROM documents WHERE {_NEW} OR {_EDITED}))""")
 def resolve_add_affected(t: Tables) -> DataFrame:
-    return _add(t)[2].select("entityId", "op", "runId")
+    return _add(t)[1].affected.select("entityId", "op", "runId")
 
 
 @query("resolve_add_members", f"{_BEFORE_AFTER} SELECT doc_id AS record_seq, entity_id FROM members1")
 def resolve_add_members(t: Tables) -> DataFrame:
     """The incremental result equals a rebuild of everything."""
-    return _add(t)[1].select("record_seq", "entity_id")
+    before, change = _add(t)
+    return change.apply_to_members(before).select("record_seq", "entity_id")
 
 
 @query("resolve_affected_diff", f"""{_BEFORE_AFTER}
@@ -266,8 +269,8 @@ def resolve_delete_affected(t: Tables) -> DataFrame:
     state = resolver.resolve(_as_records(t.documents))
     leaving = t.documents.filter(_DELETED).select(F.col("source").alias("dataSource"), F.col("doc_id").cast("string").alias("recordId"))
     absent = t.labels.select(F.lit("nowhere").alias("dataSource"), F.col("doc_id").cast("string").alias("recordId"))
-    _, _, affected = resolver.delete_records(state.keys, state.members, leaving.unionByName(absent), "run-2")
-    return affected.select("entityId", "op")
+    change = resolver.delete_records(state.keys, state.members, leaving.unionByName(absent), "run-2")
+    return change.affected.select("entityId", "op")
 
 
 @query("resolve_search", f"""{_R},
@@ -331,3 +334,48 @@ def resolve_redo_drained(t: Tables) -> DataFrame:
     _, index = _index(t)
     done, _ = resolver.drain_redo(index, _REDO_LIMIT, _REDO_BLOCK)
     return resolver.relate(index, _REDO_BLOCK, done).select("lo", "hi", "shared", "match_level_code")
+
+
+# --- stored state ----------------------------------------------------------------------------
+
+
+def _store(t: Tables) -> ResolverStore:
+    store = ResolverStore(t.spark, scratch(t.spark, "store"))
+    store.create()
+    store.register(t.documents.select(F.col("source").alias("data_source")).distinct())
+    return store
+
+
+@query("stream_resolve", f"""{_R},
+groups AS (SELECT doc_id, entity_id, source FROM members JOIN documents USING (doc_id))
+SELECT source AS "dataSource", CAST(doc_id AS VARCHAR) AS "recordId",
+  min(doc_id) OVER (PARTITION BY entity_id) AS smallest, count(*) OVER (PARTITION BY entity_id) AS size FROM groups""")
+def stream_resolve(t: Tables) -> DataFrame:
+    """The inbox resolved batch by batch gives the same grouping as one resolve of everything."""
+    store = _store(t)
+    inbox, work = scratch(t.spark, "inbox"), scratch(t.spark, "feed")
+    for lang in ("lang = 'en'", "lang <> 'en'"):
+        write_inbox(_as_records(t.documents.filter(lang)).coalesce(1), inbox, "append")
+    feeder = start_feeder(
+        t.spark, inbox, lambda batch, number: store.add(batch, f"batch-{number}"), f"{work}/cp", f"{work}/out", f"{work}/dead",
+        max_files=1,
+    )
+    drain([feeder])
+    members = store.read("member")
+    sizes = members.groupBy("entity_id").agg(F.count(F.lit(1)).alias("size"), F.min(F.col("recordId").cast("bigint")).alias("smallest"))
+    return members.join(sizes, "entity_id").select("dataSource", "recordId", "smallest", "size")
+
+
+@query("store_add_delete", f"""WITH RECURSIVE d1 AS (SELECT doc_id, text FROM documents WHERE NOT ({_DELETED})),
+{lines_sql('l1', 'd1')}, {members_sql('1', 'l1')},
+groups AS (SELECT doc_id, entity_id, source FROM members1 JOIN documents USING (doc_id))
+SELECT source AS "dataSource", CAST(doc_id AS VARCHAR) AS "recordId",
+  min(doc_id) OVER (PARTITION BY entity_id) AS smallest, count(*) OVER (PARTITION BY entity_id) AS size FROM groups""")
+def store_add_delete(t: Tables) -> DataFrame:
+    """One load and one delete job on stored state."""
+    store = _store(t)
+    store.add(_as_records(t.documents), "load")
+    store.delete(_as_records(t.documents.filter(_DELETED)), "unload")
+    members = store.read("member")
+    sizes = members.groupBy("entity_id").agg(F.count(F.lit(1)).alias("size"), F.min(F.col("recordId").cast("bigint")).alias("smallest"))
+    return members.join(sizes, "entity_id").select("dataSource", "recordId", "smallest", "size")

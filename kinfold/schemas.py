@@ -70,7 +70,6 @@ MART = {
         struct("entity_id bigint, page int, entity_json string, entity_hash string"),
         ["entity_id", "page"],
     ),
-    "_sync_state": (struct("key string, value string"), ["key"]),
     "_quarantine": (
         struct("entity_id bigint, category string, message string, raw string"),
         ["entity_id", "category"],

@@ -31,6 +31,7 @@ def build_session(app: str = "kinfold", cpus: str | int = "*", **conf: str) -> S
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.parquet.compression.codec", "zstd")
     )
     for key, value in {**SETTINGS, **conf}.items():
