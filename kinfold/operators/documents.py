@@ -100,7 +100,8 @@ def assemble_documents(
     page_size: int = PAGE_SIZE,
     floor: int = HOT_FLOOR,
 ) -> DataFrame:
-    """(entity_id, page, json). ``names`` holds one (entity_id, entity_name) row per entity."""
+    """(entity_id, page, json). ``names`` holds one (entity_id, entity_name) row per entity. The inputs are
+    read twice (page count, then lists), so they should be stored frames."""
     items = _item(names, F.col("entity_id"), "name", F.col("entity_name")).unionByName(_record_items(members))
     if relations is not None:
         items = items.unionByName(_relation_items(relations))

@@ -79,45 +79,52 @@ def _digest(text: Column) -> Column:
 
 
 def with_features(records: DataFrame, attributes: list[Attribute] = ATTRIBUTES) -> DataFrame:
-    """(record_seq, dataSource, recordId, features): the array holds each feature once."""
+    """(record_seq, dataSource, recordId, singles, lines).
+
+    ``singles`` holds the features of the whole record, ``lines`` its distinct long lines. They stay
+    apart so that a plan which needs only one of them does not compute the other.
+    """
     keys = ["TEXT", *[a.key for a in attributes]]
     body = F.from_json("payload", "struct<" + ", ".join(f"{k}: string" for k in keys) + ">")
     parsed = records.select("record_seq", "dataSource", "recordId", body.alias("_b"))
     split = F.transform(F.split("_b.TEXT", "\n", -1), lambda x: F.lower(F.trim(x)))
-    lined = parsed.select(
-        "record_seq", "dataSource", "recordId", "_b",
-        F.filter(split, lambda x: F.length(x) > MIN_LINE).alias("_lines"),
-    )
+    long = F.coalesce(F.filter(split, lambda x: F.length(x) > MIN_LINE), F.array().cast("array<string>"))
+    lined = parsed.select("record_seq", "dataSource", "recordId", "_b", long.alias("_lines"))
     lines, size = F.col("_lines"), F.size("_lines")
-    whole = F.sha2(F.lower(F.trim("_b.TEXT")), 256)
-    opening = F.when(size >= 2, F.md5(F.concat_ws("\n", F.get(lines, F.lit(0)), F.get(lines, F.lit(1)))))
-    closing = F.when(size >= 2, F.md5(F.concat_ws("\n", F.get(lines, size - 2), F.get(lines, size - 1))))
+    ends = lined.select(
+        "*",
+        F.sha2(F.lower(F.trim("_b.TEXT")), 256).alias("_whole"),
+        F.when(size >= 2, F.md5(F.concat_ws("\n", lines[0], lines[1]))).alias("_opening"),
+        F.when(size >= 2, F.md5(F.concat_ws("\n", lines[size - 2], lines[size - 1]))).alias("_closing"),
+    )
     single = [
-        _feature("FULLTEXT", F.unhex(whole), whole, "", True, True),
-        _feature("OPENING", F.unhex(opening), opening, "", True, True),
-        _feature("CLOSING", F.unhex(closing), closing, "", True, True),
+        _feature(ftype, F.unhex(column), F.col(column), "", True, True)
+        for ftype, column in [("FULLTEXT", "_whole"), ("OPENING", "_opening"), ("CLOSING", "_closing")]
     ]
     for a in attributes:
         text = F.nullif(F.upper(F.regexp_replace(F.trim(F.col(f"_b.{a.key}")), r"\s+", " ")), F.lit(""))
         single.append(_feature(a.ftype, _digest(text), text, a.usage, a.candidate, a.scoring))
-    by_line = F.transform(
-        F.array_distinct(F.coalesce(lines, F.array().cast("array<string>"))),
-        lambda x: _feature("LINE", _digest(x), x, "", True, True),
+    known = F.filter(F.array(*single), lambda f: f["value"].isNotNull())
+    return ends.select(
+        "record_seq", "dataSource", "recordId", known.alias("singles"), F.array_distinct("_lines").alias("lines")
     )
-    known = F.filter(F.concat(F.array(*single), by_line), lambda f: f["value"].isNotNull())
-    return lined.select("record_seq", "dataSource", "recordId", known.alias("features"))
 
 
 def feature_rows(featured: DataFrame) -> DataFrame:
-    return featured.select("record_seq", F.inline("features"))
+    """One row per feature with its text and flags."""
+    by_line = F.transform("lines", lambda x: _feature("LINE", _digest(x), x, "", True, True))
+    return featured.select("record_seq", F.inline(F.concat("singles", by_line)))
 
 
 def feature_values(featured: DataFrame, ftypes: list[str] | None = None) -> DataFrame:
-    """(record_seq, ftype, value), each once per record. The texts are dropped inside the array, before
-    a row per feature exists."""
-    wanted = F.filter("features", lambda f: f["ftype"].isin(ftypes)) if ftypes else F.col("features")
+    """(record_seq, ftype, value), each once per record, without the texts."""
+    wanted = F.filter("singles", lambda f: f["ftype"].isin(ftypes)) if ftypes else F.col("singles")
     slim = F.transform(wanted, lambda f: F.struct(f["ftype"].alias("ftype"), f["value"].alias("value")))
-    return featured.select("record_seq", F.inline(F.array_distinct(slim)))
+    values = F.array_distinct(slim)
+    if ftypes is None or "LINE" in ftypes:
+        by_line = F.transform("lines", lambda x: F.struct(F.lit("LINE").alias("ftype"), _digest(x).alias("value")))
+        values = F.concat(values, by_line)
+    return featured.select("record_seq", F.inline(values))
 
 
 def relating_values(featured: DataFrame) -> DataFrame:
@@ -128,7 +135,7 @@ def _combine(ftypes: tuple[str, ...]) -> Column:
     """All value combinations of one record for a rule, as digests."""
 
     def of_type(ftype: str) -> Column:
-        return F.transform(F.filter("features", lambda f: f["ftype"] == ftype), lambda f: f["value"])
+        return F.transform(F.filter("singles", lambda f: f["ftype"] == ftype), lambda f: f["value"])
 
     def pair(left: Column, right: Column) -> Column:
         return F.flatten(F.transform(left, lambda a: F.transform(right, lambda b: F.unhex(F.md5(F.concat(a, b))))))

@@ -162,7 +162,8 @@ def entity_docs(t: Tables) -> DataFrame:
         "usage_type", "used_for_cand", "used_for_scoring",
     ).distinct()
     documents = ed.assemble_documents(
-        names, _member_rows(members, resolution.links), resolver.entity_relations(index), features
+        names, materialize(_member_rows(members, resolution.links), "member-rows"),
+        materialize(resolver.entity_relations(index), "relations"), materialize(features, "features"),
     )
     parsed = docs.parse_documents(documents, page="page")
     return parsed.select(
