@@ -68,7 +68,8 @@ def components(links: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
     Each round writes its edges and reads them back, so the plan stays short and a lost executor
     costs one round. Chains halve at every round.
     """
-    edges = materialize(links.select("hi", "lo").distinct(), "edges")
+    ordered = links.select(F.greatest("lo", "hi").alias("hi"), F.least("lo", "hi").alias("lo")).filter("hi > lo")
+    edges = materialize(ordered.distinct(), "edges")
     for _ in range(MAX_ROUNDS):
         if _is_star_forest(edges):
             return edges.select(F.col("hi").alias("record_seq"), F.col("lo").alias("entity_id"))

@@ -26,15 +26,19 @@ def _range_of(order: Column, bounds: list) -> Column:
 
 
 def with_range(frame: DataFrame, order: str, buckets: int = BUCKETS, min_rows: int = _MIN_ROWS) -> DataFrame:
-    """Add `_range`: value ranges of about equal row counts (bounds from the quantile sketch)."""
+    """Add `_range`: value ranges of about equal row counts (bounds from a quantile sketch)."""
     position = F.col(order)
     if dict(frame.dtypes)[order].startswith("timestamp"):
         position = F.unix_micros(position.cast("timestamp"))
     numbered = frame.withColumn("_position", position.cast("bigint"))
-    wanted = max(1, min(buckets, frame.count() // max(1, min_rows)))
-    cuts = [i / wanted for i in range(1, wanted)]
-    bounds = sorted(set(numbered.approxQuantile("_position", cuts, 0.25 / wanted))) if cuts else []
-    bounds = [int(b) for b in bounds]
+    # One pass gives the row count and the quantiles; few rows then need only some of the bounds.
+    cuts = [i / buckets for i in range(1, buckets)]
+    sketch = numbered.agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("_position", cuts, 20 * buckets).alias("q")
+    ).first()
+    wanted = max(1, min(buckets, sketch["n"] // max(1, min_rows)))
+    chosen = [sketch["q"][i * buckets // wanted - 1] for i in range(1, wanted)]
+    bounds = sorted({int(b) for b in chosen})
     return numbered.withColumn("_range", _range_of(F.col("_position"), bounds)).drop("_position")
 
 

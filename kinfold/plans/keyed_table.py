@@ -65,10 +65,30 @@ class KeyedTable:
             (F.col("base") == base) & (F.col("refresh_seq") <= as_of) & (F.col("refresh_seq") >= since)
         ).drop("base")
 
-    def read(self, as_of: int, columns: list[str] | None = None, base: int = 0) -> DataFrame:
-        """The table as of a pass: the newest version per key, removed keys left out."""
+    def read(
+        self, as_of: int, columns: list[str] | None = None, base: int = 0, only: DataFrame | None = None
+    ) -> DataFrame:
+        """The table as of a pass: the newest version per key, removed keys left out.
+
+        ``only`` restricts the result to rows that match it on its columns. It is applied to the stored
+        versions, before they are grouped, so a small batch does not shuffle the table.
+        """
         wanted = [c for c in self._values if columns is None or c in columns]
         rows = self.versions(as_of, base).select(*self.keys, *wanted, "removed", "refresh_seq")
+        if only is not None:
+            match = only.columns
+            hit = rows.join(only, match, "left_semi")
+            if set(match) <= set(self.keys):
+                rows = hit
+            else:
+                # A value column: any version may match, but the newest version of the key decides.
+                rows = rows.join(hit.select(*self.keys), list(self.keys), "left_semi")
+        newest = self._newest(rows, wanted)
+        if only is not None and not set(only.columns) <= set(self.keys):
+            newest = newest.join(only, only.columns, "left_semi").select(*newest.columns)
+        return newest
+
+    def _newest(self, rows: DataFrame, wanted: list[str]) -> DataFrame:
         if self.accumulate:
             # Versions before the last removal no longer count. A key has one row per pass at most.
             per_key = Window.partitionBy(*self.keys)
@@ -126,8 +146,10 @@ class VersionedTables:
     def seq(self) -> int:
         return int(self.read_state(self.SEQ) or 0)
 
-    def read(self, table: str, as_of: int | None = None, columns: list[str] | None = None) -> DataFrame:
-        return self.tables[table].read(self.seq if as_of is None else as_of, columns)
+    def read(
+        self, table: str, as_of: int | None = None, columns: list[str] | None = None, only: DataFrame | None = None
+    ) -> DataFrame:
+        return self.tables[table].read(self.seq if as_of is None else as_of, columns, only=only)
 
     def changes(self, table: str, since: int, until: int) -> DataFrame:
         """Row changes of a table between two passes, for downstream readers. Only keys that a pass in
@@ -136,6 +158,6 @@ class VersionedTables:
         touched = held.versions(until, since=since + 1).select(*held.keys).distinct()
 
         def at(seq: int) -> DataFrame:
-            return held.read(seq).drop("refresh_seq").join(touched, list(held.keys), "left_semi")
+            return held.read(seq, only=touched).drop("refresh_seq")
 
         return snapshot_diff(at(since), at(until), list(held.keys))

@@ -33,38 +33,35 @@ class EntityMart(VersionedTables):
         documents = fetched.filter(F.col("kind") == "ENTITY").select("json", "page")
         # Parsed once and stored: four tables and the gate read from it.
         parsed = materialize(parse_documents(documents, page="page"), "parsed")
-        stored_hash = self.read("entity", before, ["entity_hash"])
-        changed = materialize(change_gate(parsed, stored_hash), "changed")
         gone = materialize(tombstones(fetched).distinct(), "gone")
-
-        pages = changed.select("entity_id", "page")
-        refreshed = changed.groupBy("entity_id").agg(F.sum("record_count").alias("n"))
+        stored_hash = self.read("entity", before, ["entity_hash"], only=parsed.select("entity_id"))
+        changed = materialize(change_gate(parsed, stored_hash), "changed")
+        refreshed = materialize(changed.groupBy("entity_id").agg(F.sum("record_count").alias("n")), "refreshed")
+        touched = refreshed.select("entity_id").unionByName(gone)
 
         def lapsed(table: str) -> DataFrame:
             """Stored pages of refreshed entities that the fresh document no longer has, and all pages
             of gone entities."""
-            stored = self.read(table, before, []).select("entity_id", "page")
-            touched = stored.join(refreshed.select("entity_id").unionByName(gone), "entity_id", "left_semi")
-            return touched.join(pages, ["entity_id", "page"], "left_anti")
+            stored = self.read(table, before, [], only=touched).select("entity_id", "page")
+            return stored.join(changed.select("entity_id", "page"), ["entity_id", "page"], "left_anti")
 
         self.tables["entity"].write(seq, entity_frame(changed), lapsed("entity"))
         self.tables["entity_doc"].write(seq, document_frame(changed), lapsed("entity_doc"))
 
         fresh = record_frame(changed)
-        owned = self.read("entity_record", before, ["entity_id"])
+        owned = materialize(self.read("entity_record", before, ["entity_id"], only=touched), "owned")
         departed = departed_records(owned, fresh, refreshed).select("data_source", "record_id")
         if live is not None:
             departed = verify_departed(departed, live)
         of_gone = owned.join(gone, "entity_id", "left_semi").select("data_source", "record_id")
-        self.tables["entity_record"].write(seq, fresh.dropDuplicates(["data_source", "record_id"]), departed.unionByName(of_gone))
+        self.tables["entity_record"].write(seq, one_owner(fresh), departed.unionByName(of_gone))
 
         pairs = fold_relations(relation_frame(changed))
-        stored_pairs = self.read("relationship", before, [])
         ended = None
         for end in RELATION_KEY:
             at_end = gone.withColumnRenamed("entity_id", end)
             pairs = pairs.join(at_end, end, "left_anti")
-            hit = stored_pairs.join(at_end, end, "left_semi").select(*RELATION_KEY)
+            hit = self.read("relationship", before, [], only=at_end).select(*RELATION_KEY)
             ended = hit if ended is None else ended.unionByName(hit)
         self.tables["relationship"].write(seq, pairs, ended)
 
@@ -73,6 +70,14 @@ class EntityMart(VersionedTables):
         return seq
 
 
+def one_owner(records: DataFrame) -> DataFrame:
+    """One row per record key. Two documents of different age may both list a record that moved; the
+    entity with the greater number counts until the older document is refreshed."""
+    values = [c for c in records.columns if c not in ("data_source", "record_id")]
+    newest = records.groupBy("data_source", "record_id").agg(F.max_by(F.struct(*values), "entity_id").alias("_row"))
+    return newest.select("data_source", "record_id", "_row.*").select(*records.columns)
+
+
 # --- reports ---------------------------------------------------------------------------------
 
 def source_summary(records: DataFrame) -> DataFrame:
