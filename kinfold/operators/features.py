@@ -11,6 +11,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from kinfold.session import spread
+
 MIN_LINE = 20  # a line counts as evidence only when it is longer than this
 
 
@@ -86,7 +88,7 @@ def with_features(records: DataFrame, attributes: list[Attribute] = ATTRIBUTES)
     """
     keys = ["TEXT", *[a.key for a in attributes]]
     body = F.from_json("payload", "struct<" + ", ".join(f"{k}: string" for k in keys) + ">")
-    parsed = records.select("record_seq", "dataSource", "recordId", body.alias("_b"))
+    parsed = spread(records, "record_seq").select("record_seq", "dataSource", "recordId", body.alias("_b"))
     split = F.transform(F.split("_b.TEXT", "\n", -1), lambda x: F.lower(F.trim(x)))
     long = F.coalesce(F.filter(split, lambda x: F.length(x) > MIN_LINE), F.array().cast("array<string>"))
     lined = parsed.select("record_seq", "dataSource", "recordId", "_b", long.alias("_lines"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinfold.functions.docs import (
@@ -13,7 +15,7 @@ from kinfold.operators.upsert import (
 )
 from kinfold.plans.keyed_table import VersionedTables
 from kinfold.schemas import MART
-from kinfold.session import materialize
+from kinfold.session import in_parallel, materialize
 
 class EntityMart(VersionedTables):
     """Four replicated tables plus `_sync_state` and `_quarantine`."""
@@ -45,16 +47,12 @@ class EntityMart(VersionedTables):
             stored = self.read(table, before, [], only=touched).select("entity_id", "page")
             return stored.join(changed.select("entity_id", "page"), ["entity_id", "page"], "left_anti")
 
-        self.tables["entity"].write(seq, entity_frame(changed), lapsed("entity"))
-        self.tables["entity_doc"].write(seq, document_frame(changed), lapsed("entity_doc"))
-
         fresh = record_frame(changed)
         owned = materialize(self.read("entity_record", before, ["entity_id"], only=touched), "owned")
         departed = departed_records(owned, fresh, refreshed).select("data_source", "record_id")
         if live is not None:
             departed = verify_departed(departed, live)
         of_gone = owned.join(gone, "entity_id", "left_semi").select("data_source", "record_id")
-        self.tables["entity_record"].write(seq, one_owner(fresh), departed.unionByName(of_gone))
 
         pairs = fold_relations(relation_frame(changed))
         ended = None
@@ -63,9 +61,15 @@ class EntityMart(VersionedTables):
             pairs = pairs.join(at_end, end, "left_anti")
             hit = self.read("relationship", before, [], only=at_end).select(*RELATION_KEY)
             ended = hit if ended is None else ended.unionByName(hit)
-        self.tables["relationship"].write(seq, pairs, ended)
 
-        self.tables["_quarantine"].write(seq, quarantine_rows(fetched))
+        rows = {
+            "entity": (entity_frame(changed), lapsed("entity")),
+            "entity_doc": (document_frame(changed), lapsed("entity_doc")),
+            "entity_record": (one_owner(fresh), departed.unionByName(of_gone)),
+            "relationship": (pairs, ended),
+            "_quarantine": (quarantine_rows(fetched), None),
+        }
+        in_parallel(self.spark, *[partial(self.tables[name].write, seq, *frames) for name, frames in rows.items()])
         self.commit(seq)
         return seq
 

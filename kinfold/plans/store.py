@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from kinfold.operators import gates, outcomes as out, relating, searching
@@ -9,7 +11,7 @@ from kinfold.operators.features import feature_values, relating_values, with_fea
 from kinfold.plans import resolver
 from kinfold.plans.keyed_table import VersionedTables
 from kinfold.schemas import struct
-from kinfold.session import materialize
+from kinfold.session import in_parallel, materialize
 
 KEY = ["dataSource", "recordId"]
 
@@ -65,10 +67,12 @@ class ResolverStore(VersionedTables):
 
     def _advance(self, now: int, number: int, change: resolver.Change, keys: DataFrame) -> None:
         """Store what changed: member rows, and the keys of new, replaced and lost records."""
-        self.tables["member"].write(now, change.members, change.lost)
         index = ["record_seq", "rule", "key"]
-        self.tables["link_key"].write(
-            now, change.fresh_keys, keys.join(change.lost, "record_seq", "left_semi").select(*index)
+        old_keys = keys.join(change.lost, "record_seq", "left_semi").select(*index)
+        in_parallel(
+            self.spark,
+            partial(self.tables["member"].write, now, change.members, change.lost),
+            partial(self.tables["link_key"].write, now, change.fresh_keys, old_keys),
         )
         self.commit(now, next_record=number)
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every plan relies on. Shuffle width and memory stay with the cluster.
@@ -65,6 +67,22 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(frame: DataFrame, key: str) -> DataFrame:
+    """``frame`` over all cores when it comes from fewer files than there are cores. Meant for plans
+    that do much work per row; an input of many files is left as it is, so nothing large is shuffled."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores, key) if 0 < len(frame.inputFiles()) < cores else frame
+
+
+def in_parallel(spark: SparkSession, *actions) -> None:
+    """Run independent Spark actions side by side, so that the last tasks of one overlap with the next.
+    The first failure is raised after all have ended."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+    for job in running:
+        job.result()
+
+
 def read_if_exists(spark: SparkSession, path: str, schema) -> DataFrame:
     """Parquet at ``path``; an empty frame when the folder does not exist yet."""
     from pyspark.errors import AnalysisException
