@@ -64,7 +64,6 @@ scored AS (
 
 @query("resolve_features", f"""WITH {lines_sql('l', 'documents')}
 SELECT doc_id AS record_seq, 'FULLTEXT' AS ftype, sha256(lower(trim(text))) AS value, true AS used_for_cand FROM l
-UNION ALL SELECT doc_id, 'OPENING', md5(md5(ls[1] || chr(10) || ls[2])), true FROM l WHERE false
 UNION ALL SELECT doc_id, 'OPENING', md5(ls[1] || chr(10) || ls[2]), true FROM l WHERE len(ls) >= 2
 UNION ALL SELECT doc_id, 'CLOSING', md5(ls[-2] || chr(10) || ls[-1]), true FROM l WHERE len(ls) >= 2
 UNION ALL SELECT doc_id, 'LINE', md5(x), true FROM (SELECT DISTINCT doc_id, unnest(ls) AS x FROM l)""")
