@@ -2,7 +2,7 @@
 
 A text is cut into lines (at line feeds and, since whole paragraphs often stand on one line, after sentence ends). Each line is hashed
 without outer white space; a rolling hash over the last two line hashes decides where a chunk ends, so a passage is cut at the same places
-wherever it stands. Chunks of two or more lines that occur more than once in the corpus stay where they occur first
+wherever it stands. Chunks, of two or more lines, that occur more than once in the corpus stay where they occur first
 (smallest id, then smallest place) and are removed elsewhere, after their bytes are compared. A removed chunk takes along the lines beside it that are equal beside the
 first occurrence too, so the ends of a copied passage, which share a chunk with other text, go as well.
 
@@ -22,9 +22,7 @@ from kinfold.session import materialize
 
 LINE = re.compile(r"[^\n]*?[.!?](?=\s)[^\S\n]*\n?|[^\n]*\n|[^\n]+\Z")
 MIN_LINES = 2
-MAX_LINES = 32  # a chunk ends here at the latest
-DIVISOR = 2  # one line in so many ends a chunk
-MIN_CHARS = 40  # a chunk with less text than this is joined with the next
+MIN_CHARS = 40
 BESIDE = 600  # characters looked at on either side of a repeated chunk
 
 
@@ -34,21 +32,28 @@ def lines_of(text: str) -> list[tuple[int, int]]:
 
 
 def chunks_of(text: str) -> list[tuple[int, int, list[str]]]:
-    """(start, end, bare lines with a word) of each content-defined chunk, without gaps."""
-    made, start, bare_lines, before, end = [], 0, [], 0, 0
-    for first, end in lines_of(text):
-        bare = text[first:end].strip()
-        if bare:
-            here = xxhash.xxh64_intdigest(bare.encode("utf-8", "surrogatepass"), 7)
-            rolling = (here * 0x9E3779B1 + before) >> 17
-            before = here
-            bare_lines.append(bare)
-            long_enough = len(bare_lines) >= MIN_LINES and end - start >= MIN_CHARS
-            if len(bare_lines) >= MAX_LINES or long_enough and rolling % DIVISOR == 0:
-                made.append((start, end, bare_lines))
-                start, bare_lines = end, []
-    if start < end:
-        made.append((start, end, bare_lines))
+    """(start, end, bare lines) of the content-defined chunks.
+
+    The rolling hash after a line is that of the line and the one before. A chunk ends where it is the smaller one of two neighbours, so any five
+    lines in a row hold two ends at places that depend on these lines only. A chunk starts after the end before, and further
+    back when it would have fewer than MIN_LINES lines or MIN_CHARS characters.
+    """
+    lines = [(a, b, bare) for a, b in lines_of(text) if (bare := text[a:b].strip())]
+    if len(lines) < MIN_LINES:
+        return []
+    hashes = [xxhash.xxh64_intdigest(bare.encode("utf-8", "surrogatepass"), 7) for _, _, bare in lines]
+    top = 1 << 64
+    rolling = [top] + [(h * 0x9E3779B97F4A7C15 + before * 0xC2B2AE3D27D4EB4F) % top >> 7 for before, h in zip(hashes, hashes[1:])] + [top]
+    made, after = [], 0
+    for at in range(1, len(lines)):
+        if rolling[at] < rolling[at + 1] or rolling[at] <= rolling[at - 1]:
+            first = min(after, at - MIN_LINES + 1)
+            end = lines[at][1]
+            while first > 0 and end - lines[first][0] < MIN_CHARS:
+                first -= 1
+            if end - lines[first][0] >= MIN_CHARS:
+                made.append((lines[first][0], end, [bare for _, _, bare in lines[first : at + 1]]))
+            after = at + 1
     return made
 
 
@@ -98,16 +103,15 @@ def row_key(id_col: str, text_col: str) -> dict[str, Column]:
 
 
 def chunk_rows(docs: DataFrame, text_col: str) -> DataFrame:
-    """(_id, _text, start, end, hash) of every chunk that could be removed, without text."""
+    """(_id, _text, start, end, hash) of every chunk, without text."""
 
     def step(_id, _text, text):
         out = {c: [] for c in ("_id", "_text", "start", "end", "hash")}
         for i, t, body in zip(_id, _text, text):
             for start, end, lines in chunks_of(body or ""):
-                if len(lines) >= MIN_LINES:
-                    digest = xxhash.xxh3_64_intdigest("\n".join(lines).encode("utf-8", "surrogatepass"))
-                    for c, v in zip(out, (i, t, start, end, digest - (1 << 64) if digest >> 63 else digest)):
-                        out[c].append(v)
+                digest = xxhash.xxh3_64_intdigest("\n".join(lines).encode("utf-8", "surrogatepass"))
+                for c, v in zip(out, (i, t, start, end, digest - (1 << 64) if digest >> 63 else digest)):
+                    out[c].append(v)
         return out
 
     return batches(docs.select("_id", "_text", text_col).withColumnRenamed(text_col, "text"), step, "_id string, _text bigint, start int, end int, hash bigint")

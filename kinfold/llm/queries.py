@@ -67,7 +67,7 @@ NO_SECRET = r"^([0-9]+|[0-9]+(-[0-9]+)+|[A-Za-z]*[0-9]{1,2}|[A-Za-z]+([-_/][A-Za
 
 
 def finding_label() -> Column:
-    written = F.concat_ws(" ", "before2", "before", F.when(F.col("lead") != "", F.concat("lead", F.lit("="))))
+    written = F.concat_ws(" ", "before2", "before", F.when(F.col("lead").rlike("[A-Za-z]$"), F.concat("lead", F.lit("="))).otherwise(F.col("lead")))
     named = written.rlike(NAMED_SECRET)
     return F.when(F.col("candidate").rlike(KNOWN_SECRET) | named, 1).when(F.col("candidate").rlike(NO_SECRET), 0)
 
@@ -162,7 +162,7 @@ w AS (
 ), rep AS (
   SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1
 ), cov AS (
-  SELECT doc_id, count(DISTINCT at) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS at FROM rep) GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT spot) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS spot FROM rep) GROUP BY doc_id
 ), c AS (
   SELECT doc_id, host, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars, n_symbols,
          len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words

@@ -90,11 +90,14 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the SimHash of every whole text. Null and empty texts have fingerprint 0."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """(doc_id, content, fp): the SimHash of every whole text, and a hash of the text that tells rows of one id apart."""
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("content"), F.col(text_col).alias("text"))
+
+    def step(id, content, text):
+        return {"id": id, "content": content, "fp": [fingerprint(t, shingle) for t in text]}
+
     kind = docs.schema[id_col].dataType.simpleString()
-    out = batches(rows, lambda id, text: {"id": id, "fp": [fingerprint(t, shingle) for t in text]}, f"id {kind}, fp bigint")
-    return out.select(F.col("id").alias("doc_id"), "fp")
+    return batches(rows, step, f"id {kind}, content bigint, fp bigint").withColumnRenamed("id", "doc_id")
 
 
 def candidates(distinct: DataFrame) -> DataFrame:
@@ -132,6 +135,17 @@ def links(found: DataFrame) -> DataFrame:
     )
 
 
+def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(doc_id, content, fp, root, component_id) for every row; ``root`` is the smallest fingerprint of the component."""
+    marked = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    found = materialize(candidates(nodes.select("fp")), "candidates")
+    roots = components(links(found)).select(F.col("record_seq").alias("fp"), F.col("entity_id").alias("root"))
+    placed = materialize(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
+    smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    return marked.join(placed.join(smallest, "root").select("fp", "root", "component_id"), "fp")
+
+
 def fingerprint_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
 
@@ -140,28 +154,24 @@ def fingerprint_components(docs: DataFrame, id_col: str = "doc_id", text_col: st
     fingerprint zero and are linked like any other; repeated rows stay; a null doc_id is carried, and a component with
     null ids only has a null id. Other columns of ``docs`` are not read.
     """
-    marked = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    found = materialize(candidates(nodes.select("fp")), "candidates")
-    roots = components(links(found)).select(F.col("record_seq").alias("fp"), F.col("entity_id").alias("root"))
-    placed = materialize(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
-    smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.join(smallest, "root").select("fp", "component_id")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return marked.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
+    return grouped(docs, id_col, text_col, shingle).select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, that of the smallest id; all columns stay as they are.
 
-    Null and empty texts are one group. Of rows with one id, one stays if the id is its group's smallest. Rows with a null id are kept only when all of their
-    group have one, and then one of them. Names beginning with _kept are reserved.
+    Null and empty texts are one group. A null id comes after all others. Of several rows with the smallest id one stays. Columns whose names begin with _kept are reserved.
     """
-    groups = materialize(fingerprint_components(docs, id_col, text_col), "groups")
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_kept_rows"))
-    kept = kept.withColumnRenamed("doc_id", "_kept_id")
-    rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept_id")))
+    counted = grouped(docs, id_col, text_col, shingle).groupBy("root", "doc_id", "content").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "content")
+    first = counted.groupBy("root").agg(F.min_by(F.struct("doc_id", "content", "n"), order).alias("one"))
+    kept = materialize(
+        first.select(F.col("one.doc_id").alias("_kept_id"), F.col("one.content").alias("_kept_text"), F.col("one.n").alias("_kept_rows")), "kept"
+    )
+    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.xxhash64(text_col) == F.col("_kept_text"))
+    rows = docs.join(kept, same)
     single = rows.filter("_kept_rows = 1")
     if not kept.filter("_kept_rows > 1").isEmpty():
-        single = single.unionByName(rows.filter("_kept_rows > 1").dropDuplicates(["_kept_id"]))
+        single = single.unionByName(rows.filter("_kept_rows > 1").dropDuplicates(["_kept_id", "_kept_text"]))
     return single.select(*docs.columns)
