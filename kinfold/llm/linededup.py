@@ -6,18 +6,23 @@ wherever it stands. Chunks, of two or more lines, that occur more than once in t
 (smallest id, then smallest place) and are removed elsewhere, after their bytes are compared. A removed chunk takes along the lines beside it that are equal beside the
 first occurrence too, so the ends of a copied passage, which share a chunk with other text, go as well.
 
-Only hashes are shuffled for all chunks. Text is shuffled for repeated chunks, and once per document that holds one.
+Hashes and places alone are shuffled for all chunks. Repeated chunks that follow each other in both documents are joined to runs, and a run's text is
+cut out of its document and compared with that of its first occurrence. Texts are shuffled twice, packed with zstandard.
 """
 
 from __future__ import annotations
 
 import re
+from functools import lru_cache
+from itertools import accumulate
 
+import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from kinfold.llm.common import batches
+from kinfold.llm.common import batches, mixed
 from kinfold.session import materialize
 
 LINE = re.compile(r"[^\n]*?[.!?](?=\s)[^\S\n]*\n?|[^\n]*\n|[^\n]+\Z")
@@ -28,33 +33,41 @@ BESIDE = 600  # characters looked at on either side of a repeated chunk
 
 def lines_of(text: str) -> list[tuple[int, int]]:
     """Start and end of each line, without gaps; a line keeps the white space after it."""
-    return [m.span() for m in LINE.finditer(text) if m.end() > m.start()]
+    ends = list(accumulate(map(len, LINE.findall(text))))
+    return list(zip([0, *ends], ends))
 
 
-def chunks_of(text: str) -> list[tuple[int, int, list[str]]]:
-    """(start, end, bare lines) of the content-defined chunks.
+def chunks_of(text: str) -> tuple[list[int], list[int], list[int]]:
+    """Starts, ends and signed 64-bit hashes of the content-defined chunks.
 
     The rolling hash after a line is that of the line and the one before. A chunk ends where it is the smaller one of two neighbours, so any five
     lines in a row hold two ends at places that depend on these lines only. A chunk starts after the end before, and further
     back when it would have fewer than MIN_LINES lines or MIN_CHARS characters.
     """
-    lines = [(a, b, bare) for a, b in lines_of(text) if (bare := text[a:b].strip())]
-    if len(lines) < MIN_LINES:
-        return []
-    hashes = [xxhash.xxh64_intdigest(bare.encode("utf-8", "surrogatepass"), 7) for _, _, bare in lines]
-    top = 1 << 64
-    rolling = [top] + [(h * 0x9E3779B97F4A7C15 + before * 0xC2B2AE3D27D4EB4F) % top >> 7 for before, h in zip(hashes, hashes[1:])] + [top]
-    made, after = [], 0
-    for at in range(1, len(lines)):
-        if rolling[at] < rolling[at + 1] or rolling[at] <= rolling[at - 1]:
-            first = min(after, at - MIN_LINES + 1)
-            end = lines[at][1]
-            while first > 0 and end - lines[first][0] < MIN_CHARS:
-                first -= 1
-            if end - lines[first][0] >= MIN_CHARS:
-                made.append((lines[first][0], end, [bare for _, _, bare in lines[first : at + 1]]))
-            after = at + 1
-    return made
+    found = LINE.findall(text)
+    bare = [line.strip() for line in found]
+    ends = list(accumulate(map(len, found)))
+    kept = [k for k, line in enumerate(bare) if line]
+    if len(kept) < MIN_LINES:
+        return [], [], []
+    bare = [bare[k].encode("utf-8", "surrogatepass") for k in kept]
+    hashes = np.array([xxhash.xxh64_intdigest(line, 7) for line in bare], dtype=np.uint64)
+    rolling = np.full(len(kept) + 1, np.iinfo(np.uint64).max, np.uint64)
+    rolling[1:-1] = mixed(hashes[1:] + hashes[:-1] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(1)
+    chosen = np.flatnonzero((rolling[1:-1] < rolling[2:]) | (rolling[1:-1] <= rolling[:-2])) + 1
+    starts, stops, digests, after = [], [], [], 0
+    for at in chosen.tolist():
+        first, end = min(after, at - MIN_LINES + 1), ends[kept[at]]
+        start = ends[kept[first] - 1] if kept[first] else 0
+        while first > 0 and end - start < MIN_CHARS:
+            first -= 1
+            start = ends[kept[first] - 1] if kept[first] else 0
+        if end - start >= MIN_CHARS:
+            starts.append(start)
+            stops.append(end)
+            digests.append(xxhash.xxh3_64_intdigest(b"\n".join(bare[first : at + 1])))
+        after = at + 1
+    return starts, stops, np.array(digests, dtype=np.uint64).view(np.int64).tolist()
 
 
 def bare_chunk(text: str) -> str:
@@ -78,12 +91,12 @@ def equal_end(left: str, right: str) -> int:
     return len(left) - taken
 
 
-def equal_start(left: str, right: str) -> int:
+def equal_start(left: str, right: str, whole: bool = False) -> int:
     """Characters of ``left``'s first lines that are equal to the first lines of ``right``."""
     mine, other = lines_of(left), lines_of(right)
-    if len(left) >= BESIDE:
+    if len(left) >= BESIDE and not whole:
         mine = mine[:-1]
-    if len(right) >= BESIDE:
+    if len(right) >= BESIDE and not whole:
         other = other[:-1]
     taken = 0
     for (a, b), (c, d) in zip(mine, other):
@@ -93,69 +106,125 @@ def equal_start(left: str, right: str) -> int:
     return taken
 
 
-def row_key(id_col: str, text_col: str) -> dict[str, Column]:
-    """Rows with one id and one text are one document. The columns are never null."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return {
-        "_id": F.coalesce(F.col(id_col).cast("string"), F.lit("")),
-        "_text": F.xxhash64(text, F.col(id_col).isNull()),
-    }
+def chunk_rows(keyed: DataFrame) -> DataFrame:
+    """(id, content, start, end, hash) of every chunk, without text. Rows with one id and one text are one document."""
+
+    def step(id, content, text):
+        found = [chunks_of(t or "") for t in text]
+        return {"id": id, "content": content} | {c: [f[k] for f in found] for k, c in enumerate(("start", "end", "hash"))}
 
+    kind = keyed.schema["id"].dataType.simpleString()
+    made = batches(keyed, step, f"id {kind}, content bigint, start array<int>, end array<int>, hash array<bigint>")
+    return made.select("id", "content", F.explode(F.arrays_zip("start", "end", "hash")).alias("c")).select("id", "content", "c.*")
 
-def chunk_rows(docs: DataFrame, text_col: str) -> DataFrame:
-    """(_id, _text, start, end, hash) of every chunk, without text."""
 
-    def step(_id, _text, text):
-        out = {c: [] for c in ("_id", "_text", "start", "end", "hash")}
-        for i, t, body in zip(_id, _text, text):
-            for start, end, lines in chunks_of(body or ""):
-                digest = xxhash.xxh3_64_intdigest("\n".join(lines).encode("utf-8", "surrogatepass"))
-                for c, v in zip(out, (i, t, start, end, digest - (1 << 64) if digest >> 63 else digest)):
-                    out[c].append(v)
+def runs_of(chunks: DataFrame) -> DataFrame:
+    """(id, content, start, end, id1, content1, start1, end1): what repeats, and where it stands first.
+
+    The chunks of a document that follow each other here and there are one run. A document's list is bounded by its own chunks.
+    """
+    order = F.struct(F.col("id").isNull().alias("late"), "id", "content", "start", "end")
+    first = chunks.groupBy("hash").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    later = chunks.join(first, "hash").filter(
+        ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("content") == F.col("first.content")) & (F.col("start") == F.col("first.start")))
+    )
+    place = F.struct("start", "end", F.col("first.id").alias("id1"), F.col("first.content").alias("content1"), F.col("first.start").alias("start1"), F.col("first.end").alias("end1"))
+    listed = later.groupBy("id", "content").agg(F.collect_list(place).alias("places"))
+
+    def step(id, content, places):
+        out = {c: [] for c in ("id", "content", "start", "end", "id1", "content1", "start1", "end1")}
+
+        def add(i, c, r):
+            for name, v in zip(out, (i, c, *r)):
+                out[name].append(v)
+
+        for i, c, found in zip(id, content, places):
+            run = None
+            for p in sorted(found, key=lambda p: (p["start"], p["end"])):
+                here = [p["start"], p["end"], p["id1"], p["content1"], p["start1"], p["end1"]]
+                if run and run[2:4] == here[2:4] and here[0] <= run[1] and here[0] - run[0] == here[4] - run[4]:
+                    run[1], run[5] = max(run[1], here[1]), max(run[5], here[5])
+                    continue
+                if run:
+                    add(i, c, run)
+                run = here
+            if run:
+                add(i, c, run)
         return out
 
-    return batches(docs.select("_id", "_text", text_col).withColumnRenamed(text_col, "text"), step, "_id string, _text bigint, start int, end int, hash bigint")
+    kind = chunks.schema["id"].dataType.simpleString()
+    return batches(listed, step, f"id {kind}, content bigint, start int, end int, id1 {kind}, content1 bigint, start1 int, end1 int")
+
+
+def packed(text: Column) -> Column:
+    """The text as zstandard bytes; null stays null."""
+
+    @F.pandas_udf(T.BinaryType())
+    def pack(bodies: pd.Series) -> pd.Series:
+        tool = zstandard.ZstdCompressor(level=3)
+        return pd.Series([None if b is None else tool.compress(b.encode("utf-8", "surrogatepass")) for b in bodies], dtype=object)
+
+    return pack(text)
+
+
+@lru_cache(maxsize=1)
+def _unpacker() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
 
 
-def repeated_chunks(docs: DataFrame, chunks: DataFrame, text_col: str) -> DataFrame:
-    """(_id, _text, start, end, hash, body, left, right) of every chunk whose hash occurs more than once."""
-    shared = chunks.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    spans = chunks.join(shared, "hash").groupBy("_id", "_text").agg(F.collect_list(F.struct("start", "end", "hash")).alias("spans"))
-    held = docs.select("_id", "_text", F.col(text_col).alias("text")).dropDuplicates(["_id", "_text"]).join(spans, ["_id", "_text"])
+def unpacked(body: bytes) -> str:
+    return _unpacker().decompress(body).decode("utf-8", "surrogatepass")
 
-    def step(_id, _text, text, spans):
-        out = {c: [] for c in ("_id", "_text", "start", "end", "hash", "body", "left", "right")}
-        for i, t, body, found in zip(_id, _text, text, spans):
-            for s in found:
-                a, b = s["start"], s["end"]
-                row = (i, t, a, b, s["hash"], bare_chunk(body[a:b]), body[max(0, a - BESIDE) : a], body[b : b + BESIDE])
-                for c, v in zip(out, row):
-                    out[c].append(v)
+
+def slices(keyed: DataFrame, spans: DataFrame) -> DataFrame:
+    """(id, content, start, end, body, left, right) of every span (id, content, start, end): its text and what stands beside it."""
+    listed = spans.groupBy(F.col("id").alias("i"), F.col("content").alias("c")).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    texts = keyed.select("id", "content", packed(F.col("text")).alias("text"))
+    held = texts.join(listed, F.col("id").eqNullSafe(F.col("i")) & (F.col("content") == F.col("c"))).select("id", "content", "text", "spans")
+
+    def step(id, content, text, spans):
+        out = {c: [] for c in ("id", "content", "start", "end", "body", "left", "right")}
+        for i, c, body, found in zip(id, content, text, spans):
+            body = unpacked(body)
+            for a, b in ((s["start"], s["end"]) for s in found):
+                for name, v in zip(out, (i, c, a, b, body[a:b], body[max(0, a - BESIDE) : a], body[b : b + BESIDE])):
+                    out[name].append(v)
         return out
 
-    return batches(held, step, "_id string, _text bigint, start int, end int, hash bigint, body string, left string, right string")
+    kind = keyed.schema["id"].dataType.simpleString()
+    return batches(held, step, f"id {kind}, content bigint, start int, end int, body string, left string, right string")
 
 
-def removals(repeated: DataFrame, id_type: str) -> DataFrame:
-    """(_id, _text, start, end): what goes. Grouping by the chunk's text itself is the byte comparison."""
-    order = F.struct(F.col("_id").cast(id_type).alias("o"), "_id", "_text", "start")
-    first = repeated.groupBy("hash", "body").agg(
-        F.min_by(F.struct("_id", "_text", "start", "left", "right"), order).alias("first"), F.count(F.lit(1)).alias("n")
-    )
-    pairs = repeated.join(first.filter("n > 1").drop("n"), ["hash", "body"]).filter(
-        (F.col("_id") != F.col("first._id")) | (F.col("_text") != F.col("first._text")) | (F.col("start") != F.col("first.start"))
-    )
-    pairs = pairs.select("_id", "_text", "start", "end", "left", "right", F.col("first.left").alias("l"), F.col("first.right").alias("r"))
+def removals(runs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, content, start, end): the parts of the runs that go, after their bytes are compared with the first occurrence.
+
+    A run whose lines are not those of the first occurrence goes only as far as the lines are equal from its start. ``texts`` has the span of each run and of
+    each first occurrence, one row for each span.
+    """
+    names = ["id", "content", "start", "end"]
+    mine = texts.select(*[F.col(c).alias(f"m_{c}") for c in texts.columns])
+    other = texts.select(*[F.col(c).alias(f"o_{c}") for c in texts.columns])
 
-    def step(_id, _text, start, end, left, right, l, r):
-        return {
-            "_id": _id,
-            "_text": _text,
-            "start": [s - equal_end(mine, other) for s, mine, other in zip(start, left, l)],
-            "end": [e + equal_start(mine, other) for e, mine, other in zip(end, right, r)],
-        }
+    def same(side: str, suffix: str) -> Column:
+        pairs = [F.col(f"{c}{suffix}").eqNullSafe(F.col(f"{side}_{c}")) for c in names]
+        return pairs[0] & pairs[1] & pairs[2] & pairs[3]
 
-    return batches(pairs, step, "_id string, _text bigint, start int, end int")
+    met = runs.join(other, same("o", "1")).drop(*[f"o_{c}" for c in names]).join(mine, same("m", ""))
+    met = met.select(*names, "m_body", "m_left", "m_right", "o_body", "o_left", "o_right")
+
+    def step(id, content, start, end, m_body, m_left, m_right, o_body, o_left, o_right):
+        spans = [gone(*row) for row in zip(start, end, m_body, m_left, m_right, o_body, o_left, o_right)]
+        return {"id": id, "content": content, "start": [a for a, _ in spans], "end": [b for _, b in spans]}
+
+    kind = runs.schema["id"].dataType.simpleString()
+    return batches(met, step, f"id {kind}, content bigint, start int, end int").filter("end > start")
+
+
+def gone(start: int, end: int, body: str, left: str, right: str, first_body: str, first_left: str, first_right: str) -> tuple[int, int]:
+    """The span that goes: the run and the equal lines beside it, or the equal lines at the start of a run that is not equal."""
+    if bare_chunk(body) == bare_chunk(first_body):
+        return start - equal_end(left, first_left), end + equal_start(right, first_right)
+    return start, start + equal_start(body, first_body, whole=True)
 
 
 def without(text: str, starts, ends) -> str:
@@ -170,26 +239,30 @@ def without(text: str, starts, ends) -> str:
 
 @F.pandas_udf(T.StringType())
 def cut_out(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-    return pd.Series([t if t is None else without(t, s, e) for t, s, e in zip(text, starts, ends)], dtype=object)
+    whole = [None if t is None else unpacked(t) for t in text]
+    return pd.Series([t if t is None or s is None else without(t, s, e) for t, s, e in zip(whole, starts, ends)], dtype=object)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated chunks taken out of its text, all other columns as they were, plus ``removed_chars``.
 
     Every row stays, with an empty text if all of it stood elsewhere before. Null texts stay null and empty ones empty. Rows with the
-    same id and the same text are one document and are treated alike; null ids order first. A column of ``docs``
-    named removed_chars is replaced; the names _id, _text, _spans and _kept are reserved.
+    same id and the same text are one document and are treated alike; null ids order last. A column of ``docs``
+    named removed_chars is replaced; names that begin with _dedup are reserved.
     """
-    keyed = docs.withColumns(row_key(id_col, text_col))
-    chunks = materialize(chunk_rows(keyed, text_col), "chunks")
-    repeated = materialize(repeated_chunks(keyed, chunks, text_col), "repeated")
-    gone = removals(repeated, docs.schema[id_col].dataType.simpleString())
-    spans = materialize(gone.groupBy("_id", "_text").agg(F.collect_list(F.struct("start", "end")).alias("_spans")), "spans")
-    joined = keyed.join(spans, ["_id", "_text"], "left")
-
-    touched = F.when(F.col("_spans").isNotNull(), F.col(text_col))  # other texts need not go to Python
-    kept = F.coalesce(cut_out(touched, F.col("_spans.start"), F.col("_spans.end")), F.col(text_col))
-    return joined.withColumn("_kept", kept).select(
-        *[F.col("_kept").alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "removed_chars"],
-        (F.length(text_col) - F.length("_kept")).alias("removed_chars"),
+    keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("content"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
+    runs = materialize(runs_of(chunk_rows(keyed)), "runs")
+    spans = runs.select("id", "content", "start", "end").unionByName(runs.select(*[F.col(f"{c}1").alias(c) for c in ("id", "content", "start", "end")]))
+    going = removals(runs, materialize(slices(keyed, spans), "slices"))
+    listed = going.groupBy(F.col("id").alias("_dedup_id"), F.col("content").alias("_dedup_content")).agg(
+        F.collect_list(F.struct("start", "end")).alias("_dedup_spans")
+    )
+    others = [c for c in docs.columns if c not in (text_col, "removed_chars")]
+    marked = docs.select(
+        *others, packed(F.col(text_col)).alias("_dedup_text"), F.xxhash64(text_col).alias("_dedup_hash"), F.length(text_col).alias("_dedup_length")
     )
+    same = F.col(id_col).eqNullSafe(F.col("_dedup_id")) & (F.col("_dedup_hash") == F.col("_dedup_content"))
+    joined = marked.join(materialize(listed, "spans"), same, "left")
+    kept = joined.withColumn("_dedup_kept", cut_out("_dedup_text", F.col("_dedup_spans.start"), F.col("_dedup_spans.end")))
+    columns = [F.col("_dedup_kept").alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "removed_chars"]
+    return kept.select(*columns, (F.col("_dedup_length") - F.length("_dedup_kept")).alias("removed_chars"))
