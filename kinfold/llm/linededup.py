@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from kinfold.llm.common import batches, mixed
 from kinfold.session import materialize
 
-LINE = re.compile(r"[^\n]*?[.!?](?=\s)[^\S\n]*\n?|[^\n]*\n|[^\n]+\Z")
+LINE = re.compile(r"(?=[\s\S])[^\n.!?]*+(?:[.!?](?!\s)[^\n.!?]*+)*+(?:[.!?][^\S\n]*+\n?|\n|\Z)")
 MIN_LINES = 2
 MIN_CHARS = 40
 BESIDE = 600  # characters looked at on either side of a repeated chunk
@@ -77,6 +77,8 @@ def bare_chunk(text: str) -> str:
 
 def equal_end(left: str, right: str) -> int:
     """Characters of ``left``'s last lines that are equal to the last lines of ``right``."""
+    if left.rstrip()[-2:] != right.rstrip()[-2:]:
+        return 0
     mine, other = lines_of(left), lines_of(right)
     taken = len(left)
     # A line at the edge of what was looked at may be cut and does not count.
@@ -93,6 +95,8 @@ def equal_end(left: str, right: str) -> int:
 
 def equal_start(left: str, right: str, whole: bool = False) -> int:
     """Characters of ``left``'s first lines that are equal to the first lines of ``right``."""
+    if left.lstrip()[:2] != right.lstrip()[:2]:
+        return 0
     mine, other = lines_of(left), lines_of(right)
     if len(left) >= BESIDE and not whole:
         mine = mine[:-1]
@@ -125,6 +129,7 @@ def runs_of(chunks: DataFrame) -> DataFrame:
     """
     order = F.struct(F.col("id").isNull().alias("late"), "id", "content", "start", "end")
     first = chunks.groupBy("hash").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    first = materialize(first, "first")  # so that the join below can split a hash with very many rows
     later = chunks.join(first, "hash").filter(
         ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("content") == F.col("first.content")) & (F.col("start") == F.col("first.start")))
     )
@@ -222,7 +227,7 @@ def removals(runs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def gone(start: int, end: int, body: str, left: str, right: str, first_body: str, first_left: str, first_right: str) -> tuple[int, int]:
     """The span that goes: the run and the equal lines beside it, or the equal lines at the start of a run that is not equal."""
-    if bare_chunk(body) == bare_chunk(first_body):
+    if body == first_body or bare_chunk(body) == bare_chunk(first_body):
         return start - equal_end(left, first_left), end + equal_start(right, first_right)
     return start, start + equal_start(body, first_body, whole=True)
 
@@ -251,7 +256,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     named removed_chars is replaced; names that begin with _dedup are reserved.
     """
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("content"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
-    runs = materialize(runs_of(chunk_rows(keyed)), "runs")
+    runs = materialize(runs_of(materialize(chunk_rows(keyed), "chunks")), "runs")
     spans = runs.select("id", "content", "start", "end").unionByName(runs.select(*[F.col(f"{c}1").alias(c) for c in ("id", "content", "start", "end")]))
     going = removals(runs, materialize(slices(keyed, spans), "slices"))
     listed = going.groupBy(F.col("id").alias("_dedup_id"), F.col("content").alias("_dedup_content")).agg(
