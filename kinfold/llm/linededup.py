@@ -7,7 +7,7 @@ wherever it stands. Chunks, of two or more lines, that occur more than once in t
 first occurrence too, so the ends of a copied passage, which share a chunk with other text, go as well.
 
 Hashes and places alone are shuffled for all chunks. Repeated chunks that follow each other in both documents are joined to runs, and a run's text is
-cut out of its document and compared with that of its first occurrence. Texts are shuffled twice, packed with zstandard.
+cut out of its document and compared with that of its first occurrence. Texts are shuffled twice, packed with zstandard where Python reads them anyway.
 """
 
 from __future__ import annotations
@@ -244,8 +244,7 @@ def without(text: str, starts, ends) -> str:
 
 @F.pandas_udf(T.StringType())
 def cut_out(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-    whole = [None if t is None else unpacked(t) for t in text]
-    return pd.Series([t if t is None or s is None else without(t, s, e) for t, s, e in zip(whole, starts, ends)], dtype=object)
+    return pd.Series([t if t is None else without(t, s, e) for t, s, e in zip(text, starts, ends)], dtype=object)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -262,12 +261,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     listed = going.groupBy(F.col("id").alias("_dedup_id"), F.col("content").alias("_dedup_content")).agg(
         F.collect_list(F.struct("start", "end")).alias("_dedup_spans")
     )
-    others = [c for c in docs.columns if c not in (text_col, "removed_chars")]
-    marked = docs.select(
-        *others, packed(F.col(text_col)).alias("_dedup_text"), F.xxhash64(text_col).alias("_dedup_hash"), F.length(text_col).alias("_dedup_length")
-    )
+    marked = docs.drop("removed_chars").withColumn("_dedup_hash", F.xxhash64(text_col))
     same = F.col(id_col).eqNullSafe(F.col("_dedup_id")) & (F.col("_dedup_hash") == F.col("_dedup_content"))
     joined = marked.join(materialize(listed, "spans"), same, "left")
-    kept = joined.withColumn("_dedup_kept", cut_out("_dedup_text", F.col("_dedup_spans.start"), F.col("_dedup_spans.end")))
+    touched = F.when(F.col("_dedup_spans").isNotNull(), F.col(text_col))  # other texts need not go to Python
+    cut = cut_out(touched, F.col("_dedup_spans.start"), F.col("_dedup_spans.end"))
+    kept = joined.withColumn("_dedup_kept", F.coalesce(cut, F.col(text_col)))
     columns = [F.col("_dedup_kept").alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "removed_chars"]
-    return kept.select(*columns, (F.col("_dedup_length") - F.length("_dedup_kept")).alias("removed_chars"))
+    return kept.select(*columns, (F.length(text_col) - F.length("_dedup_kept")).alias("removed_chars"))
