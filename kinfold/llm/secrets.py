@@ -161,6 +161,7 @@ def scan(
     repeated findings. An empty table gives no rows. Other columns of ``docs`` are not read.
     """
     known = materialize(dictionary(docs, text_col), "dictionary")
-    featured = materialize(features(candidates(docs, id_col, text_col, path_col), known), "candidates")
+    found = materialize(candidates(docs, id_col, text_col, path_col), "candidates")
+    featured = materialize(features(found, known), "features")
     model = fit_forest(featured.filter(train).withColumn("label", labels), max_rows=max_rows)
     return judge(featured, model)
