@@ -16,6 +16,8 @@ DEAD_LETTER = struct(
     "message string, attempts int, failedAt timestamp, source string"
 )
 _LEDGER = struct("file string, sweep bigint")
+_FINISHED = struct("file string, run bigint")
+_STATE = struct("run bigint, generation int, due bigint, failing bigint")
 
 
 def reprocessable(dead_letter: DataFrame) -> DataFrame:
@@ -70,36 +72,56 @@ def converge(
     max_rounds: int = 3,
     on_success: Callable[[DataFrame], None] | None = None,
 ) -> Redrive:
-    """Sweep, re-drive, and repeat on what failed again.
+    """Drive the reprocessable letters of files no earlier call has finished, until none is left, a generation makes no progress,
+    or ``max_rounds`` generations were driven; then all that the last generation failed goes to ``quarantine``.
 
-    Stops when nothing reprocessable is left, when a round made no progress (checked before the round
-    limit), or after ``max_rounds``. In the last two cases the whole final generation goes to
-    ``quarantine``. ``redrive`` maps input rows to outcome rows.
+    Nothing is recorded before its outcomes are stored: a generation is written to the state table after its failures, and the letters' files to the ledger after the last
+    generation. A call that follows a crash takes up the first generation without a state row, so ``on_success`` sees each success at least once.
     """
     if max_rounds <= 0:
         raise ValueError("max_rounds must be positive")
-    generation, re_fed = dead_letter, 0
-    for number in range(max_rounds):
-        inbox = f"{work}/refeed-{number}"
-        swept = sweep(spark, generation, inbox, f"{work}/ledger-{number}")
-        if swept == 0:
-            return Redrive(number + 1, re_fed, 0, True)
-        re_fed += swept
-        outcomes = redrive(spark.read.schema(INPUT).parquet(inbox)).persist()
-        generation = f"{work}/gen-{number + 1}"
-        failed = outcomes.filter(F.col("kind") == "ERROR").select(*ERROR_COLUMNS)
-        write_dead_letter(
-            failed.withColumns({"failedAt": F.current_timestamp(), "source": F.lit(f"redrive-{number}")}),
-            generation, "overwrite",
-        )
-        if on_success:
-            on_success(outcomes.filter(F.col("kind") != "ERROR"))
-        outcomes.unpersist()
-        residue_rows = spark.read.schema(DEAD_LETTER).parquet(generation)
-        residue = residue_rows.filter(F.col("category").isin(REPROCESSABLE)).count()
-        if residue == 0:
-            return Redrive(number + 1, re_fed, 0, True)
-        if residue >= swept or number + 1 == max_rounds:
-            residue_rows.write.mode("append").parquet(quarantine)
-            return Redrive(number + 1, re_fed, residue_rows.count(), False)
-    raise AssertionError("unreachable")
+    ledger, state = f"{work}/finished", f"{work}/state"
+    run = read_if_exists(spark, ledger, _FINISHED).agg(F.coalesce(F.max("run") + 1, F.lit(0))).first()[0]
+    base = f"{work}/run={run}"
+    # One row per generation of this call: at most max_rounds.
+    stored = read_if_exists(spark, state, _STATE).filter(F.col("run") == run).collect()
+    counts = {row["generation"]: (row["due"], row["failing"]) for row in stored}
+    if 0 not in counts:
+        if read_if_exists(spark, dead_letter, DEAD_LETTER).isEmpty():
+            return Redrive(1, 0, 0, True)
+        named = spark.read.schema(DEAD_LETTER).parquet(dead_letter).withColumn("file", F.col("_metadata.file_path"))
+        finished = read_if_exists(spark, ledger, _FINISHED).select("file").distinct()
+        fresh = named.filter(F.col("category").isin(REPROCESSABLE)).join(finished, "file", "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{base}/due-0")
+        if spark.read.schema(DEAD_LETTER).parquet(f"{base}/due-0").isEmpty():
+            return Redrive(1, 0, 0, True)
+    for generation in range(max_rounds):
+        if generation not in counts:
+            counts[generation] = _drive(spark, base, generation, redrive, on_success)
+            spark.createDataFrame([(run, generation, *counts[generation])], _STATE).write.mode("append").parquet(state)
+        due, failing = counts[generation]
+        if failing == 0 or failing >= due:
+            break
+    last = max(counts)
+    held = 0
+    if counts[last][1]:
+        rest = spark.read.schema(DEAD_LETTER).parquet(f"{base}/due-{last + 1}")
+        rest.write.mode("overwrite").parquet(f"{quarantine}/run={run}")
+        held = rest.count()
+    files = spark.read.parquet(f"{base}/due-0").select("file").distinct()
+    files.withColumn("run", F.lit(run).cast("bigint")).write.mode("append").parquet(ledger)
+    return Redrive(last + 1, sum(due for due, _ in counts.values()), held, held == 0)
+
+
+def _drive(spark: SparkSession, base: str, generation: int, redrive, on_success) -> tuple[int, int]:
+    """Drive one generation and store what fails as the next; returns how many were due and how many are due again."""
+    due = reprocessable(spark.read.schema(DEAD_LETTER).parquet(f"{base}/due-{generation}"))
+    outcomes = redrive(due).persist()
+    failed = outcomes.filter(F.col("kind") == "ERROR").select(*ERROR_COLUMNS)
+    stamped = failed.withColumns({"failedAt": F.current_timestamp(), "source": F.lit(f"redrive-{generation}")})
+    write_dead_letter(stamped, f"{base}/due-{generation + 1}", "overwrite")
+    if on_success:
+        on_success(outcomes.filter(F.col("kind") != "ERROR"))
+    outcomes.unpersist()
+    again = reprocessable(spark.read.schema(DEAD_LETTER).parquet(f"{base}/due-{generation + 1}"))
+    return due.count(), again.count()

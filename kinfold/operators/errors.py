@@ -7,7 +7,6 @@ import random
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from types import SimpleNamespace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -68,10 +67,34 @@ class RetryPolicy:
     cap_ms: int = 30_000
     breaker: int = 20
 
-    def delay_ms(self, attempt: int, draw: float) -> float:
-        """Between half and all of the exponential step for this attempt."""
-        step = min(self.base_ms * 2 ** min(max(attempt, 0), 20), self.cap_ms)
-        return step / 2 + min(max(draw, 0.0), 1.0) * step / 2
+    def delay_ms(self, round_number: int) -> float:
+        """A uniform draw from the upper half of the step, which doubles each round up to the cap."""
+        step = min(self.base_ms * 2.0 ** min(round_number, 30), self.cap_ms)
+        return random.uniform(step / 2, step)
+
+
+# What a category leads to within a task. RETRY waits and calls again, REFRESH calls again once after the configuration was re-read.
+ACTIONS = {
+    "RETRYABLE": "RETRY", "CONFIG_RELEVANT": "REFRESH", "REPLACE_CONFLICT": "REFRESH", "NOT_FOUND": "ABSENT",
+    "BAD_INPUT": "REJECT", "RETRY_EXHAUSTED": "REJECT", SYSTEMIC: "STOP",
+}
+
+
+@dataclass
+class _Call:
+    """One record's way through the rounds of its batch."""
+
+    row: dict
+    began: float
+    attempts: int = 0
+    elapsed_ms: int = 0
+    response: str | None = None
+    error: VerbError | None = None
+    refreshed: bool = False
+
+    @property
+    def category(self) -> str | None:
+        return CATEGORY_OF.get(self.error.error_class, SYSTEMIC) if self.error else None
 
 
 ROUTED = T.StructType([*OUTCOME.fields, T.StructField("elapsedMs", T.LongType())])
@@ -88,63 +111,62 @@ def route_errors(
 ) -> DataFrame:
     """Apply ``verb(dataSource, recordId, payload, attempt)`` to every row and route what fails.
 
+    The rows of an Arrow batch are called once each; those that may go again are then called together in further rounds.
     ``refresh`` re-reads the configuration after a config-relevant failure; if it returns true the
     record is tried once more. The gate on required keys runs before this, as a column expression.
     """
 
-    def failure(row, category: str, error: VerbError, attempts: int, ms: int) -> dict:
-        return {
-            "kind": "ERROR", "dataSource": row.dataSource, "recordId": row.recordId,
-            "payload": row.payload, "category": category, "errorCode": error.code,
-            "message": str(error), "attempts": attempts, "elapsedMs": ms,
-        }
-
-    def success(row, response: str, ms: int) -> list[dict]:
+    def call(record: _Call) -> None:
+        started = time.monotonic()
+        try:
+            record.response = verb(record.row["dataSource"], record.row["recordId"], record.row["payload"], record.attempts)
+            record.error = None
+        except VerbError as error:
+            record.error = error
+        record.elapsed_ms = int((time.monotonic() - started) * 1000)
+
+    def settle(rows: list[dict], failing: list[int]) -> list[_Call]:
+        """Call all rows of a batch, then again those that may go again, round by round. ``failing`` counts retryable failures in a row over the whole task."""
+        calls = [_Call(row, time.monotonic()) for row in rows]
+        waiting, round_number = calls, 0
+        while waiting:
+            for record in waiting:
+                call(record)
+                action = ACTIONS.get(record.category)
+                failing[0] = failing[0] + 1 if action == "RETRY" else 0 if action is None else failing[0]
+                if action == "STOP" or failing[0] >= policy.breaker:
+                    raise record.error
+            retry = [c for c in waiting if ACTIONS.get(c.category) == "RETRY" and (time.monotonic() - c.began) * 1000 < policy.budget_ms]
+            stale = [c for c in waiting if ACTIONS.get(c.category) == "REFRESH" and not c.refreshed] if refresh else []
+            stale = stale if stale and refresh() else []
+            for record in retry:
+                record.attempts += 1
+            for record in stale:
+                record.refreshed = True
+            if retry:
+                time.sleep(policy.delay_ms(round_number) / 1000)
+            waiting, round_number = retry + stale, round_number + 1
+        return calls
+
+    def outcomes(record: _Call) -> list[dict]:
+        row, ms = record.row, {"elapsedMs": record.elapsed_ms}
+        if record.error:
+            if record.category == "NOT_FOUND" and not_found_is_benign:
+                return []
+            written = {"NOT_FOUND": "BAD_INPUT", "RETRYABLE": "RETRY_EXHAUSTED"}.get(record.category, record.category)
+            error = {"category": written, "errorCode": record.error.code, "message": str(record.error), "attempts": record.attempts}
+            return [{"kind": "ERROR", **row, **error, **ms}]
         if op == "SEARCH":
-            return [{"kind": "SEARCH", "requestJson": row.payload, "resultJson": response, "elapsedMs": ms}]
-        items = json.loads(response).get("AFFECTED_ENTITIES") or []
-        ids = [item.get("ENTITY_ID") for item in items]
-        return [
-            {"kind": "AFFECTED", "dataSource": row.dataSource, "recordId": row.recordId,
-             "entityId": i, "op": op, "runId": run_id, "elapsedMs": ms}
-            for i in ids if isinstance(i, int) and not isinstance(i, bool)
-        ]
-
-    def one(row, streak: list[int]) -> list[dict]:
-        deadline = time.monotonic() + policy.budget_ms / 1000
-        attempt, refreshed = 0, False
-        while True:
-            started = time.monotonic()
-            try:
-                response = verb(row.dataSource, row.recordId, row.payload, attempt)
-            except VerbError as error:
-                ms = int((time.monotonic() - started) * 1000)
-                category = CATEGORY_OF.get(error.error_class, SYSTEMIC)
-                if category == SYSTEMIC:
-                    raise
-                if category == "NOT_FOUND":
-                    return [] if not_found_is_benign else [failure(row, "BAD_INPUT", error, attempt, ms)]
-                if category in ("CONFIG_RELEVANT", "REPLACE_CONFLICT") and refresh and not refreshed and refresh():
-                    refreshed = True
-                    continue
-                if category != "RETRYABLE":
-                    return [failure(row, category, error, attempt, ms)]
-                streak[0] += 1
-                if streak[0] >= policy.breaker:
-                    raise
-                if time.monotonic() >= deadline:
-                    return [failure(row, "RETRY_EXHAUSTED", error, attempt, ms)]
-                time.sleep(policy.delay_ms(attempt, random.random()) / 1000)
-                attempt += 1
-            else:
-                streak[0] = 0
-                return success(row, response, int((time.monotonic() - started) * 1000))
+            return [{"kind": "SEARCH", "requestJson": row["payload"], "resultJson": record.response, **ms}]
+        ids = [item.get("ENTITY_ID") for item in json.loads(record.response).get("AFFECTED_ENTITIES") or []]
+        key = {"dataSource": row["dataSource"], "recordId": row["recordId"], "op": op, "runId": run_id}
+        return [{"kind": "AFFECTED", **key, "entityId": i, **ms} for i in ids if type(i) is int]
 
     def partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        streak = [0]
+        failing = [0]
         for batch in batches:
-            rows = [out for row in batch.to_pylist() for out in one(SimpleNamespace(**row), streak)]
-            yield pa.RecordBatch.from_pylist(rows, schema=shape)
+            made = [row for record in settle(batch.to_pylist(), failing) for row in outcomes(record)]
+            yield pa.RecordBatch.from_pylist(made, schema=shape)
 
     shape = to_arrow_schema(ROUTED)
     return records.select("dataSource", "recordId", "payload").mapInArrow(partition, ROUTED)

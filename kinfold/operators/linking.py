@@ -8,8 +8,6 @@ from kinfold.operators.features import MATCH_KEY_OF
 from kinfold.operators.skew import HOT_FLOOR, hot_keys, salted_join
 from kinfold.session import materialize
 
-MAX_ROUNDS = 60
-
 
 def match_key_of(rule: Column, match_keys: dict[str, str] = MATCH_KEY_OF) -> Column:
     table = F.create_map(*[F.lit(x) for pair in match_keys.items() for x in pair])
@@ -70,11 +68,9 @@ def components(links: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
     """
     ordered = links.select(F.greatest("lo", "hi").alias("hi"), F.least("lo", "hi").alias("lo")).filter("hi > lo")
     edges = materialize(ordered.distinct(), "edges")
-    for _ in range(MAX_ROUNDS):
-        if _is_star_forest(edges):
-            return edges.select(F.col("hi").alias("record_seq"), F.col("lo").alias("entity_id"))
+    while not _is_star_forest(edges):
         edges = materialize(_round(edges, floor), "edges")
-    raise RuntimeError("components did not settle")
+    return edges.select(F.col("hi").alias("record_seq"), F.col("lo").alias("entity_id"))
 
 
 def membership(records: DataFrame, moved: DataFrame) -> DataFrame:
