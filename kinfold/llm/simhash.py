@@ -9,24 +9,35 @@ the five weight-4 words part the 23 positions among themselves.
 Two fingerprints that differ in at most two bits differ in at most two of the three segments, so one segment is equal and
 the segment after it differs in at most two bits. The join key is therefore (equal segment, one Golay key of the next):
 up to 18 keys of up to 35 bits, and no pair within two bits is lost.
+
+``one_of_each`` also takes texts for copies whose sets of five-word shingles have a Jaccard similarity of 0.8 or more. Such texts often differ in
+five to fifteen bits of a SimHash, out of reach of any key that stays selective, so it adds min-wise bands over those shingles, each
+candidate being checked on its whole shingle sets.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from kinfold.llm.common import batches
+from kinfold.llm.common import batches, mixed
 from kinfold.operators.linking import components
+from kinfold.operators.skew import hot_keys, salted_join
 from kinfold.session import materialize
 
 GENERATOR = 0xC75  # fixed value: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1, a generator of the binary Golay code
 BITS = 23
 SEGMENTS = ((0, 23), (23, 23), (46, 18))  # first bit and width of each segment
 BLOCK = 1 << 14  # shingles whose bits are counted at once
+SIMILAR = 0.8  # Jaccard similarity of shingle sets from which on two texts are copies
+WIDE = 5  # words in a shingle of these sets
+BANDS, ROWS = 12, 4  # a pair at 0.8 shares a band with probability 1 - (1 - 0.8^4)^12 = 0.998
+LEADERS = 64  # texts of one band that the others are compared with in one round, at most
+FACTORS = np.random.default_rng(11).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _syndrome(word: int) -> int:
@@ -89,15 +100,47 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, content, fp): the SimHash of every whole text, and a hash of the text that tells rows of one id apart."""
+def shingle_set(text: str | None) -> np.ndarray:
+    """Distinct 64-bit hashes of the five-word shingles; of the whole sequence if there are fewer words."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    hashes = np.array([xxhash.xxh64_intdigest(w, 42) for w in words], dtype=np.uint64)
+    n = max(1, len(words) - WIDE + 1)
+    joined = np.full(n, len(words) if n == 1 else WIDE, np.uint64)
+    for k in range(min(WIDE, len(words))):
+        joined = mixed(joined ^ hashes[k : k + n]) + np.uint64(k)
+    return np.unique(joined)
+
+
+def band_keys(shingles: np.ndarray) -> list[int]:
+    """One signed 64-bit key for each band of min-wise hashes; none for a text without words."""
+    if not len(shingles):
+        return []
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for start in range(0, len(shingles), BLOCK >> 3):
+        part = shingles[start : start + (BLOCK >> 3)]
+        least = np.minimum(least, (part[:, None] * FACTORS).min(axis=0))
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        keys = mixed(keys ^ row) + np.uint64(1)
+    return keys.view(np.int64).tolist()
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bands: bool = False) -> DataFrame:
+    """(doc_id, content, fp): the SimHash of every whole text, and a hash of the text that tells rows of one id apart.
+
+    With ``bands`` also the min-wise band keys over five-word shingles.
+    """
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("content"), F.col(text_col).alias("text"))
 
     def step(id, content, text):
-        return {"id": id, "content": content, "fp": [fingerprint(t, shingle) for t in text]}
+        made = {"id": id, "content": content, "fp": [fingerprint(t, shingle) for t in text]}
+        return made | ({"bands": [band_keys(shingle_set(t)) for t in text]} if bands else {})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return batches(rows, step, f"id {kind}, content bigint, fp bigint").withColumnRenamed("id", "doc_id")
+    schema = f"id {kind}, content bigint, fp bigint" + (", bands array<bigint>" if bands else "")
+    return batches(rows, step, schema).withColumnRenamed("id", "doc_id")
 
 
 def candidates(distinct: DataFrame) -> DataFrame:
@@ -135,9 +178,8 @@ def links(found: DataFrame) -> DataFrame:
     )
 
 
-def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(doc_id, content, fp, root, component_id) for every row; ``root`` is the smallest fingerprint of the component."""
-    marked = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+def grouped(marked: DataFrame) -> DataFrame:
+    """Stored rows of ``fingerprints`` with root, the smallest fingerprint of the component, and component_id, its smallest doc_id."""
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
     found = materialize(candidates(nodes.select("fp")), "candidates")
     roots = components(links(found)).select(F.col("record_seq").alias("fp"), F.col("entity_id").alias("root"))
@@ -146,6 +188,59 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFr
     return marked.join(placed.join(smallest, "root").select("fp", "root", "component_id"), "fp")
 
 
+def compared(members: DataFrame, leaders: int) -> DataFrame:
+    """(key, leader, node): every node of a band beside each leader of the band. Leaders are the smallest nodes of ``leaders`` slots."""
+    slot = F.pmod(F.xxhash64("node", F.lit(leaders)), F.lit(leaders))
+    led = materialize(members.groupBy("key", slot.alias("slot")).agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")), "leaders")
+    sizes = led.groupBy("key").agg(F.sum("n").alias("n"))
+    beside = led.join(sizes.filter("n > 1").select("key"), "key", "left_semi").select("key", "leader")
+    return salted_join(members, beside, ["key"], hot_keys(sizes, ["key"])).select("key", "leader", "node")
+
+
+def similar_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(leader, node) of ``pairs`` whose shingle sets, (node, shingles), have a Jaccard similarity of at least 0.8."""
+    weights = pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("n"))
+    held = pairs.join(sets, "node")
+    first = sets.select(F.col("node").alias("leader"), F.col("shingles").alias("other"))
+    met = salted_join(held, first, ["leader"], hot_keys(weights, ["leader"]))
+    both = F.size(F.array_intersect("shingles", "other"))
+    return met.filter(both >= SIMILAR * (F.size("shingles") + F.size("other") - both)).select("leader", "node")
+
+
+def similar_links(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(lo, hi): links between similar texts. ``nodes`` is a stored frame with node and bands; ``texts_of`` gives (node, text) of some of its rows.
+
+    In each band all texts are compared with a few leaders. A text that is similar to a smaller one leaves, a leader that was compared leaves the
+    band, and the rest go on with twice as many leaders, at most ``LEADERS``, until no band has two texts. So any two texts that share a band and are both
+    left at the end have been compared, and a large group of copies takes one comparison for each copy.
+    """
+    members = nodes.select("node", F.explode(F.array_distinct("bands")).alias("key"))
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    members = materialize(members.join(shared, "key"), "bands")
+    involved = materialize(nodes.join(members.select("node").distinct(), "node", "left_semi").drop("bands"), "involved")
+    sets = materialize(
+        batches(
+            texts_of(involved).dropDuplicates(["node"]),
+            lambda node, text: {"node": node, "shingles": [shingle_set(t).view(np.int64) for t in text]},
+            "node bigint, shingles array<bigint>",
+        ),
+        "shingles",
+    )
+    found, leaders = None, 1
+    while not members.isEmpty():
+        beside = materialize(compared(members, leaders), "beside")
+        pairs = materialize(beside.filter("leader <> node").select("leader", "node").distinct(), "pairs")
+        ends = similar_pairs(pairs, sets)
+        new = materialize(ends.select(F.least("leader", "node").alias("lo"), F.greatest("leader", "node").alias("hi")).distinct(), "similar")
+        found = new if found is None else found.unionByName(new)
+        done = beside.select("key", F.col("leader").alias("node")).distinct()
+        rest = members.join(new.select(F.col("hi").alias("node")).distinct(), "node", "left_anti").join(done, ["key", "node"], "left_anti")
+        several = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+        members = materialize(rest.join(several, "key"), "bands")
+        leaders = min(2 * leaders, LEADERS)
+    return nodes.select(F.col("node").alias("lo"), F.col("node").alias("hi")).limit(0) if found is None else found
+
+
 def fingerprint_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
 
@@ -155,19 +250,32 @@ def fingerprint_components(docs: DataFrame, id_col: str = "doc_id", text_col: st
     null ids only has a null id. Other columns of ``docs`` are not read.
     """
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return grouped(docs, id_col, text_col, shingle).select("doc_id", digits.alias("fingerprint"), "component_id")
+    marked = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    return grouped(marked).select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, that of the smallest id; all columns stay as they are.
 
-    Null and empty texts are one group. A null id comes after all others. Of several rows with the smallest id one stays. Columns whose names begin with _kept are reserved.
+    Texts are linked when their fingerprints differ in at most two bits or their sets of five-word shingles are similar. Null and empty texts
+    are one group. A null id comes after all others. Of several rows with the smallest id one stays. Columns whose names begin with _kept are reserved.
     """
-    counted = grouped(docs, id_col, text_col, shingle).groupBy("root", "doc_id", "content").agg(F.count(F.lit(1)).alias("n"))
+    marked = materialize(fingerprints(docs, id_col, text_col, shingle, bands=True), "fingerprints")
+    counted = grouped(marked).groupBy("root", "doc_id", "content").agg(F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"))
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "content")
-    first = counted.groupBy("root").agg(F.min_by(F.struct("doc_id", "content", "n"), order).alias("one"))
+    first = counted.groupBy("root").agg(F.min_by(F.struct("doc_id", "content", "n", "bands"), order).alias("one"))
+    ones = materialize(first.select(F.col("root").alias("node"), "one.*"), "ones")
+    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_content"), F.col(text_col).alias("text"))
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        met = rows.join(wanted, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_content") == F.col("content")))
+        return met.select("node", "text")
+
+    moved = components(similar_links(ones, texts_of)).select(F.col("record_seq").alias("node"), F.col("entity_id").alias("group"))
+    last = ones.join(moved, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    best = last.groupBy("group").agg(F.min_by(F.struct("doc_id", "content", "n"), order).alias("one"))
     kept = materialize(
-        first.select(F.col("one.doc_id").alias("_kept_id"), F.col("one.content").alias("_kept_text"), F.col("one.n").alias("_kept_rows")), "kept"
+        best.select(F.col("one.doc_id").alias("_kept_id"), F.col("one.content").alias("_kept_text"), F.col("one.n").alias("_kept_rows")), "kept"
     )
     same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.xxhash64(text_col) == F.col("_kept_text"))
     rows = docs.join(kept, same)

@@ -118,3 +118,57 @@ def test_one_of_each(edge_docs, no_docs):
 def test_fingerprint_lengths(words):
     text = " ".join(f"W{i}" for i in range(words))
     assert simhash.fingerprint(text) % (1 << 64) == plain_fingerprint(text)
+
+
+def wide_similarity(a, b):
+    def shingles(t):
+        words = t.lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y)
+
+
+def edited(rng, words, vocabulary, edits):
+    """``words`` with ``edits`` of them replaced, at least six words apart."""
+    out, places = list(words), rng.sample(range(0, len(words), 6), edits)
+    for at in places:
+        out[at] = rng.choice(vocabulary)
+    return out
+
+
+def test_similar_texts_leave_one_document(spark):
+    """Pairs around the limit: those at 0.8 or more lose the larger id, the others stay."""
+    rng = random.Random(9)
+    vocabulary = [f"word{i}" for i in range(3000)]
+    rows, want = [], set()
+    for pair in range(60):
+        first = rng.choices(vocabulary, k=rng.choice([90, 200, 400]))
+        second = edited(rng, first, vocabulary, 1 + len(first) * (pair % 6) // 120)
+        rows += [(2 * pair, " ".join(first)), (2 * pair + 1, " ".join(second).upper())]
+        want |= {2 * pair} if wide_similarity(rows[-2][1], rows[-1][1]) >= 0.8 else {2 * pair, 2 * pair + 1}
+    kept = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert 60 < len(want) < 120
+    assert kept == want
+
+
+def test_a_large_group_of_similar_texts(spark):
+    """Copies of one text with an edit each, and texts that share most bands with them without being similar."""
+    rng = random.Random(10)
+    vocabulary = [f"word{i}" for i in range(3000)]
+    first = rng.choices(vocabulary, k=200)
+    rows = [(n, " ".join(edited(rng, first, vocabulary, 2))) for n in range(150)]
+    rows += [(1000 + n, " ".join(first[:130] + rng.choices(vocabulary, k=70))) for n in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string").repartition(5)
+    kept = {r.doc_id for r in simhash.one_of_each(frame).collect()}
+    assert kept == {0, *range(1000, 1012)}
+
+
+def test_bands_hold_whole_sets():
+    assert simhash.band_keys(simhash.shingle_set(None)) == []
+    words = [f"w{i % 5000}" for i in range(70_000)]
+    keys = simhash.band_keys(simhash.shingle_set(" ".join(words)))
+    assert len(set(keys)) == simhash.BANDS
+    assert keys == simhash.band_keys(simhash.shingle_set("\n".join(words).upper()))
+    assert len(simhash.shingle_set(" ".join(words))) == 5000
+    assert [len(simhash.shingle_set(t)) for t in ("a", "a b c d", "a b c d e", "a b c d e f")] == [1, 1, 1, 2]
