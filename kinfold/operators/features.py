@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from kinfold.session import spread
 
+PASSAGE_LINES = 3  # lines in a row that make two entities possibly the same
 MIN_LINE = 20  # a line counts as evidence only when it is longer than this
 
 
@@ -66,6 +67,8 @@ MATCH_KEY_OF = {rule.code: rule.match_key for rule in RULES}
 
 # Feature types that relate entities without merging them. A shared date alone relates nobody.
 RELATING = ["LINE", "NAME", "ADDRESS", "PHONE", "EMAIL"]
+# Several agreements are keys of their own, so that they are found by equality too.
+TOGETHER = {"PASSAGE": [], "ATTRIBUTES": [("ADDRESS", "PHONE"), ("ADDRESS", "EMAIL"), ("PHONE", "EMAIL")]}
 
 
 def _feature(ftype: str, value: Column, text: Column, usage: str, candidate: bool, scoring: bool) -> Column:
@@ -81,10 +84,10 @@ def _digest(text: Column) -> Column:
 
 
 def with_features(records: DataFrame, attributes: list[Attribute] = ATTRIBUTES) -> DataFrame:
-    """(record_seq, dataSource, recordId, singles, lines).
+    """(record_seq, dataSource, recordId, singles, lines, passages).
 
-    ``singles`` holds the features of the whole record, ``lines`` its distinct long lines. They stay
-    apart so that a plan which needs only one of them does not compute the other.
+    ``singles`` holds the features of the whole record, ``lines`` its distinct long lines, ``passages`` the digests of
+    any ``PASSAGE_LINES`` long lines in a row. They stay apart so that a plan which needs only one of them does not compute the others.
     """
     keys = ["TEXT", *[a.key for a in attributes]]
     body = F.from_json("payload", "struct<" + ", ".join(f"{k}: string" for k in keys) + ">")
@@ -93,6 +96,8 @@ def with_features(records: DataFrame, attributes: list[Attribute] = ATTRIBUTES)
     long = F.coalesce(F.filter(split, lambda x: F.length(x) > MIN_LINE), F.array().cast("array<string>"))
     lined = parsed.select("record_seq", "dataSource", "recordId", "_b", long.alias("_lines"))
     lines, size = F.col("_lines"), F.size("_lines")
+    starts = F.when(size >= PASSAGE_LINES, F.sequence(F.lit(1), size - PASSAGE_LINES + 1)).otherwise(F.array().cast("array<int>"))
+    passages = F.transform(starts, lambda i: _digest(F.concat_ws("\n", F.slice(lines, i, F.lit(PASSAGE_LINES)))))
     ends = lined.select(
         "*",
         F.sha2(F.lower(F.trim("_b.TEXT")), 256).alias("_whole"),
@@ -108,7 +113,8 @@ def with_features(records: DataFrame, attributes: list[Attribute] = ATTRIBUTES)
         single.append(_feature(a.ftype, _digest(text), text, a.usage, a.candidate, a.scoring))
     known = F.filter(F.array(*single), lambda f: f["value"].isNotNull())
     return ends.select(
-        "record_seq", "dataSource", "recordId", known.alias("singles"), F.array_distinct("_lines").alias("lines")
+        "record_seq", "dataSource", "recordId", known.alias("singles"), F.array_distinct("_lines").alias("lines"),
+        F.array_distinct(passages).alias("passages"),
     )
 
 
@@ -130,7 +136,19 @@ def feature_values(featured: DataFrame, ftypes: list[str] | None = None) -> Data
 
 
 def relating_values(featured: DataFrame) -> DataFrame:
-    return feature_values(featured, RELATING)
+    """(record_seq, ftype, value): what relates entities, several agreements of one record included."""
+
+    def typed(ftype: str, values: Column) -> Column:
+        return F.transform(values, lambda v: F.struct(F.lit(ftype).alias("ftype"), v.alias("value")))
+
+    several = [typed("ATTRIBUTES", _combine(pair)) for pair in TOGETHER["ATTRIBUTES"]]
+    together = F.array_distinct(F.concat(typed("PASSAGE", F.col("passages")), *several))
+    return feature_values(featured, RELATING).unionByName(featured.select("record_seq", F.inline(together)))
+
+
+def search_values(featured: DataFrame) -> DataFrame:
+    """(record_seq, ftype, value): relating values, and link keys with the rule as their type."""
+    return relating_values(featured).unionByName(link_keys(featured).select("record_seq", F.col("rule").alias("ftype"), F.col("key").alias("value")))
 
 
 def _combine(ftypes: tuple[str, ...]) -> Column:

@@ -1,9 +1,9 @@
 """Relations between entities: shared values, pair scores, ambiguity.
 
-A value that few entities share gives one piece of evidence per pair of its holders. A value with
-more holders than ``max_block`` says little about any two of them, so its evidence ties each holder to
-the smallest one only: linear in the holders, and no holder is left out. Those values can be
-deferred (see ``plans/resolver.py``) and give the same evidence later.
+One rule for values of any size: each holder of a value is tied to the value's smallest holder. That is linear in the holders and leaves none
+out. Several agreements (lines in a row, two attributes) are values of their own (``features.relating_values``), so a score does not
+depend on which entity happens to be the smallest holder of each single value. Blocks can be deferred (see
+``plans/resolver.py``) and give the same evidence later.
 """
 
 from __future__ import annotations
@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kinfold.operators.skew import HOT_FLOOR, hot_keys, salted_join
 from kinfold.session import materialize
 
-MAX_BLOCK = 50
-SAME_LINES = 3  # shared lines that make two entities possibly the same
+TYPES = ["LINE", "NAME", "ADDRESS", "PHONE", "EMAIL", "PASSAGE", "ATTRIBUTES"]
 
 
 def entity_values(values: DataFrame, moved: DataFrame) -> DataFrame:
@@ -37,44 +36,29 @@ def block_index(values: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
     return salted_join(values, sizes, ["ftype", "value"], hot)
 
 
-def deferred_blocks(index: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
-    """One row per value with too many holders to compare them one by one."""
-    large = index.filter((F.col("n") > max_block) & (F.col("entity_id") == F.col("anchor")))
+def deferred_blocks(index: DataFrame, over: int) -> DataFrame:
+    """One row per value with more than ``over`` holders, to be related later."""
+    large = index.filter((F.col("n") > over) & (F.col("entity_id") == F.col("anchor")))
     return large.select("ftype", "value", "n", "anchor")
 
 
-def small_block_pairs(index: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
-    """(lo, hi, ftype, value) for values with at most ``max_block`` holders."""
-    members = index.filter(F.col("n") <= max_block).groupBy("ftype", "value").agg(
-        F.array_sort(F.collect_list("entity_id")).alias("ids")
-    )
-    pairs = F.flatten(
-        F.transform("ids", lambda a, i: F.transform(
-            F.slice("ids", i + 2, F.size("ids")), lambda b: F.struct(a.alias("lo"), b.alias("hi"))
-        ))
-    )
-    return members.select(F.inline(pairs), "ftype", "value").select("lo", "hi", "ftype", "value")
-
-
-def anchored_pairs(index: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
-    """(lo, hi, ftype, value) for larger values: each holder with the anchor."""
-    large = index.filter((F.col("n") > max_block) & (F.col("entity_id") != F.col("anchor")))
-    return large.select(F.col("anchor").alias("lo"), F.col("entity_id").alias("hi"), "ftype", "value")
+def anchored_pairs(index: DataFrame) -> DataFrame:
+    """(lo, hi, ftype, value): each holder of a value with the smallest one."""
+    others = index.filter(F.col("entity_id") != F.col("anchor"))
+    return others.select(F.col("anchor").alias("lo"), F.col("entity_id").alias("hi"), "ftype", "value")
 
 
 def level_of(counts: dict[str, Column]) -> tuple[Column, Column]:
     """Match level and rule code from the number of shared values per feature type."""
-    attributes = [counts[t] > 0 for t in ("ADDRESS", "PHONE", "EMAIL")]
-    agreeing = sum((a.cast("int") for a in attributes), F.lit(0))
-    named = counts["NAME"] > 0
-    only_name = named & (agreeing == 0) & (counts["LINE"] == 0)
-    same = (counts["LINE"] >= SAME_LINES) | (agreeing >= 2)
+    weak = counts["LINE"] + counts["ADDRESS"] + counts["PHONE"] + counts["EMAIL"]
+    same = (counts["PASSAGE"] > 0) | (counts["ATTRIBUTES"] > 0)
+    only_name = (counts["NAME"] > 0) & (weak == 0)
     level = (
         F.when(same, F.lit("POSSIBLY_SAME")).when(only_name, F.lit("NAME_ONLY")).otherwise(F.lit("POSSIBLY_RELATED"))
     )
     code = (
-        F.when(counts["LINE"] >= SAME_LINES, F.lit("LINES_MANY"))
-        .when(agreeing >= 2, F.lit("ATTRIBUTES_MANY"))
+        F.when(counts["PASSAGE"] > 0, F.lit("LINES_MANY"))
+        .when(counts["ATTRIBUTES"] > 0, F.lit("ATTRIBUTES_MANY"))
         .when(only_name, F.lit("NAME_ONLY"))
         .when(counts["LINE"] > 0, F.lit("LINES_FEW"))
         .otherwise(F.lit("ATTRIBUTE_ONE"))
@@ -87,16 +71,15 @@ def score_pairs(evidence: DataFrame) -> DataFrame:
 
     Counting combines map-side, so a pair sharing many values costs one row per task.
     """
-    types = ["LINE", "NAME", "ADDRESS", "PHONE", "EMAIL"]
     counted = evidence.groupBy("lo", "hi").agg(
-        *[F.count_if(F.col("ftype") == t).alias(f"_{t}") for t in types]
+        *[F.count_if(F.col("ftype") == t).alias(f"_{t}") for t in TYPES]
     )
-    counts = {t: F.col(f"_{t}") for t in types}
-    parts = [F.when(counts[t] > 0, F.lit(f"+{t}")) for t in sorted(types)]
+    counts = {t: F.col(f"_{t}") for t in TYPES}
+    parts = [F.when(counts[t] > 0, F.lit(f"+{t}")) for t in sorted(TYPES)]
     level, code = level_of(counts)
     return counted.select(
         "lo", "hi",
-        sum((counts[t] for t in types[1:]), counts[types[0]]).alias("shared"),
+        sum((counts[t] for t in TYPES[1:]), counts[TYPES[0]]).alias("shared"),
         F.concat_ws("", *parts).alias("match_key"),
         level.alias("match_level_code"),
         code.alias("errule_code"),

@@ -1,63 +1,49 @@
-"""Search by attributes over an index of feature values."""
+"""Search by attributes over the feature values and link keys of entities."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from kinfold.operators.features import feature_values, with_features
-from kinfold.operators.relating import MAX_BLOCK, level_of
+from kinfold.operators.features import RULES, search_values, with_features
+from kinfold.operators.relating import TYPES, level_of
 from kinfold.operators.skew import HOT_FLOOR, hot_keys, salted_join
 from kinfold.session import materialize
 
-_MERGING = ["FULLTEXT", "OPENING", "CLOSING", "SSN"]
-_RELATING = ["LINE", "NAME", "ADDRESS", "PHONE", "EMAIL"]
-
-
-def search_index(values: DataFrame, max_block: int = MAX_BLOCK, floor: int = HOT_FLOOR) -> DataFrame:
-    """One row per (ftype, value) with its holders.
-
-    A value with more than ``max_block`` holders answers with its anchor, the smallest one; the other
-    holders are that entity's relations (see ``relating.py``). ``values`` is read twice; store it first.
-    """
-    sizes = values.groupBy("ftype", "value").agg(F.count(F.lit(1)).alias("n"), F.min("entity_id").alias("anchor"))
-    large = materialize(sizes.filter(F.col("n") > max_block), "large-blocks")
-    flags = large.select("ftype", "value", F.lit(True).alias("_large"))
-    marked = salted_join(values, flags, ["ftype", "value"], hot_keys(large, ["ftype", "value"], floor=floor), "left")
-    small = marked.filter(F.col("_large").isNull()).groupBy("ftype", "value").agg(
-        F.collect_list("entity_id").alias("holders")
-    )
-    return small.unionByName(large.select("ftype", "value", F.array("anchor").alias("holders")))
-
 
 def request_features(requests: DataFrame) -> DataFrame:
     """(request_id, ftype, value) of (request_id, payload) requests."""
     shaped = requests.select(
         F.col("request_id").alias("record_seq"), F.lit("").alias("dataSource"), F.lit("").alias("recordId"), "payload"
     )
-    return feature_values(with_features(shaped)).withColumnRenamed("record_seq", "request_id")
+    return search_values(with_features(shaped)).withColumnRenamed("record_seq", "request_id")
 
 
-def search(requests: DataFrame, index: DataFrame, top: int = 10, floor: int = HOT_FLOOR) -> DataFrame:
-    """(request_id, rank, entity_id, shared, match_level_code): the best ``top`` entities per request."""
+def search(requests: DataFrame, values: DataFrame, top: int | None = None, floor: int = HOT_FLOOR) -> DataFrame:
+    """(request_id, rank, entity_id, shared, match_level_code): the entities that share a value with a request, best first.
+
+    ``values`` (entity_id, ftype, value) are those of ``features.search_values``; all holders of a value answer. An entity that shares a link key
+    is RESOLVED: adding the request would merge it. ``top`` keeps the best ones of each request.
+    """
     asked = materialize(request_features(requests), "asked")
-    weights = asked.groupBy("ftype", "value").agg(F.count(F.lit(1)).alias("n"))
-    hits = salted_join(asked, index, ["ftype", "value"], hot_keys(weights, ["ftype", "value"], floor=floor))
-    counted = hits.select("request_id", "ftype", F.explode("holders").alias("entity_id")).groupBy(
-        "request_id", "entity_id"
-    ).agg(
+    wanted = asked.select("ftype", "value").distinct()
+    held = materialize(values.join(wanted, ["ftype", "value"], "left_semi"), "held")
+    weights = held.groupBy("ftype", "value").agg(F.count(F.lit(1)).alias("n"))
+    hits = salted_join(held, asked, ["ftype", "value"], hot_keys(weights, ["ftype", "value"], floor=floor))
+    counted = hits.groupBy("request_id", "entity_id").agg(
         F.count(F.lit(1)).alias("shared"),
-        F.count_if(F.col("ftype").isin(_MERGING)).alias("_merging"),
-        *[F.count_if(F.col("ftype") == t).alias(f"_{t}") for t in _RELATING],
+        F.count_if(F.col("ftype").isin([rule.code for rule in RULES])).alias("_merging"),
+        *[F.count_if(F.col("ftype") == t).alias(f"_{t}") for t in TYPES],
     )
-    level, _ = level_of({t: F.col(f"_{t}") for t in _RELATING})
+    level, _ = level_of({t: F.col(f"_{t}") for t in TYPES})
     levelled = counted.withColumn(
         "match_level_code", F.when(F.col("_merging") > 0, F.lit("RESOLVED")).otherwise(level)
     )
-    # Candidates per request are bounded by its own features times the block limit.
     best = Window.partitionBy("request_id").orderBy(
         (F.col("match_level_code") == "RESOLVED").desc(), F.col("shared").desc(), "entity_id"
     )
-    ranked = levelled.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    ranked = levelled.withColumn("rank", F.row_number().over(best))
+    if top is not None:
+        ranked = ranked.filter(F.col("rank") <= top)
     return ranked.select("request_id", "rank", "entity_id", "shared", "match_level_code")
 
 

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from kinfold.operators.features import LinkRule, RULES, link_keys, relating_values, with_features
 from kinfold.operators.linking import components, membership, star_links
 from kinfold.operators.relating import (
-    MAX_BLOCK, anchored_pairs, block_index, deferred_blocks, entity_values, relations, score_pairs,
-    small_block_pairs,
+    anchored_pairs, block_index, deferred_blocks, entity_values, relations, score_pairs,
 )
 from kinfold.operators.skew import HOT_FLOOR
 from kinfold.session import materialize
@@ -43,18 +42,18 @@ def relation_index(records: DataFrame, moved: DataFrame, floor: int = HOT_FLOOR)
     return materialize(block_index(values, floor), "blocks")
 
 
-def relate(index: DataFrame, max_block: int = MAX_BLOCK, redo_done: DataFrame | None = None) -> DataFrame:
-    """Scored entity pairs: small blocks now, plus the large blocks whose redo is done."""
-    evidence = small_block_pairs(index, max_block)
+def relate(index: DataFrame, over: int, redo_done: DataFrame | None = None) -> DataFrame:
+    """Scored entity pairs of the values with at most ``over`` holders, plus those whose redo is done."""
+    evidence = anchored_pairs(index.filter(F.col("n") <= over))
     if redo_done is not None:
         done = index.join(redo_done.select("ftype", "value"), ["ftype", "value"], "left_semi")
-        evidence = evidence.unionByName(anchored_pairs(done, max_block))
+        evidence = evidence.unionByName(anchored_pairs(done))
     return score_pairs(evidence)
 
 
-def relate_all(index: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
-    """Scored entity pairs over all blocks, the result of a relate and a drained redo."""
-    return score_pairs(small_block_pairs(index, max_block).unionByName(anchored_pairs(index, max_block)))
+def relate_all(index: DataFrame) -> DataFrame:
+    """Scored entity pairs over all values, the result of a relate and a drained redo."""
+    return score_pairs(anchored_pairs(index))
 
 
 # --- affected entities -----------------------------------------------------------------------
@@ -195,10 +194,10 @@ def redo_affected(index: DataFrame, taken: DataFrame, run_id: str) -> DataFrame:
     )
 
 
-def drain_redo(index: DataFrame, limit: int, max_block: int = MAX_BLOCK) -> tuple[DataFrame, int]:
+def drain_redo(index: DataFrame, limit: int, over: int) -> tuple[DataFrame, int]:
     """Process deferred blocks batch by batch until none is left *now*; returns the processed blocks
     and the number of batches. A batch leaves the queue only after its result is stored."""
-    waiting = materialize(deferred_blocks(index, max_block), "deferred")
+    waiting = materialize(deferred_blocks(index, over), "deferred")
     done, batches = None, 0
     while True:
         taken = materialize(take_redo(waiting, limit), "redo")
@@ -209,5 +208,5 @@ def drain_redo(index: DataFrame, limit: int, max_block: int = MAX_BLOCK) -> tupl
         batches += 1
 
 
-def entity_relations(index: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
-    return relations(relate_all(index, max_block))
+def entity_relations(index: DataFrame) -> DataFrame:
+    return relations(relate_all(index))

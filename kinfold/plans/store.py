@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from kinfold.operators import gates, outcomes as out, relating, searching
-from kinfold.operators.features import feature_values, relating_values, with_features
+from kinfold.operators.features import search_values, relating_values, with_features
 from kinfold.plans import resolver
 from kinfold.plans.keyed_table import VersionedTables
 from kinfold.schemas import struct
@@ -104,15 +104,14 @@ class ResolverStore(VersionedTables):
     def _values(self, relating_only: bool) -> DataFrame:
         """Feature values per entity of all stored records."""
         featured = with_features(self.read("record"))
-        values = relating_values(featured) if relating_only else feature_values(featured)
+        values = relating_values(featured) if relating_only else search_values(featured)
         moved = self.read("member", columns=["entity_id"]).select("record_seq", "entity_id")
         return materialize(relating.entity_values(values, moved), "values")
 
-    def search(self, requests: DataFrame, top: int = 10) -> DataFrame:
+    def search(self, requests: DataFrame, top: int | None = None) -> DataFrame:
         """Search rows for requests given as input records; reads only."""
         asked = number_rows(requests.select("payload"), 0, "request_id")
-        index = materialize(searching.search_index(self._values(False)), "index")
-        return out.outcome_union(search=searching.search_results(asked, searching.search(asked, index, top)))
+        return out.outcome_union(search=searching.search_results(asked, searching.search(asked, self._values(False), top)))
 
     def block_index(self) -> DataFrame:
         """Blocks for relations and redo, see ``resolver.relate`` and ``resolver.drain_redo``."""

@@ -43,19 +43,19 @@ members{tag} AS (SELECT node AS doc_id, min(seen) AS entity_id FROM reach{tag} G
 
 _R = f"WITH RECURSIVE {lines_sql('l', 'documents')}, {members_sql('', 'l')}"
 
-_SHARED = """
-vals AS (SELECT DISTINCT entity_id, md5(x) AS value FROM (SELECT doc_id, unnest(ls) AS x FROM l) JOIN members USING (doc_id)),
-sized AS (SELECT entity_id, value, count(*) OVER (PARTITION BY value) AS n, min(entity_id) OVER (PARTITION BY value) AS anchor FROM vals)"""
-
-
-def evidence_sql(cap: int, large: bool = True) -> str:
-    wide = f" UNION ALL SELECT anchor, entity_id, value FROM sized WHERE n > {cap} AND entity_id <> anchor" if large else ""
-    return f"""
-evidence AS (
-  SELECT a.entity_id AS lo, b.entity_id AS hi, a.value FROM sized a JOIN sized b ON a.value = b.value AND a.entity_id < b.entity_id WHERE a.n <= {cap}{wide}),
+_PASSAGES = """SELECT doc_id, 'PASSAGE' AS ftype, md5(ls[i] || chr(10) || ls[i + 1] || chr(10) || ls[i + 2]) AS value
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) - 1)) AS i FROM l)"""
+
+_SHARED = f"""
+vals AS (SELECT DISTINCT entity_id, ftype, value FROM (
+  SELECT doc_id, 'LINE' AS ftype, md5(x) AS value FROM (SELECT doc_id, unnest(ls) AS x FROM l) UNION ALL {_PASSAGES}) JOIN members USING (doc_id)),
+sized AS (
+  SELECT entity_id, ftype, value, count(*) OVER (PARTITION BY ftype, value) AS n, min(entity_id) OVER (PARTITION BY ftype, value) AS anchor FROM vals),
+evidence AS (SELECT anchor AS lo, entity_id AS hi, ftype, value FROM sized WHERE entity_id <> anchor),
 scored AS (
-  SELECT lo, hi, count(*) AS shared, CASE WHEN count(*) >= 3 THEN 'POSSIBLY_SAME' ELSE 'POSSIBLY_RELATED' END AS level,
-    CASE WHEN count(*) >= 3 THEN 'LINES_MANY' ELSE 'LINES_FEW' END AS code
+  SELECT lo, hi, count(*) AS shared, CASE WHEN bool_or(ftype = 'PASSAGE') THEN 'POSSIBLY_SAME' ELSE 'POSSIBLY_RELATED' END AS level,
+    CASE WHEN bool_or(ftype = 'PASSAGE') THEN 'LINES_MANY' ELSE 'LINES_FEW' END AS code,
+    CASE WHEN bool_or(ftype = 'LINE') THEN '+LINE' ELSE '' END || CASE WHEN bool_or(ftype = 'PASSAGE') THEN '+PASSAGE' ELSE '' END AS match_key
   FROM evidence GROUP BY lo, hi)"""
 
 
@@ -78,21 +78,21 @@ def _index(t: Tables) -> tuple[resolver.Resolution, DataFrame]:
     return resolution, resolver.relation_index(records, resolution.moved)
 
 
-@query("resolve_candidates", f"""{_R}, {_SHARED}, {evidence_sql(relating.MAX_BLOCK)}
-SELECT lo, hi, rule AS evidence, CAST(NULL AS VARCHAR) AS value FROM links UNION ALL SELECT lo, hi, 'LINE', value FROM evidence""")
+@query("resolve_candidates", f"""{_R}, {_SHARED}
+SELECT lo, hi, rule AS evidence, CAST(NULL AS VARCHAR) AS value FROM links UNION ALL SELECT lo, hi, ftype, value FROM evidence""")
 def resolve_candidates(t: Tables) -> DataFrame:
-    """Record links per rule and entity pairs per shared line."""
+    """Record links per rule and entity pairs per shared line or passage."""
     resolution, index = _index(t)
-    pairs = relating.small_block_pairs(index).unionByName(relating.anchored_pairs(index))
+    pairs = relating.anchored_pairs(index)
     return resolution.links.select("lo", "hi", F.col("rule").alias("evidence"), F.lit(None).cast("string").alias("value")).unionByName(
         pairs.select("lo", "hi", F.col("ftype").alias("evidence"), F.lower(F.hex("value")).alias("value"))
     )
 
 
-@query("resolve_scored_pairs", f"""{_R}, {_SHARED}, {evidence_sql(relating.MAX_BLOCK)}
+@query("resolve_scored_pairs", f"""{_R}, {_SHARED}
 SELECT lo, hi, CASE rule WHEN 'EXACT_TEXT' THEN '+FULLTEXT' WHEN 'SAME_OPENING' THEN '+OPENING' ELSE '+CLOSING' END AS match_key,
   'RESOLVED' AS match_level_code, rule AS errule_code FROM links
-UNION ALL SELECT lo, hi, '+LINE', level, code FROM scored""")
+UNION ALL SELECT lo, hi, match_key, level, code FROM scored""")
 def resolve_scored_pairs(t: Tables) -> DataFrame:
     resolution, index = _index(t)
     merged = resolution.links.select(
@@ -107,10 +107,10 @@ def resolve_entities(t: Tables) -> DataFrame:
     return resolver.resolve(fx.records(t)).members.select("record_seq", "recordId", "entity_id")
 
 
-@query("resolve_relationships", f"""{_R}, {_SHARED}, {evidence_sql(relating.MAX_BLOCK)},
+@query("resolve_relationships", f"""{_R}, {_SHARED},
 ends AS (SELECT lo AS id FROM scored WHERE level = 'POSSIBLY_SAME' UNION ALL SELECT hi FROM scored WHERE level = 'POSSIBLY_SAME'),
 several AS (SELECT id FROM ends GROUP BY id HAVING count(*) > 1)
-SELECT lo AS entity_id_lo, hi AS entity_id_hi, level AS match_level_code, '+LINE' AS match_key, code AS errule_code,
+SELECT lo AS entity_id_lo, hi AS entity_id_hi, level AS match_level_code, match_key, code AS errule_code,
   level = 'POSSIBLY_SAME' AND (lo IN (SELECT id FROM several) OR hi IN (SELECT id FROM several)) AS is_ambiguous FROM scored""")
 def resolve_relationships(t: Tables) -> DataFrame:
     _, index = _index(t)
@@ -134,11 +134,11 @@ def _member_rows(members: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-@query("entity_docs", f"""{_R}, {_SHARED}, {evidence_sql(relating.MAX_BLOCK)},
+@query("entity_docs", f"""{_R}, {_SHARED},
 rels AS (SELECT lo AS id, count(*) AS n FROM (SELECT lo FROM scored UNION ALL SELECT hi FROM scored) GROUP BY lo),
 feats AS (
   SELECT entity_id AS id, count(*) AS n FROM (
-    SELECT DISTINCT entity_id, 'V' AS t, value FROM vals
+    SELECT DISTINCT entity_id, 'V' AS t, value FROM vals WHERE ftype = 'LINE'
     UNION SELECT entity_id, rule, key FROM keys JOIN members USING (doc_id)) GROUP BY entity_id)
 SELECT entity_id, min(source || ':' || CAST(entity_id AS VARCHAR)) FILTER (WHERE doc_id = entity_id) AS entity_name,
   CAST(count(*) AS INTEGER) AS record_count, CAST(coalesce(any_value(rels.n), 0) AS INTEGER) AS relation_count,
@@ -276,28 +276,28 @@ def resolve_delete_affected(t: Tables) -> DataFrame:
 @query("resolve_search", f"""{_R},
 held AS (
   SELECT DISTINCT entity_id, 'LINE' AS ftype, md5(x) AS value FROM (SELECT doc_id, unnest(ls) AS x FROM l) JOIN members USING (doc_id)
+  UNION SELECT entity_id, ftype, value FROM ({_PASSAGES}) JOIN members USING (doc_id)
   UNION SELECT entity_id, rule, key FROM keys JOIN members USING (doc_id)),
-sized AS (SELECT *, count(*) OVER (PARTITION BY ftype, value) AS n, min(entity_id) OVER (PARTITION BY ftype, value) AS anchor FROM held),
-idx AS (SELECT * FROM sized WHERE n <= {relating.MAX_BLOCK} OR entity_id = anchor),
 asked AS (
   SELECT DISTINCT doc_id, 'LINE' AS ftype, md5(x) AS value FROM (SELECT doc_id, unnest(ls) AS x FROM l)
+  UNION {_PASSAGES}
   UNION SELECT doc_id, rule, key FROM keys),
 hits AS (
-  SELECT asked.doc_id AS request_id, entity_id, count(*) AS shared, count(*) FILTER (WHERE asked.ftype <> 'LINE') AS merging
-  FROM asked JOIN idx ON asked.ftype = idx.ftype AND asked.value = idx.value GROUP BY 1, 2),
+  SELECT asked.doc_id AS request_id, entity_id, count(*) AS shared, count(*) FILTER (WHERE asked.ftype NOT IN ('LINE', 'PASSAGE')) AS merging,
+    bool_or(asked.ftype = 'PASSAGE') AS passage
+  FROM asked JOIN held ON asked.ftype = held.ftype AND asked.value = held.value WHERE asked.doc_id % 100 = 0 GROUP BY 1, 2),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY merging > 0 DESC, shared DESC, entity_id) AS rank FROM hits)
 SELECT request_id, CAST(rank AS INTEGER) AS rank, entity_id, shared,
-  CASE WHEN merging > 0 THEN 'RESOLVED' WHEN shared >= 3 THEN 'POSSIBLY_SAME' ELSE 'POSSIBLY_RELATED' END AS match_level_code
+  CASE WHEN merging > 0 THEN 'RESOLVED' WHEN passage THEN 'POSSIBLY_SAME' ELSE 'POSSIBLY_RELATED' END AS match_level_code
 FROM ranked WHERE rank <= 3""")
 def resolve_search(t: Tables) -> DataFrame:
-    """Every document as a request, its three best entities."""
+    """Documents whose id is divisible by 100 as requests against all entities, the three best for each."""
     records = fx.records(t)
     state = resolver.resolve(records)
-    held = relating.entity_values(ft.feature_values(ft.with_features(records)), state.moved)
-    index = searching.search_index(materialize(held, "values"))
-    requests = records.select(F.col("record_seq").alias("request_id"), "payload")
-    return searching.search(requests, index, top=3)
+    held = relating.entity_values(ft.search_values(ft.with_features(records)), state.moved)
+    requests = records.filter("record_seq % 100 = 0").select(F.col("record_seq").alias("request_id"), "payload")
+    return searching.search(requests, held, top=3)
 
 
 @query("resolve_search_results", """
@@ -306,28 +306,27 @@ def resolve_search_results(t: Tables) -> DataFrame:
     """Requests with their result JSON: every request gets one, found or not."""
     records = fx.records(t)
     state = resolver.resolve(records)
-    held = relating.entity_values(ft.feature_values(ft.with_features(records)), state.moved)
-    index = searching.search_index(materialize(held, "values"))
+    held = relating.entity_values(ft.search_values(ft.with_features(records)), state.moved)
     requests = t.benchmark.select(F.col("item_id").alias("request_id"), F.to_json(F.struct(F.col("text").alias("TEXT"))).alias("payload"))
-    results = searching.search_results(requests, searching.search(requests, index))
+    results = searching.search_results(requests, searching.search(requests, held))
     listed = F.get_json_object("resultJson", "$.RESOLVED_ENTITIES").isNotNull().cast("int")
     return results.select(F.md5(F.get_json_object("requestJson", "$.TEXT")).alias("text_md5"), listed.alias("lists"))
 
 
-_REDO_BLOCK = 8  # a lower limit than the default, so that the queue holds several blocks
+_REDO_BLOCK = 8  # values with more holders wait in the queue
 _REDO_LIMIT = 5
 
 
 @query("resolve_redo_batch", f"""{_R}, {_SHARED},
-taken AS (SELECT value FROM (SELECT DISTINCT value, n FROM sized WHERE n > {_REDO_BLOCK}) ORDER BY n DESC, value LIMIT {_REDO_LIMIT})
-SELECT DISTINCT entity_id AS "entityId", 'REDO' AS op FROM sized WHERE value IN (SELECT value FROM taken)""")
+taken AS (SELECT ftype, value FROM (SELECT DISTINCT ftype, value, n FROM sized WHERE n > {_REDO_BLOCK}) ORDER BY n DESC, ftype, value LIMIT {_REDO_LIMIT})
+SELECT DISTINCT entity_id AS "entityId", 'REDO' AS op FROM sized SEMI JOIN taken USING (ftype, value)""")
 def resolve_redo_batch(t: Tables) -> DataFrame:
     _, index = _index(t)
     taken = resolver.take_redo(relating.deferred_blocks(index, _REDO_BLOCK), _REDO_LIMIT)
     return resolver.redo_affected(index, taken, "run-3").select("entityId", "op")
 
 
-@query("resolve_redo_drained", f"""{_R}, {_SHARED}, {evidence_sql(_REDO_BLOCK)}
+@query("resolve_redo_drained", f"""{_R}, {_SHARED}
 SELECT lo, hi, shared, level AS match_level_code FROM scored""")
 def resolve_redo_drained(t: Tables) -> DataFrame:
     """After the queue is drained the relations equal those computed without deferring anything."""

@@ -68,7 +68,7 @@ def test_people_resolve_over_different_rules(spark):
     }
     assert scored == {
         (1, 4): ("+NAME", "NAME_ONLY"), (1, 5): ("+ADDRESS", "POSSIBLY_RELATED"), (1, 6): ("+ADDRESS", "POSSIBLY_RELATED"),
-        (5, 6): ("+ADDRESS+PHONE", "POSSIBLY_SAME"),
+        (5, 6): ("+ATTRIBUTES+PHONE", "POSSIBLY_SAME"),
     }
 
 
@@ -114,7 +114,7 @@ def test_a_hot_copy_group_and_a_hot_line(spark):
     assert done.links.filter("rule = 'EXACT_TEXT'").count() == 39
     assert set(grouping(done.members).values()) == {0, *range(40, 120)}
     index = resolver.relation_index(records, done.moved, floor=10)
-    scored = {(r.lo, r.hi) for r in resolver.relate_all(index, max_block=10).collect()}
+    scored = {(r.lo, r.hi) for r in resolver.relate_all(index).collect()}
     assert scored == {(0, n) for n in range(40, 120)}
 
 
@@ -126,17 +126,52 @@ def test_redo_drains_to_the_full_result(spark):
     drained, batches = resolver.drain_redo(index, 2, 3)
     assert batches == -(-waiting.count() // 2) > 1
     rows = lambda frame: sorted(map(tuple, frame.collect()))
-    assert rows(resolver.relate(index, 3, drained)) == rows(resolver.relate_all(index, 3))
-    assert rows(resolver.relate(index, 3)) != rows(resolver.relate_all(index, 3))
+    assert rows(resolver.relate(index, 3, drained)) == rows(resolver.relate_all(index))
+    assert rows(resolver.relate(index, 3)) != rows(resolver.relate_all(index))
     empty, none = resolver.drain_redo(index, 2, 10_000)
     assert empty.isEmpty() and none == 0
 
 
-def test_small_blocks_give_every_pair_once(spark):
-    rows = [(e, "LINE", bytearray(b"v")) for e in (4, 1, 9)] + [(1, "LINE", bytearray(b"w"))]
+@pytest.mark.parametrize("holders", [2, 49, 51, 500])
+def test_evidence_has_one_form_for_all_sizes(spark, holders):
+    rows = [(e, "LINE", bytearray(b"v")) for e in range(holders)] + [(1, "LINE", bytearray(b"w"))]
     index = relating.block_index(spark.createDataFrame(rows, "entity_id bigint, ftype string, value binary"))
-    assert sorted((r.lo, r.hi) for r in relating.small_block_pairs(index).collect()) == [(1, 4), (1, 9), (4, 9)]
-    assert sorted((r.lo, r.hi) for r in relating.anchored_pairs(index, 2).collect()) == [(1, 4), (1, 9)]
+    assert sorted((r.lo, r.hi) for r in relating.anchored_pairs(index).collect()) == [(0, e) for e in range(1, holders)]
+
+
+def test_a_shared_passage_does_not_depend_on_single_lines(spark):
+    """2 and 3 share three lines in a row; each line alone also stands in the smaller entity 1, but not in a row."""
+    lines = [f"a line of text that is long enough, number {n}" for n in range(3)]
+    other = [f"some other line between them, number {n}" for n in range(9)]
+    bodies = {
+        1: [other[0], lines[0], other[1], lines[1], other[2], lines[2], other[3]],
+        2: [other[4], *lines, other[5]],
+        3: [other[6], *lines, other[7]],
+    }
+    records = spark.createDataFrame([person(n, TEXT="\n".join(b)) for n, b in bodies.items()], SCHEMA)
+    done = resolver.resolve(records)
+    scored = {(r.lo, r.hi): r.match_level_code for r in resolver.relate_all(resolver.relation_index(records, done.moved)).collect()}
+    assert scored == {(1, 2): "POSSIBLY_RELATED", (1, 3): "POSSIBLY_RELATED", (2, 3): "POSSIBLY_SAME"}
+
+
+def test_search_agrees_with_add(spark, folder):
+    """A request that add would merge is RESOLVED, a shared date alone finds nothing, and every holder of a value answers."""
+    store = ResolverStore(spark, folder)
+    store.create()
+    store.register(spark.createDataFrame([("S",)], "data_source string"))
+    load = lambda rows: spark.createDataFrame([r[1:] for r in rows], "dataSource string, recordId string, payload string")
+    held = [person(1, NAME_FULL="Ann Lee", DATE_OF_BIRTH="1980-01-01")]
+    store.add(load(held + [person(n, ADDR_FULL="1 Elm St", SSN_NUMBER=str(n)) for n in range(2, 62)]), "a")
+    asked = [
+        person(0, NAME_FULL="ann  lee", DATE_OF_BIRTH="1980-01-01"), person(0, DATE_OF_BIRTH="1980-01-01"), person(0, NAME_FULL="Ann Lee"),
+        person(0, ADDR_FULL="1 elm st"),
+    ]
+    found = {r.requestJson: json.loads(r.resultJson)["RESOLVED_ENTITIES"] for r in store.search(load(asked)).collect()}
+    levels = [[e["MATCH_INFO"]["MATCH_LEVEL_CODE"] for e in found[a[3]]] for a in asked]
+    assert levels == [["RESOLVED"], [], ["NAME_ONLY"], ["POSSIBLY_RELATED"] * 60]
+    before = store.read("member").select("entity_id").distinct().count()
+    store.add(load([person(100, NAME_FULL="ann  lee", DATE_OF_BIRTH="1980-01-01")]), "b")
+    assert store.read("member").select("entity_id").distinct().count() == before
 
 
 def test_ambiguous_relations(spark):
