@@ -13,14 +13,17 @@ cut out of its document and compared with that of its first occurrence. Texts ar
 from __future__ import annotations
 
 import re
-from functools import lru_cache
-from itertools import accumulate
+from collections.abc import Iterator
+from functools import lru_cache, partial
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from kinfold.llm.common import batches, mixed
 from kinfold.session import materialize
@@ -28,6 +31,8 @@ from kinfold.session import materialize
 LINE = re.compile(r"(?=[\s\S])[^\n.!?]*+(?:[.!?](?!\s)[^\n.!?]*+)*+(?:[.!?][^\S\n]*+\n?|\n|\Z)")
 MIN_LINES = 2
 MIN_CHARS = 40
+LINE_HASH = partial(xxhash.xxh64_intdigest, seed=7)
+TEXTS = 200  # texts whose lines are hashed together
 BESIDE = 600  # characters looked at on either side of a repeated chunk
 
 
@@ -37,37 +42,46 @@ def lines_of(text: str) -> list[tuple[int, int]]:
     return list(zip([0, *ends], ends))
 
 
-def chunks_of(text: str) -> tuple[list[int], list[int], list[int]]:
-    """Starts, ends and signed 64-bit hashes of the content-defined chunks.
+def chunk_table(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, start, end and signed 64-bit hash of the content-defined chunks of all ``texts``.
 
     The rolling hash after a line is that of the line and the one before. A chunk ends where it is the smaller one of two neighbours, so any five
     lines in a row hold two ends at places that depend on these lines only. A chunk starts after the end before, and further
-    back when it would have fewer than MIN_LINES lines or MIN_CHARS characters.
+    back when it would have fewer than MIN_LINES lines or MIN_CHARS characters. Lines of all texts stand in one array, which keeps the
+    numpy calls few; no chunk reaches over the end of a text.
     """
-    found = LINE.findall(text)
-    bare = [line.strip() for line in found]
-    ends = list(accumulate(map(len, found)))
-    kept = [k for k, line in enumerate(bare) if line]
-    if len(kept) < MIN_LINES:
-        return [], [], []
-    bare = [bare[k].encode("utf-8", "surrogatepass") for k in kept]
-    hashes = np.array([xxhash.xxh64_intdigest(line, 7) for line in bare], dtype=np.uint64)
+    found = [LINE.findall(text) for text in texts]
+    counts = np.fromiter(map(len, found), np.int64, len(found))
+    lines = list(chain.from_iterable(found))
+    bare = [line.strip() for line in lines]
+    ends = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)))
+    kept = np.flatnonzero(np.fromiter(map(bool, bare), bool, len(bare)))
+    bare = [line.encode("utf-8", "surrogatepass") for line in bare if line]
+    owner = np.repeat(np.arange(len(texts)), counts)[kept]
+    hashes = np.fromiter(map(LINE_HASH, bare), np.uint64, len(bare))
+    inside = owner[1:] == owner[:-1]
     rolling = np.full(len(kept) + 1, np.iinfo(np.uint64).max, np.uint64)
-    rolling[1:-1] = mixed(hashes[1:] + hashes[:-1] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(1)
-    chosen = np.flatnonzero((rolling[1:-1] < rolling[2:]) | (rolling[1:-1] <= rolling[:-2])) + 1
-    starts, stops, digests, after = [], [], [], 0
-    for at in chosen.tolist():
-        first, end = min(after, at - MIN_LINES + 1), ends[kept[at]]
-        start = ends[kept[first] - 1] if kept[first] else 0
-        while first > 0 and end - start < MIN_CHARS:
-            first -= 1
-            start = ends[kept[first] - 1] if kept[first] else 0
-        if end - start >= MIN_CHARS:
-            starts.append(start)
-            stops.append(end)
-            digests.append(xxhash.xxh3_64_intdigest(b"\n".join(bare[first : at + 1])))
-        after = at + 1
-    return starts, stops, np.array(digests, dtype=np.uint64).view(np.int64).tolist()
+    pair = mixed(hashes[1:] + hashes[:-1] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(1)
+    rolling[1:-1][inside] = pair[inside]
+    last = np.flatnonzero(inside & ((rolling[1:-1] < rolling[2:]) | (rolling[1:-1] <= rolling[:-2]))) + 1
+    begins = np.concatenate(([0], ends))[kept]
+    stops = ends[kept[last]]
+    head = np.searchsorted(owner, owner[last])  # the first line of the chunk's text
+    after = np.maximum(np.concatenate(([0], last[:-1] + 1))[: len(last)], head)
+    # The nearest line that leaves MIN_CHARS; a chunk that has too few even from the first line on is none.
+    far = np.searchsorted(begins, stops - MIN_CHARS, side="right") - 1
+    first = np.minimum(np.minimum(after, last - MIN_LINES + 1), far)
+    fits = first >= head
+    first, last, stops = first[fits], last[fits], stops[fits]
+    digests = [xxhash.xxh3_64_intdigest(b"\n".join(bare[f:e])) for f, e in zip(first.tolist(), (last + 1).tolist())]
+    offset = np.concatenate(([0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))))[owner[last]]
+    return owner[last], begins[first] - offset, stops - offset, np.array(digests, dtype=np.uint64).view(np.int64)
+
+
+def chunks_of(text: str) -> tuple[list[int], list[int], list[int]]:
+    """Starts, ends and hashes of the chunks of one text."""
+    _, starts, stops, digests = chunk_table([text])
+    return starts.tolist(), stops.tolist(), digests.tolist()
 
 
 def bare_chunk(text: str) -> str:
@@ -112,14 +126,20 @@ def equal_start(left: str, right: str, whole: bool = False) -> int:
 
 def chunk_rows(keyed: DataFrame) -> DataFrame:
     """(id, content, start, end, hash) of every chunk, without text. Rows with one id and one text are one document."""
-
-    def step(id, content, text):
-        found = [chunks_of(t or "") for t in text]
-        return {"id": id, "content": content} | {c: [f[k] for f in found] for k, c in enumerate(("start", "end", "hash"))}
-
-    kind = keyed.schema["id"].dataType.simpleString()
-    made = batches(keyed, step, f"id {kind}, content bigint, start array<int>, end array<int>, hash array<bigint>")
-    return made.select("id", "content", F.explode(F.arrays_zip("start", "end", "hash")).alias("c")).select("id", "content", "c.*")
+    kind = T.StructType([*keyed.select("id", "content").schema, *T._parse_datatype_string("start int, end int, hash bigint")])
+    arrow = to_arrow_schema(kind)
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                owner, start, end, digest = chunk_table(part.column("text").to_pylist())
+                rows = pa.array(owner, pa.int64())
+                own = [part.column(c).take(rows).cast(arrow.field(c).type) for c in ("id", "content")]
+                made = [pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(digest, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*own, *made], schema=arrow)
+
+    return keyed.mapInArrow(run, kind)
 
 
 def runs_of(chunks: DataFrame) -> DataFrame:
