@@ -20,6 +20,7 @@ from itertools import accumulate, chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -33,6 +34,7 @@ MIN_LINES = 2
 MIN_CHARS = 40
 LINE_HASH = partial(xxhash.xxh64_intdigest, seed=7)
 TEXTS = 200  # texts whose lines are hashed together
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())  # what str.strip takes away
 BESIDE = 600  # characters looked at on either side of a repeated chunk
 
 
@@ -91,7 +93,7 @@ def bare_chunk(text: str) -> str:
 
 def equal_end(left: str, right: str) -> int:
     """Characters of ``left``'s last lines that are equal to the last lines of ``right``."""
-    if left.rstrip()[-2:] != right.rstrip()[-2:]:
+    if left.rstrip()[-2:] != right.rstrip()[-2:] or left.rsplit(None, 1)[-1:] != right.rsplit(None, 1)[-1:]:
         return 0
     mine, other = lines_of(left), lines_of(right)
     taken = len(left)
@@ -109,7 +111,7 @@ def equal_end(left: str, right: str) -> int:
 
 def equal_start(left: str, right: str, whole: bool = False) -> int:
     """Characters of ``left``'s first lines that are equal to the first lines of ``right``."""
-    if left.lstrip()[:2] != right.lstrip()[:2]:
+    if left.lstrip()[:2] != right.lstrip()[:2] or left.split(None, 1)[:1] != right.split(None, 1)[:1]:
         return 0
     mine, other = lines_of(left), lines_of(right)
     if len(left) >= BESIDE and not whole:
@@ -155,30 +157,33 @@ def runs_of(chunks: DataFrame) -> DataFrame:
     )
     place = F.struct("start", "end", F.col("first.id").alias("id1"), F.col("first.content").alias("content1"), F.col("first.start").alias("start1"), F.col("first.end").alias("end1"))
     listed = later.groupBy("id", "content").agg(F.collect_list(place).alias("places"))
+    kind = T.StructType([*listed.select("id", "content").schema, *listed.schema["places"].dataType.elementType])
+    names = ["id", "content", "start", "end", "id1", "content1", "start1", "end1"]
+    kind = T.StructType([T.StructField(c, kind[c].dataType) for c in names])
+    arrow = to_arrow_schema(kind)
 
-    def step(id, content, places):
-        out = {c: [] for c in ("id", "content", "start", "end", "id1", "content1", "start1", "end1")}
-
-        def add(i, c, r):
-            for name, v in zip(out, (i, c, *r)):
-                out[name].append(v)
-
-        for i, c, found in zip(id, content, places):
-            run = None
-            for p in sorted(found, key=lambda p: (p["start"], p["end"])):
-                here = [p["start"], p["end"], p["id1"], p["content1"], p["start1"], p["end1"]]
-                if run and run[2:4] == here[2:4] and here[0] <= run[1] and here[0] - run[0] == here[4] - run[4]:
-                    run[1], run[5] = max(run[1], here[1]), max(run[5], here[5])
-                    continue
-                if run:
-                    add(i, c, run)
-                run = here
-            if run:
-                add(i, c, run)
-        return out
-
-    kind = chunks.schema["id"].dataType.simpleString()
-    return batches(listed, step, f"id {kind}, content bigint, start int, end int, id1 {kind}, content1 bigint, start1 int, end1 int")
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in filter(len, stream):
+            places = batch.column("places")
+            owner = np.repeat(np.arange(batch.num_rows), places.value_lengths().to_numpy())
+            columns = dict(zip(names[2:], places.flatten().flatten()))
+            at = {c: columns[c].to_numpy(zero_copy_only=False) for c in ("start", "end", "content1", "start1", "end1")}
+            # Ids of any type as numbers; a null id, as a document's missing one, is a number of its own.
+            at["id1"] = pc.dictionary_encode(columns["id1"], null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            order = np.lexsort((at["end"], at["start"], owner))
+            owner, at = owner[order], {c: v[order] for c, v in at.items()}
+            shift = at["start"] - at["start1"]
+            joined = (at["start"][1:] <= at["end"][:-1]) & (shift[1:] == shift[:-1])
+            for same in (owner, at["id1"], at["content1"]):
+                joined &= same[1:] == same[:-1]
+            opens = np.flatnonzero(np.concatenate(([True], ~joined)))  # starts and ends rise together within a document
+            made = {"end": np.maximum.reduceat(at["end"], opens), "end1": np.maximum.reduceat(at["end1"], opens)}
+            made |= {c: at[c][opens] for c in ("start", "start1", "content1")}
+            made |= {c: batch.column(c).take(pa.array(owner[opens])) for c in ("id", "content")}
+            made["id1"] = columns["id1"].take(pa.array(order[opens]))
+            yield pa.RecordBatch.from_arrays([v.cast(f.type) if isinstance(v := made[f.name], pa.Array) else pa.array(v, f.type) for f in arrow], schema=arrow)
+
+    return listed.mapInArrow(run, kind)
 
 
 def packed(text: Column) -> Column:
@@ -220,6 +225,10 @@ def slices(keyed: DataFrame, spans: DataFrame) -> DataFrame:
     return batches(held, step, f"id {kind}, content bigint, start int, end int, body string, left string, right string")
 
 
+def _edge(text: Column, at: int) -> Column:
+    return F.substring(text, at, 2)
+
+
 def removals(runs: DataFrame, texts: DataFrame) -> DataFrame:
     """(id, content, start, end): the parts of the runs that go, after their bytes are compared with the first occurrence.
 
@@ -235,10 +244,17 @@ def removals(runs: DataFrame, texts: DataFrame) -> DataFrame:
         return pairs[0] & pairs[1] & pairs[2] & pairs[3]
 
     met = runs.join(other, same("o", "1")).drop(*[f"o_{c}" for c in names]).join(mine, same("m", ""))
-    met = met.select(*names, "m_body", "m_left", "m_right", "o_body", "o_left", "o_right")
+    # Equal bodies, and neighbours that cannot be equal, need not go to Python.
+    differs = F.col("m_body") != F.col("o_body")
+    ends_alike = _edge(F.rtrim("m_left", F.lit(BLANKS)), -2) == _edge(F.rtrim("o_left", F.lit(BLANKS)), -2)
+    starts_alike = _edge(F.ltrim("m_right", F.lit(BLANKS)), 1) == _edge(F.ltrim("o_right", F.lit(BLANKS)), 1)
+    needed = {"body": differs, "left": ends_alike, "right": starts_alike}
+    sides = [F.when(test, F.col(f"{side}_{c}")).alias(f"{side}_{c}") for side in "mo" for c, test in needed.items()]
+    met = met.select(*names, *sides)
 
     def step(id, content, start, end, m_body, m_left, m_right, o_body, o_left, o_right):
-        spans = [gone(*row) for row in zip(start, end, m_body, m_left, m_right, o_body, o_left, o_right)]
+        texts = [[t or "" for t in column] for column in (m_body, m_left, m_right, o_body, o_left, o_right)]
+        spans = [gone(*row) for row in zip(start, end, *texts)]
         return {"id": id, "content": content, "start": [a for a, _ in spans], "end": [b for _, b in spans]}
 
     kind = runs.schema["id"].dataType.simpleString()
