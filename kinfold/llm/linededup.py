@@ -113,16 +113,14 @@ def equal_start(left: str, right: str, whole: bool = False) -> int:
     """Characters of ``left``'s first lines that are equal to the first lines of ``right``."""
     if left.lstrip()[:2] != right.lstrip()[:2] or left.split(None, 1)[:1] != right.split(None, 1)[:1]:
         return 0
-    mine, other = lines_of(left), lines_of(right)
-    if len(left) >= BESIDE and not whole:
-        mine = mine[:-1]
-    if len(right) >= BESIDE and not whole:
-        other = other[:-1]
     taken = 0
-    for (a, b), (c, d) in zip(mine, other):
-        if left[a:b].strip() != right[c:d].strip():
+    for mine, other in zip(LINE.finditer(left), LINE.finditer(right)):  # lines after the first unequal ones are not looked for
+        # A line at the edge of what was looked at may be cut and does not count.
+        if not whole and (mine.end() == len(left) >= BESIDE or other.end() == len(right) >= BESIDE):
+            break
+        if mine.group().strip() != other.group().strip():
             break
-        taken = b
+        taken = mine.end()
     return taken
 
 
