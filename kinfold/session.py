@@ -31,6 +31,7 @@ def build_session(app: str = "kinfold", cpus: str | int = "*", **conf: str) -> S
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")

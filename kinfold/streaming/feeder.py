@@ -6,6 +6,7 @@ failure, the repeat replaces the folder, so each batch shows exactly once in the
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -69,7 +70,10 @@ def run_sharded(
     dead_letter: str, label: str, **options,
 ) -> list[StreamingQuery]:
     """One query per inbox shard, each with its own checkpoint and FAIR pool: a slow batch holds back
-    its own shard only."""
+    its own shard only. Pools need ``spark.scheduler.mode=FAIR``, which is fixed when a session starts; without it
+    the shards give the same rows but wait for each other, and a warning says so."""
+    if spark.sparkContext.getConf().get("spark.scheduler.mode", "FIFO").upper() != "FAIR":
+        warnings.warn("spark.scheduler.mode is not FAIR: shards share one queue of jobs", stacklevel=2)
     return [
         start_feeder(
             spark, f"{inbox}/shard={i}", process, f"{checkpoint}/shard={i}", f"{output}/shard={i}",
