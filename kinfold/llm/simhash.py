@@ -35,8 +35,9 @@ SEGMENTS = ((0, 23), (23, 23), (46, 18))  # first bit and width of each segment
 BLOCK = 1 << 14  # shingles whose bits are counted at once
 SIMILAR = 0.8  # Jaccard similarity of shingle sets from which on two texts are copies
 WIDE = 5  # words in a shingle of these sets
-BANDS, ROWS = 12, 4  # a pair at 0.8 shares a band with probability 1 - (1 - 0.8^4)^12 = 0.998
-LEADERS = 64  # texts of one band that the others are compared with in one round, at most
+BANDS, ROWS = 32, 4  # a pair at 0.8 shares no band with probability (1 - 0.8^4)^32 = 5e-8
+LEADERS = 64  # slots for leaders in one band in one round, at most, unless ``ROUND`` allows more
+ROUND = 1 << 24  # rows of (band, leader, node) in one round, about
 FACTORS = np.random.default_rng(11).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -189,12 +190,26 @@ def grouped(marked: DataFrame) -> DataFrame:
 
 
 def compared(members: DataFrame, leaders: int) -> DataFrame:
-    """(key, leader, node): every node of a band beside each leader of the band. Leaders are the smallest nodes of ``leaders`` slots."""
+    """(key, leader, node): leaders of each band beside those of its nodes that are in another part. ``members`` has key, node, part and degree.
+
+    Each of ``leaders`` slots of a band gives the node with the most links of the last round, which is where a star of copies has its centre, and one
+    of the smallest part, so that a band of one large part and a few others ends with the others.
+    """
     slot = F.pmod(F.xxhash64("node", F.lit(leaders)), F.lit(leaders))
-    led = materialize(members.groupBy("key", slot.alias("slot")).agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")), "leaders")
-    sizes = led.groupBy("key").agg(F.sum("n").alias("n"))
-    beside = led.join(sizes.filter("n > 1").select("key"), "key", "left_semi").select("key", "leader")
-    return salted_join(members, beside, ["key"], hot_keys(sizes, ["key"])).select("key", "leader", "node")
+    top = F.max_by("node", F.struct("degree", -F.col("node"))).alias("leader")
+    by_slot = members.groupBy("key", "part", slot.alias("slot")).agg(top, F.max("degree").alias("degree"), F.count(F.lit(1)).alias("n"))
+    by_slot = materialize(by_slot, "slots")
+    parts = by_slot.groupBy("key", "part").agg(F.sum("n").alias("mass"))
+    one = F.struct("leader", F.col("part").alias("leader_part"))
+    picked = (
+        by_slot.join(parts, ["key", "part"])
+        .groupBy("key", "slot")
+        .agg(F.max_by(one, F.struct("degree", -F.col("leader"))).alias("linked"), F.min_by(one, F.struct("mass", "leader")).alias("small"))
+    )
+    beside = materialize(picked.select("key", F.explode(F.array_distinct(F.array("linked", "small"))).alias("one")).select("key", "one.*"), "leaders")
+    sizes = by_slot.groupBy("key").agg(F.sum("n").alias("n"))
+    met = salted_join(members.select("key", "node", "part"), beside, ["key"], hot_keys(sizes, ["key"]))
+    return met.filter("leader = node OR part <> leader_part").select("key", "leader", "node")
 
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -210,9 +225,9 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def similar_links(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(lo, hi): links between similar texts. ``nodes`` is a stored frame with node and bands; ``texts_of`` gives (node, text) of some of its rows.
 
-    In each band all texts are compared with a few leaders. A text that is similar to a smaller one leaves, a leader that was compared leaves the
-    band, and the rest go on with twice as many leaders, at most ``LEADERS``, until no band has two texts. So any two texts that share a band and are both
-    left at the end have been compared, and a large group of copies takes one comparison for each copy.
+    In each band the texts are compared with a few leaders. A leader that was compared leaves the band, all others stay in it, linked or not, and are
+    compared with the next leaders, twice as many, but for pairs that links already join into one part. A band ends when what is left of it is one part. So of
+    any two texts that share a band, either the pair was compared or both are in one part.
     """
     members = nodes.select("node", F.explode(F.array_distinct("bands")).alias("key"))
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
@@ -226,19 +241,30 @@ def similar_links(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame])
         ),
         "shingles",
     )
-    found, leaders = None, 1
-    while not members.isEmpty():
-        beside = materialize(compared(members, leaders), "beside")
+    joined, degrees, leaders = None, None, 1
+    while rows := members.count():
+        if joined is None:
+            state = members.withColumn("part", F.col("node")).withColumn("degree", F.lit(0).cast("bigint"))
+        else:
+            moved = joined.select(F.col("record_seq").alias("node"), F.col("entity_id").alias("part"))
+            state = members.join(moved, "node", "left").join(degrees, "node", "left")
+            state = state.select("key", "node", F.coalesce("part", "node").alias("part"), F.coalesce("degree", F.lit(0)).alias("degree"))
+            several = state.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a <> b").select("key")
+            state = materialize(state.join(several, "key", "left_semi"), "parts")
+        leaders = max(1, min(leaders, max(LEADERS, ROUND // rows)))
+        beside = materialize(compared(state, leaders), "beside")
         pairs = materialize(beside.filter("leader <> node").select("leader", "node").distinct(), "pairs")
         ends = similar_pairs(pairs, sets)
         new = materialize(ends.select(F.least("leader", "node").alias("lo"), F.greatest("leader", "node").alias("hi")).distinct(), "similar")
-        found = new if found is None else found.unionByName(new)
-        done = beside.select("key", F.col("leader").alias("node")).distinct()
-        rest = members.join(new.select(F.col("hi").alias("node")).distinct(), "node", "left_anti").join(done, ["key", "node"], "left_anti")
-        several = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-        members = materialize(rest.join(several, "key"), "bands")
-        leaders = min(2 * leaders, LEADERS)
-    return nodes.select(F.col("node").alias("lo"), F.col("node").alias("hi")).limit(0) if found is None else found
+        edges = new if joined is None else new.unionByName(joined.select(F.col("entity_id").alias("lo"), F.col("record_seq").alias("hi")))
+        joined = components(edges)
+        degrees = new.select(F.explode(F.array("lo", "hi")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+        done = beside.filter("leader = node").select("key", "node").distinct()
+        members = materialize(state.select("key", "node").join(done, ["key", "node"], "left_anti"), "bands")
+        leaders *= 2
+    if joined is None:
+        return nodes.select(F.col("node").alias("lo"), F.col("node").alias("hi")).limit(0)
+    return joined.select(F.col("entity_id").alias("lo"), F.col("record_seq").alias("hi"))
 
 
 def fingerprint_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:

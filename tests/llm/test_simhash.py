@@ -164,6 +164,22 @@ def test_a_large_group_of_similar_texts(spark):
     assert kept == {0, *range(1000, 1012)}
 
 
+@pytest.mark.parametrize("n", [20, 400])
+def test_a_star_of_similar_texts(spark, n):
+    """Copies at or above 0.8 to one original and below 0.8 to each other hang together only through it; a second star must stay apart."""
+    rng = random.Random(12)
+    vocabulary = [f"word{i}" for i in range(3000)]
+    rows = []
+    for star in (0, 10_000):
+        first = rng.choices(vocabulary, k=200)
+        texts = [first, *(edited(rng, first, vocabulary, 4) for _ in range(n))]
+        rows += [(star + i, " ".join(t)) for i, t in enumerate(texts)]
+        assert all(wide_similarity(rows[-n - 1][1], t) >= 0.8 for _, t in rows[-n:])
+        assert sum(wide_similarity(rows[-1][1], t) >= 0.8 for _, t in rows[-n:-1]) < n / 10
+    kept = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id int, text string").repartition(5)).collect()}
+    assert kept == {0, 10_000}
+
+
 def test_bands_hold_whole_sets():
     assert simhash.band_keys(simhash.shingle_set(None)) == []
     words = [f"w{i % 5000}" for i in range(70_000)]
