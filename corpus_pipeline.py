@@ -19,9 +19,9 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language. Rejected: no letter at all, or a tie between languages."""
-    dictionaries = langid.fit_dictionaries(docs, remainder("doc_id", 4) != 2)
-    return langid.recognised(docs, dictionaries).select(*COLUMNS)
+    """Documents in a learned language. Rejected: no letter at all, a tie between languages, or a margin narrower than nearly all clean texts have."""
+    dictionaries, margins = langid.fit(docs, remainder("doc_id", 4) != 2)
+    return langid.recognised(docs, dictionaries, min_margin=margins).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -145,8 +145,8 @@ def _entry(holds: Column, name: str, days: Column, action: str) -> Column:
 
 @query("op7_language")
 def op7(t: Tables) -> DataFrame:
-    dictionaries = langid.fit_dictionaries(t.documents, outside(4, 2)("doc_id"))
-    found = langid.classify(t.documents, dictionaries)
+    dictionaries, margins = langid.fit(t.documents, outside(4, 2)("doc_id"))
+    found = langid.classify(t.documents, dictionaries, min_margin=margins)
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
