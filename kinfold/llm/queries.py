@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from kinfold.llm import langid, linededup, ordinal, packing, quality_rules, secrets, simhash, tiling, toxicity, urlfilter
+from kinfold.llm import langid, linededup, mixing, ordinal, packing, quality_rules, secrets, simhash, tiling, toxicity, urlfilter
 from kinfold.llm.common import remainder
 from kinfold.queries.registry import Tables
 from kinfold.session import configure
@@ -205,3 +205,69 @@ def op9(t: Tables) -> DataFrame:
 @query("op10_packing")
 def op10(t: Tables) -> DataFrame:
     return packing.pack(t.documents)
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS words, count(*) AS n, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS src FROM d GROUP BY source
+), w AS (
+  SELECT *, [5, 2, 1][src % 3 + 1] AS weight, greatest(ceil(words / 131072), ceil(n / 4096), 1)::BIGINT AS shards FROM s
+), o AS (
+  SELECT *, sum(words) OVER ()::DOUBLE AS total,
+         coalesce(sum(3 * words) OVER (ORDER BY 3 * words / weight, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS before,
+         sum(weight) OVER (ORDER BY 3 * words / weight, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS rest
+  FROM w
+), f AS (
+  SELECT *, 3 * words < (total - before) / rest * weight AS is_full FROM o
+), l AS (
+  SELECT (max(total) - coalesce(sum(3 * words) FILTER (is_full), 0)) / sum(weight) FILTER (NOT is_full) AS level FROM f
+), t AS (
+  SELECT src, source, words, shards, is_full, CASE WHEN is_full THEN (3 * words)::DOUBLE ELSE level * weight END AS target FROM f, l
+), p AS (
+  SELECT doc_id, size, src, shards, ('0x' || substr(md5('12:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS spot
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), dealt AS (
+  SELECT doc_id, size, src, spot % shards AS shard, spot // shards AS place FROM p
+), parts AS (
+  SELECT src, shard, ceil(sum(size) / 64)::BIGINT AS blocks FROM dealt GROUP BY src, shard
+), b AS (
+  SELECT src, sum(blocks)::BIGINT AS blocks FROM parts GROUP BY src
+), claims AS (
+  SELECT src, is_full, 3 * blocks AS cap, CASE WHEN words > 0 THEN target * blocks / words ELSE 0 END AS claim FROM t JOIN b USING (src)
+), first AS (
+  SELECT src, row_number() OVER (ORDER BY claim / (2 * k + 1) DESC, src, k) AS spot
+  FROM (SELECT src, claim, unnest(range(cap)) AS k FROM claims WHERE NOT is_full AND claim > 0)
+), house AS (
+  SELECT floor(sum(claim) + 0.5) AS seats FROM claims WHERE NOT is_full
+), quota AS (
+  SELECT src, count(*) AS quota FROM first, house WHERE spot <= seats GROUP BY src
+  UNION ALL SELECT src, cap FROM claims WHERE is_full
+), second AS (
+  SELECT src, shard, row_number() OVER (PARTITION BY src ORDER BY blocks / (2 * k + 1) DESC, shard, k) AS spot
+  FROM (SELECT src, shard, blocks, unnest(range(3 * blocks)) AS k FROM parts)
+), gives AS (
+  SELECT src, shard, blocks, greatest(blocks, 1) AS n, coalesce(give, 0) AS give,
+         ('0x' || substr(md5('12:start:' || src || ':' || shard), 1, 15))::BIGINT % greatest(blocks, 1) AS begin
+  FROM parts LEFT JOIN (SELECT src, shard, count(*) AS give FROM second JOIN quota USING (src) WHERE spot <= quota GROUP BY src, shard) USING (src, shard)
+), word_ends AS (
+  SELECT *, sum(size) OVER (PARTITION BY src, shard ORDER BY place, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING)::BIGINT AS stop FROM dealt
+), cuts AS (
+  SELECT e.*, n, give // n AS rounds, give % n AS extra, begin, stop - size AS start FROM word_ends e JOIN gives USING (src, shard)
+), spread AS (
+  SELECT *, ((stop // 64 + begin) * extra // n - begin * extra // n) * 64
+            + (stop % 64) * ((stop // 64 + 1 + begin) * extra // n - (stop // 64 + begin) * extra // n) AS to_stop,
+         ((start // 64 + begin) * extra // n - begin * extra // n) * 64
+            + (start % 64) * ((start // 64 + 1 + begin) * extra // n - (start // 64 + begin) * extra // n) AS to_start
+  FROM cuts
+)
+SELECT doc_id, source, size, words AS source_size, target, CASE WHEN size > 0 THEN rounds * size + to_stop - to_start ELSE 0 END::BIGINT AS taken,
+       start AS first_word, shard
+FROM spread JOIN t USING (src)
+"""
+
+
+@query("op12_mixing", OP12_SQL)
+def op12(t: Tables) -> DataFrame:
+    return mixing.mix(t.documents)
