@@ -101,3 +101,15 @@ def hash_share(key: str, part: float, seed: str) -> Column:
     """True for about ``part`` of the keys, the same ones in every run."""
     bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 30))
     return bucket < F.lit(int(part * (1 << 30)))
+
+
+def meet(many: DataFrame, few: DataFrame, block: str, blocks: int, groups: int) -> DataFrame:
+    """Every row of ``many`` beside every row of ``few``, whose ``block`` counts from 0 to ``blocks`` - 1.
+
+    An equality join on (block, group): rows of ``many`` fall into ``groups`` by a hash, so no key has more than its share of them, and both sides
+    are repeated for the other one's keys. Spark broadcasts ``few`` where its size statistics allow.
+    """
+    spread = F.pmod(F.xxhash64(*many.columns), F.lit(groups)).cast("int")
+    left = many.withColumn("_group", spread).withColumn(block, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = few.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    return left.join(right, [block, "_group"]).drop("_group")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from kinfold.llm import langid, linededup, mixing, ordinal, packing, quality_rules, secrets, simhash, tiling, toxicity, urlfilter
+from kinfold.llm import langid, linededup, mixing, negatives, ordinal, packing, quality_rules, secrets, simhash, tiling, toxicity, urlfilter
 from kinfold.llm.common import remainder
 from kinfold.queries.registry import Tables
 from kinfold.session import configure
@@ -271,3 +271,30 @@ FROM spread JOIN t USING (src)
 @query("op12_mixing", OP12_SQL)
 def op12(t: Tables) -> DataFrame:
     return mixing.mix(t.documents)
+
+
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id AS id, list_inner_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), pos AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM p WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), n AS (
+  SELECT anchor_id, positive_id, p.id AS negative_id, positive_score, p.score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY p.score DESC, p.id)::INT AS rank
+  FROM pos JOIN p USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * p.score AND 100 * p.score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13(t: Tables) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(t.embeddings, label, F.col("vec_id") % 100 == 0)
