@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from kinfold.llm import langid, linededup, mixing, negatives, ordinal, packing, quality_rules, secrets, simhash, tiling, toxicity, urlfilter
+from kinfold.llm import langid, lexical, linededup, mixing, negatives, ordinal, packing, quality_rules, secrets, simhash, tiling, toxicity, urlfilter
 from kinfold.llm.common import remainder
 from kinfold.queries.registry import Tables
 from kinfold.session import configure
@@ -207,6 +207,39 @@ def op10(t: Tables) -> DataFrame:
     return packing.pack(t.documents)
 
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents WHERE text IS NOT NULL
+), c AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d) GROUP BY r, term
+), s AS (
+  SELECT count(*) AS n_docs, sum(len(ts))::BIGINT AS length FROM d WHERE len(ts) > 0
+), m AS (
+  SELECT r, doc_id, 10 + (90 * len(ts) * n_docs) // length AS m FROM d, s WHERE len(ts) > 0
+), w AS (
+  SELECT term, floor(1000 * ln((2.0 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM c, s GROUP BY term, n_docs
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL
+), t AS (
+  SELECT item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN c USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY item_id, r
+), k AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+  FROM t JOIN m USING (r) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+
+@query("op11_lexical_search", OP11_SQL)
+def op11(t: Tables) -> DataFrame:
+    return lexical.top_documents(t.documents, t.benchmark)
+
+
 OP12_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
