@@ -16,6 +16,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Batches between the JVM and Python are bounded by bytes, in and out: rows may hold whole texts.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    "spark.sql.execution.arrow.maxBytesPerOutputBatch": "8m",
 }
 
 
