@@ -224,7 +224,9 @@ def slices(keyed: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def _edge(text: Column, at: int) -> Column:
-    return F.substring(text, at, 2)
+    """The last (-1) or first (1) word of a text without outer white space, as far as 64 characters show it. Equal lines have equal ones."""
+    shown = F.substring(text, -64 if at < 0 else 1, 64)
+    return F.substring_index(F.translate(shown, BLANKS, " " * len(BLANKS)), " ", at)
 
 
 def removals(runs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -244,15 +246,17 @@ def removals(runs: DataFrame, texts: DataFrame) -> DataFrame:
     met = runs.join(other, same("o", "1")).drop(*[f"o_{c}" for c in names]).join(mine, same("m", ""))
     # Equal bodies, and neighbours that cannot be equal, need not go to Python.
     differs = F.col("m_body") != F.col("o_body")
-    ends_alike = _edge(F.rtrim("m_left", F.lit(BLANKS)), -2) == _edge(F.rtrim("o_left", F.lit(BLANKS)), -2)
+    ends_alike = _edge(F.rtrim("m_left", F.lit(BLANKS)), -1) == _edge(F.rtrim("o_left", F.lit(BLANKS)), -1)
     starts_alike = _edge(F.ltrim("m_right", F.lit(BLANKS)), 1) == _edge(F.ltrim("o_right", F.lit(BLANKS)), 1)
     needed = {"body": differs, "left": ends_alike, "right": starts_alike}
     sides = [F.when(test, F.col(f"{side}_{c}")).alias(f"{side}_{c}") for side in "mo" for c, test in needed.items()]
     met = met.select(*names, *sides)
 
     def step(id, content, start, end, m_body, m_left, m_right, o_body, o_left, o_right):
-        texts = [[t or "" for t in column] for column in (m_body, m_left, m_right, o_body, o_left, o_right)]
-        spans = [gone(*row) for row in zip(start, end, *texts)]
+        spans = [
+            (a, b) if texts[0] is None and texts[1] is None and texts[2] is None else gone(a, b, *[t or "" for t in texts])
+            for a, b, *texts in zip(start, end, m_body, m_left, m_right, o_body, o_left, o_right)
+        ]
         return {"id": id, "content": content, "start": [a for a, _ in spans], "end": [b for _, b in spans]}
 
     kind = runs.schema["id"].dataType.simpleString()
