@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     "spark.sql.execution.arrow.maxBytesPerOutputBatch": "8m",
+    # A column vector of the parquet reader holds this many whole texts on the heap.
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
 }
 
 
