@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from kinfold.llm.common import batches, mixed
+from kinfold.llm.common import batches, give_back, mixed
 from kinfold.session import materialize
 
 LINE = re.compile(r"(?=[\s\S])[^\n.!?]*+(?:[.!?](?!\s)[^\n.!?]*+)*+(?:[.!?][^\S\n]*+\n?|\n|\Z)")
@@ -138,6 +138,7 @@ def chunk_rows(keyed: DataFrame) -> DataFrame:
                 own = [part.column(c).take(rows).cast(arrow.field(c).type) for c in ("id", "content")]
                 made = [pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(digest, pa.int64())]
                 yield pa.RecordBatch.from_arrays([*own, *made], schema=arrow)
+        give_back()
 
     return keyed.mapInArrow(run, kind)
 
