@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinfold.operators.errors import REPROCESSABLE
 from kinfold.schemas import ERROR_COLUMNS, INPUT, struct
-from kinfold.session import read_if_exists
+from kinfold.session import read_if_exists, stored
 
 DEAD_LETTER = struct(
     "dataSource string, recordId string, payload string, category string, errorCode string, "
@@ -116,12 +116,11 @@ def converge(
 def _drive(spark: SparkSession, base: str, generation: int, redrive, on_success) -> tuple[int, int]:
     """Drive one generation and store what fails as the next; returns how many were due and how many are due again."""
     due = reprocessable(spark.read.schema(DEAD_LETTER).parquet(f"{base}/due-{generation}"))
-    outcomes = redrive(due).persist()
-    failed = outcomes.filter(F.col("kind") == "ERROR").select(*ERROR_COLUMNS)
-    stamped = failed.withColumns({"failedAt": F.current_timestamp(), "source": F.lit(f"redrive-{generation}")})
-    write_dead_letter(stamped, f"{base}/due-{generation + 1}", "overwrite")
-    if on_success:
-        on_success(outcomes.filter(F.col("kind") != "ERROR"))
-    outcomes.unpersist()
+    with stored(redrive(due), "redriven") as outcomes:
+        failed = outcomes.filter(F.col("kind") == "ERROR").select(*ERROR_COLUMNS)
+        stamped = failed.withColumns({"failedAt": F.current_timestamp(), "source": F.lit(f"redrive-{generation}")})
+        write_dead_letter(stamped, f"{base}/due-{generation + 1}", "overwrite")
+        if on_success:
+            on_success(outcomes.filter(F.col("kind") != "ERROR"))
     again = reprocessable(spark.read.schema(DEAD_LETTER).parquet(f"{base}/due-{generation + 1}"))
     return due.count(), again.count()

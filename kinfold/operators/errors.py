@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import json
 import random
 import time
@@ -82,10 +83,10 @@ ACTIONS = {
 
 @dataclass
 class _Call:
-    """One record's way through the rounds of its batch."""
+    """One record's way through its calls. The budget runs from its own first call on."""
 
     row: dict
-    began: float
+    began: float | None = None
     attempts: int = 0
     elapsed_ms: int = 0
     response: str | None = None
@@ -97,6 +98,74 @@ class _Call:
         return CATEGORY_OF.get(self.error.error_class, SYSTEMIC) if self.error else None
 
 
+class _Line:
+    """The calls of one task, one at a time: new records in order, and failed ones again when they are due.
+
+    After a failure that is due again nothing is called for a while, which doubles with each failure in a row up to the cap; the record that failed first comes next then. So in
+    an outage a task waits like a single record would, and a short one passes before the breaker opens, whatever the number of records. A record that fails on its
+    own does not hold up the others while it waits.
+    """
+
+    def __init__(self, verb: Callable[[str, str, str, int], str], policy: RetryPolicy, refresh: Callable[[], bool] | None):
+        self.verb, self.policy, self.refresh = verb, policy, refresh
+        self.waiting: list[tuple[float, int, _Call]] = []  # heap by due time
+        self.resume, self.in_a_row, self.pushed = 0.0, 0, 0
+
+    def settled(self, rows: list[dict]) -> Iterator[_Call]:
+        """Calls that are done, of ``rows`` and of records that were waiting; some may go on waiting."""
+        for row in rows:
+            yield from self.due(time.monotonic())
+            yield from self.once(_Call(row))
+
+    def rest(self) -> Iterator[_Call]:
+        while self.waiting:
+            yield from self.due(self.waiting[0][0])
+
+    def due(self, now: float) -> Iterator[_Call]:
+        """Call the records due until ``now``, or until the end of the pause if one is on."""
+        while self.waiting and self.waiting[0][0] <= max(now, self.resume):
+            due, _, record = heapq.heappop(self.waiting)
+            time.sleep(max(0.0, due - time.monotonic()))
+            yield from self.once(record)
+
+    def once(self, record: _Call) -> Iterator[_Call]:
+        time.sleep(max(0.0, self.resume - time.monotonic()))
+        started = time.monotonic()
+        record.began = started if record.began is None else record.began
+        try:
+            record.response = self.verb(record.row["dataSource"], record.row["recordId"], record.row["payload"], record.attempts)
+            record.error = None
+        except VerbError as error:
+            record.error = error
+        now = time.monotonic()
+        record.elapsed_ms = int((now - started) * 1000)
+        action = ACTIONS.get(record.category)
+        if action is None:
+            self.in_a_row = 0
+        elif action == "STOP":
+            raise record.error
+        elif action == "RETRY":
+            self.in_a_row += 1
+            if self.in_a_row >= self.policy.breaker:
+                raise record.error
+            if (now - record.began) * 1000 < self.policy.budget_ms:
+                pause = self.policy.delay_ms(self.in_a_row - 1) / 1000
+                own = pause if record.attempts == 0 else self.policy.delay_ms(record.attempts) / 1000
+                record.attempts += 1
+                self.resume = now + pause
+                self._wait(record, now + own)
+                return
+        elif action == "REFRESH" and self.refresh and not record.refreshed and self.refresh():
+            record.refreshed = True
+            yield from self.once(record)
+            return
+        yield record
+
+    def _wait(self, record: _Call, due: float) -> None:
+        self.pushed += 1
+        heapq.heappush(self.waiting, (due, self.pushed, record))
+
+
 ROUTED = T.StructType([*OUTCOME.fields, T.StructField("elapsedMs", T.LongType())])
 
 
@@ -111,43 +180,11 @@ def route_errors(
 ) -> DataFrame:
     """Apply ``verb(dataSource, recordId, payload, attempt)`` to every row and route what fails.
 
-    The rows of an Arrow batch are called once each; those that may go again are then called together in further rounds.
+    Calls go out one at a time in a task. A record that may go again waits in a heap by its due time, over the end of its Arrow batch if need be, for at most its budget.
     ``refresh`` re-reads the configuration after a config-relevant failure; if it returns true the
     record is tried once more. The gate on required keys runs before this, as a column expression.
     """
 
-    def call(record: _Call) -> None:
-        started = time.monotonic()
-        try:
-            record.response = verb(record.row["dataSource"], record.row["recordId"], record.row["payload"], record.attempts)
-            record.error = None
-        except VerbError as error:
-            record.error = error
-        record.elapsed_ms = int((time.monotonic() - started) * 1000)
-
-    def settle(rows: list[dict], failing: list[int]) -> list[_Call]:
-        """Call all rows of a batch, then again those that may go again, round by round. ``failing`` counts retryable failures in a row over the whole task."""
-        calls = [_Call(row, time.monotonic()) for row in rows]
-        waiting, round_number = calls, 0
-        while waiting:
-            for record in waiting:
-                call(record)
-                action = ACTIONS.get(record.category)
-                failing[0] = failing[0] + 1 if action == "RETRY" else 0 if action is None else failing[0]
-                if action == "STOP" or failing[0] >= policy.breaker:
-                    raise record.error
-            retry = [c for c in waiting if ACTIONS.get(c.category) == "RETRY" and (time.monotonic() - c.began) * 1000 < policy.budget_ms]
-            stale = [c for c in waiting if ACTIONS.get(c.category) == "REFRESH" and not c.refreshed] if refresh else []
-            stale = stale if stale and refresh() else []
-            for record in retry:
-                record.attempts += 1
-            for record in stale:
-                record.refreshed = True
-            if retry:
-                time.sleep(policy.delay_ms(round_number) / 1000)
-            waiting, round_number = retry + stale, round_number + 1
-        return calls
-
     def outcomes(record: _Call) -> list[dict]:
         row, ms = record.row, {"elapsedMs": record.elapsed_ms}
         if record.error:
@@ -163,10 +200,13 @@ def route_errors(
         return [{"kind": "AFFECTED", **key, "entityId": i, **ms} for i in ids if type(i) is int]
 
     def partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        failing = [0]
+        line = _Line(verb, policy, refresh)
         for batch in batches:
-            made = [row for record in settle(batch.to_pylist(), failing) for row in outcomes(record)]
-            yield pa.RecordBatch.from_pylist(made, schema=shape)
+            yield written(line.settled(batch.to_pylist()))
+        yield written(line.rest())
+
+    def written(done: Iterator[_Call]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([row for record in done for row in outcomes(record)], schema=shape)
 
     shape = to_arrow_schema(ROUTED)
     return records.select("dataSource", "recordId", "payload").mapInArrow(partition, ROUTED)

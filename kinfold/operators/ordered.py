@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from kinfold.session import materialize
+
 BUCKETS = 128
 _MIN_ROWS = 50_000  # per range, so that a small frame stays in one piece
 
@@ -70,3 +72,26 @@ def running(
     carried = totals.select(*series, "_range", fold("_total").over(across).alias("_carry"))
     joined = frame.withColumn("_inside", fold("_value").over(inside)).join(carried, [*series, "_range"])
     return joined.select(*ranged.columns, merge(F.col("_inside"), F.col("_carry")).alias(name))
+
+
+def number_rows(batch: DataFrame, first: int, name: str = "record_seq") -> DataFrame:
+    """Dense numbers from ``first``. Each partition counts its rows; the running total over partitions
+    (one row each) gives its base, so no row is sorted or moved. ``batch`` is stored before, so that a
+    repeated task sees the same rows."""
+    tagged = materialize(batch.withColumn("_mid", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_mid", 33)
+    counts = tagged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    within = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return tagged.withColumn("_part", part).join(bases, "_part").withColumn(
+        name, (F.lit(first) + F.col("_base") + within).cast("bigint")
+    ).drop("_part", "_base", "_mid")
+
+
+def ranked_within(rows: DataFrame, group: list[str], order: list[Column], name: str = "rank") -> DataFrame:
+    """``rows`` with their place from 1 within their group, by one range sort over all rows: no task holds a whole group."""
+    numbered = number_rows(rows.orderBy(*group, *order), 0, "_number")
+    first = numbered.groupBy(*group).agg(F.min("_number").alias("_first"))
+    placed = numbered.join(first, group).withColumn(name, (F.col("_number") - F.col("_first") + 1).cast("int"))
+    return placed.drop("_number", "_first")

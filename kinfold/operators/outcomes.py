@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from kinfold.schemas import AFFECTED_COLUMNS, ERROR_COLUMNS, OUTCOME, SEARCH_COLUMNS
+from kinfold.session import stored
 
 ERROR_KEY = ["dataSource", "recordId", "category"]
 AFFECTED_KEY = ["dataSource", "recordId", "entityId"]
@@ -53,13 +53,10 @@ def stamp_failure(errors: DataFrame, source: str) -> DataFrame:
 
 
 def write_split(outcomes: DataFrame, good_path: str, error_path: str) -> None:
-    """Both batch sinks from one pass: the rows are computed once and kept while they are written."""
-    kept = outcomes.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    """Both batch sinks from one pass: the rows are computed and stored once, so each is in one of the sinks and not in both."""
+    with stored(outcomes, "outcomes") as kept:
         kept.filter(F.col("kind") != "ERROR").write.mode("overwrite").parquet(good_path)
         error_rows(kept).write.mode("overwrite").parquet(error_path)
-    finally:
-        kept.unpersist()
 
 
 def affected_dedup(affected: DataFrame, batch: str = "batch", order: str = "recordId") -> DataFrame:

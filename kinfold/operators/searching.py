@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from kinfold.operators.features import RULES, search_values, with_features
+from kinfold.operators.ordered import ranked_within
 from kinfold.operators.relating import TYPES, level_of
 from kinfold.operators.skew import HOT_FLOOR, hot_keys, salted_join
 from kinfold.session import materialize
 
+TOP = 100  # entities in a result list, unless the caller gives another number
+
 
 def request_features(requests: DataFrame) -> DataFrame:
     """(request_id, ftype, value) of (request_id, payload) requests."""
@@ -19,14 +22,20 @@ def request_features(requests: DataFrame) -> DataFrame:
 
 
 def search(requests: DataFrame, values: DataFrame, top: int | None = None, floor: int = HOT_FLOOR) -> DataFrame:
+    """``ranked_hits`` of (request_id, payload) requests over ``values`` (entity_id, ftype, value), those of ``features.search_values``."""
+    asked = materialize(request_features(requests), "asked")
+    held = values.join(asked.select("ftype", "value").distinct(), ["ftype", "value"], "left_semi")
+    return ranked_hits(asked, held, top, floor)
+
+
+def ranked_hits(asked: DataFrame, held: DataFrame, top: int | None = None, floor: int = HOT_FLOOR) -> DataFrame:
     """(request_id, rank, entity_id, shared, match_level_code): the entities that share a value with a request, best first.
 
-    ``values`` (entity_id, ftype, value) are those of ``features.search_values``; all holders of a value answer. An entity that shares a link key
-    is RESOLVED: adding the request would merge it. ``top`` keeps the best ones of each request.
+    ``asked`` (request_id, ftype, value) and ``held`` (entity_id, ftype, value) are stored or cheap. All holders of a value answer. An entity that shares a link key
+    is RESOLVED: adding the request would merge it. ``top`` keeps the best ones of each request: every task passes on that many of a request at
+    most. Without it the ranks come from a range sort, so a request that everybody answers is not one task's work either.
     """
-    asked = materialize(request_features(requests), "asked")
-    wanted = asked.select("ftype", "value").distinct()
-    held = materialize(values.join(wanted, ["ftype", "value"], "left_semi"), "held")
+    held = materialize(held, "held")
     weights = held.groupBy("ftype", "value").agg(F.count(F.lit(1)).alias("n"))
     hits = salted_join(held, asked, ["ftype", "value"], hot_keys(weights, ["ftype", "value"], floor=floor))
     counted = hits.groupBy("request_id", "entity_id").agg(
@@ -37,18 +46,18 @@ def search(requests: DataFrame, values: DataFrame, top: int | None = None, floor
     level, _ = level_of({t: F.col(f"_{t}") for t in TYPES})
     levelled = counted.withColumn(
         "match_level_code", F.when(F.col("_merging") > 0, F.lit("RESOLVED")).otherwise(level)
-    )
-    best = Window.partitionBy("request_id").orderBy(
-        (F.col("match_level_code") == "RESOLVED").desc(), F.col("shared").desc(), "entity_id"
-    )
-    ranked = levelled.withColumn("rank", F.row_number().over(best))
-    if top is not None:
-        ranked = ranked.filter(F.col("rank") <= top)
+    ).select("request_id", "entity_id", "shared", "match_level_code")
+    order = [(F.col("match_level_code") == "RESOLVED").desc(), F.col("shared").desc(), F.col("entity_id")]
+    if top is None:
+        ranked = ranked_within(levelled, ["request_id"], order)
+    else:
+        best = Window.partitionBy("request_id").orderBy(*order)
+        ranked = levelled.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
     return ranked.select("request_id", "rank", "entity_id", "shared", "match_level_code")
 
 
 def search_results(requests: DataFrame, hits: DataFrame) -> DataFrame:
-    """(requestJson, resultJson), one row per request, an empty list when nothing was found."""
+    """(requestJson, resultJson), one row per request, an empty list when nothing was found. A list is one value: ``hits`` should be cut to the best ones."""
     entry = F.struct(
         F.struct(
             F.struct(F.col("entity_id").alias("ENTITY_ID")).alias("RESOLVED_ENTITY")

@@ -13,42 +13,55 @@ from kinfold.operators.documents import quarantine_rows, tombstones
 from kinfold.operators.upsert import (
     RELATION_KEY, change_gate, departed_records, fold_relations, verify_departed,
 )
-from kinfold.plans.keyed_table import VersionedTables
+from kinfold.plans.keyed_table import BUCKETS, VersionedTables
 from kinfold.schemas import MART
 from kinfold.session import in_parallel, materialize
 
+# Keys that place a row, and lookups. Records are found by their entity and relations by either end without a scan.
+LAYOUT = {
+    "entity": (("entity_id",), ()),
+    "entity_doc": (("entity_id",), ()),
+    "entity_record": ((), (("entity_id",),)),
+    "relationship": (("entity_id_lo",), (("entity_id_hi",),)),
+    "_quarantine": (("entity_id",), ()),
+}
+
+
 class EntityMart(VersionedTables):
     """Four replicated tables plus `_sync_state` and `_quarantine`."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        super().__init__(spark, path, MART, accumulate=("relationship",))
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        super().__init__(spark, path, MART, accumulate=("relationship",), layout=LAYOUT, buckets=buckets)
 
     def sync(self, fetched: DataFrame, live: DataFrame | None = None) -> int:
         """Apply one batch of fetched entities; returns the sequence number of the pass.
 
         ``live`` lists the (data_source, record_id) keys that exist anywhere: without it a record that
         left a refreshed entity counts as gone, and its new entity's own refresh brings it back.
+
+        All reads are restricted to the buckets of the batch's entities and of the records and relations they hold.
         """
-        before = self.seq
+        state = self.state()
+        tables, before = self.current(state), int(state.get(self.SEQ, 0))
         seq = before + 1
         fetched = materialize(fetched, "fetched")
         documents = fetched.filter(F.col("kind") == "ENTITY").select("json", "page")
         # Parsed once and stored: four tables and the gate read from it.
         parsed = materialize(parse_documents(documents, page="page"), "parsed")
         gone = materialize(tombstones(fetched).distinct(), "gone")
-        stored_hash = self.read("entity", before, ["entity_hash"], only=parsed.select("entity_id"))
+        stored_hash = tables["entity"].read(before, ["entity_hash"], only=parsed.select("entity_id").distinct())
         changed = materialize(change_gate(parsed, stored_hash), "changed")
         refreshed = materialize(changed.groupBy("entity_id").agg(F.sum("record_count").alias("n")), "refreshed")
-        touched = refreshed.select("entity_id").unionByName(gone)
+        touched = materialize(refreshed.select("entity_id").unionByName(gone), "touched")
 
         def lapsed(table: str) -> DataFrame:
             """Stored pages of refreshed entities that the fresh document no longer has, and all pages
             of gone entities."""
-            stored = self.read(table, before, [], only=touched).select("entity_id", "page")
+            stored = tables[table].read(before, [], only=touched).select("entity_id", "page")
             return stored.join(changed.select("entity_id", "page"), ["entity_id", "page"], "left_anti")
 
         fresh = record_frame(changed)
-        owned = materialize(self.read("entity_record", before, ["entity_id"], only=touched), "owned")
+        owned = materialize(tables["entity_record"].read(before, ["entity_id"], only=touched), "owned")
         departed = departed_records(owned, fresh, refreshed).select("data_source", "record_id")
         if live is not None:
             departed = verify_departed(departed, live)
@@ -59,7 +72,7 @@ class EntityMart(VersionedTables):
         for end in RELATION_KEY:
             at_end = gone.withColumnRenamed("entity_id", end)
             pairs = pairs.join(at_end, end, "left_anti")
-            hit = self.read("relationship", before, [], only=at_end).select(*RELATION_KEY)
+            hit = tables["relationship"].read(before, [], only=at_end).select(*RELATION_KEY)
             ended = hit if ended is None else ended.unionByName(hit)
 
         rows = {
@@ -69,7 +82,7 @@ class EntityMart(VersionedTables):
             "relationship": (pairs, ended),
             "_quarantine": (quarantine_rows(fetched), None),
         }
-        in_parallel(self.spark, *[partial(self.tables[name].write, seq, *frames) for name, frames in rows.items()])
+        in_parallel(self.spark, *[partial(tables[name].write, seq, *frames) for name, frames in rows.items()])
         self.commit(seq)
         return seq
 

@@ -78,15 +78,38 @@ def _affected(touches: DataFrame, op: str, run_id: str) -> DataFrame:
 # --- incremental verbs -----------------------------------------------------------------------
 
 
+class FrameState:
+    """Resolver state held as two frames; every lookup is a semi join."""
+
+    def __init__(self, keys: DataFrame, members: DataFrame):
+        self.keys, self.members = keys, members
+
+    def members_of(self, only: DataFrame) -> DataFrame:
+        """Member rows that match ``only`` on its columns: the record key, `record_seq` or `entity_id`."""
+        return self.members.select(*_MEMBER).join(only, only.columns, "left_semi")
+
+    def keys_of(self, records: DataFrame) -> DataFrame:
+        """(record_seq, rule, key) of the records (record_seq)."""
+        return self.keys.select("record_seq", "rule", "key").join(records, "record_seq", "left_semi")
+
+    def holders(self, wanted: DataFrame) -> DataFrame:
+        """(rule, key, record_seq): one record for each (rule, key) that any record holds. One is enough: all holders are one entity."""
+        held = self.keys.join(wanted, ["rule", "key"], "left_semi")
+        return held.groupBy("rule", "key").agg(F.min("record_seq").alias("record_seq"))
+
+
 @dataclass(frozen=True)
 class Change:
     """What a verb did. ``members`` holds only the rows that changed or were added, with the entity
-    before as `old_id`; ``lost`` the members that left with theirs. Both are stored frames."""
+    before as `old_id`; ``lost`` the members that left with theirs; ``holders`` (rule, key, record_seq) the record that
+    stands for each key of the batch and of lost records, where one is left, and ``free`` (rule, key) the others. All are stored frames."""
 
     members: DataFrame
     lost: DataFrame
     fresh_keys: DataFrame | None
     affected: DataFrame
+    holders: DataFrame | None = None
+    free: DataFrame | None = None
 
     def apply_to_members(self, members: DataFrame) -> DataFrame:
         gone = self.lost.select("record_seq").unionByName(self.members.select("record_seq"))
@@ -98,70 +121,94 @@ class Change:
 
 
 _MEMBER = ["record_seq", *KEY, "entity_id"]
+_INDEX = ["rule", "key", "record_seq"]
 
 
-def _recluster(members: DataFrame, keys: DataFrame, lost: DataFrame, floor: int) -> DataFrame:
-    """The members left in entities that lost a record, clustered again; all other entities stay as
+def _recluster(state, lost: DataFrame, floor: int) -> tuple[DataFrame, DataFrame]:
+    """(members, keys): what is left of the entities that lost a record, clustered again, and its link keys; all other entities stay as
     they are. ``lost`` holds (record_seq, old_id)."""
-    shaken = lost.select(F.col("old_id").alias("entity_id"))
-    part = materialize(
-        members.select(*_MEMBER).join(shaken, "entity_id", "left_semi").join(lost, "record_seq", "left_anti"), "shaken"
-    )
+    shaken = lost.select(F.col("old_id").alias("entity_id")).distinct()
+    part = materialize(state.members_of(shaken).join(lost, "record_seq", "left_anti"), "shaken")
     if part.isEmpty():
-        return part.withColumn("old_id", F.col("entity_id"))
-    moved = components(star_links(keys.join(part, "record_seq", "left_semi"), floor), floor)
+        return part.withColumn("old_id", F.col("entity_id")), part.select(
+            "record_seq", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("binary").alias("key")
+        )
+    keys = materialize(state.keys_of(part.select("record_seq")).select("record_seq", "rule", "key"), "shaken-keys")
+    moved = components(star_links(keys, floor), floor)
     again = membership(part, moved).join(part.select("record_seq", F.col("entity_id").alias("old_id")), "record_seq")
-    return materialize(again.select(*_MEMBER, "old_id"), "reclustered")
+    return materialize(again.select(*_MEMBER, "old_id"), "reclustered"), keys
 
 
-def _lost(members: DataFrame, leaving: DataFrame) -> DataFrame:
-    found = members.join(leaving.select(*KEY), KEY, "left_semi")
+def _lost(state, leaving: DataFrame) -> DataFrame:
+    found = state.members_of(leaving.select(*KEY))
     return materialize(found.select("record_seq", *KEY, F.col("entity_id").alias("old_id")), "lost")
 
 
+def _standing(state, wanted: DataFrame, lost: DataFrame, left_keys: DataFrame) -> DataFrame:
+    """(rule, key, record_seq) for the ``wanted`` keys: the record that stands for the key, or, where that one is lost, another of its old entity."""
+    stays = state.holders(wanted).join(lost, "record_seq", "left_anti").select(*_INDEX)
+    other = left_keys.join(wanted, ["rule", "key"], "left_semi").select(*_INDEX)
+    return stays.unionByName(other).groupBy("rule", "key").agg(F.min("record_seq").alias("record_seq")).select(*_INDEX)
+
+
 def add_records(
     keys: DataFrame, members: DataFrame, batch: DataFrame, run_id: str,
     rules: list[LinkRule] = RULES, floor: int = HOT_FLOOR,
 ) -> tuple[DataFrame, Change]:
-    """Add or replace ``batch``; returns the batch with its final record numbers, and the change.
+    """``add_to`` on state held as frames."""
+    numbered, _, change = add_to(FrameState(keys, members), batch, run_id, rules, floor)
+    return numbered, change
+
+
+def add_to(
+    state, batch: DataFrame, run_id: str, rules: list[LinkRule] = RULES, floor: int = HOT_FLOOR
+) -> tuple[DataFrame, DataFrame, Change]:
+    """Add or replace ``batch``; returns the batch with its final record numbers, its features, and the change.
 
     ``batch`` has a free `record_seq` for new records; a record known by its key keeps its number.
-    Entities already resolved enter the clustering as single nodes, so the work depends on the batch,
-    the keys it meets, and the entities that lose a replaced record.
+    Entities already resolved enter the clustering as single nodes, found through one holder for each key. So what is asked of ``state`` depends on the batch,
+    the keys it meets, and the entities that lose a replaced record or are merged into another one.
     """
-    lost = _lost(members, batch)
+    lost = _lost(state, batch)
     known = lost.select(*KEY, F.col("record_seq").alias("_old"))
     numbered = materialize(
         batch.join(known, KEY, "left").select(F.coalesce("_old", "record_seq").alias("record_seq"), *KEY, "payload"), "batch"
     )
-    fresh_keys = materialize(link_keys(with_features(numbered), rules), "batch-keys")
-    kept_keys = keys.join(lost, "record_seq", "left_anti")
-    again = _recluster(members, kept_keys, lost, floor)
+    featured = materialize(with_features(numbered), "batch-features")
+    fresh_keys = materialize(link_keys(featured, rules), "batch-keys")
+    again, left_keys = _recluster(state, lost, floor)
 
     # Entities reachable by a key of the batch, as nodes next to the batch records.
-    met = materialize(kept_keys.join(fresh_keys.select("rule", "key"), ["rule", "key"], "left_semi"), "met")
-    settled = members.select("record_seq", "entity_id").join(met, "record_seq", "left_semi")
+    of_lost = materialize(state.keys_of(lost.select("record_seq")).select("rule", "key").distinct(), "lost-keys")
+    wanted = materialize(fresh_keys.select("rule", "key").unionByName(of_lost).distinct(), "wanted")
+    standing = materialize(_standing(state, wanted, lost, left_keys), "standing")
+    met = standing.join(fresh_keys.select("rule", "key"), ["rule", "key"], "left_semi")
+    settled = state.members_of(materialize(met.select("record_seq").distinct(), "met")).select("record_seq", "entity_id")
     current = settled.join(again.select("record_seq", F.col("entity_id").alias("_new")), "record_seq", "left").select(
         "record_seq", F.coalesce("_new", "entity_id").alias("entity_id")
     )
     nodes = met.join(current, "record_seq").select(F.col("entity_id").alias("record_seq"), "rule", "key").distinct()
     roots = components(star_links(nodes.unionByName(fresh_keys.select("record_seq", "rule", "key")), floor), floor)
 
-    root_of = roots.select(F.col("record_seq").alias("entity_id"), F.col("entity_id").alias("_root"))
+    root_of = materialize(roots.select(F.col("record_seq").alias("entity_id"), F.col("entity_id").alias("_root")), "roots")
 
     def rooted(frame: DataFrame) -> DataFrame:
         return frame.join(root_of, "entity_id", "left").withColumn("entity_id", F.coalesce("_root", "entity_id")).drop("_root")
 
-    untouched = members.select(*_MEMBER).join(again.select("record_seq").unionByName(lost.select("record_seq")), "record_seq", "left_anti")
-    merged = rooted(untouched.join(root_of, "entity_id", "left_semi").withColumn("old_id", F.col("entity_id")))
+    merging = state.members_of(root_of.select("entity_id"))
+    untouched = merging.join(again.select("record_seq").unionByName(lost.select("record_seq")), "record_seq", "left_anti")
+    merged = rooted(untouched.withColumn("old_id", F.col("entity_id")))
     landed = membership(numbered, roots).join(lost.select("record_seq", "old_id"), "record_seq", "left")
     columns = [*_MEMBER, "old_id"]
     changed = materialize(
         rooted(again).select(*columns).unionByName(merged.select(*columns)).unionByName(landed.select(*columns)), "changed"
     )
+    holders = standing.unionByName(fresh_keys.select(*_INDEX)).groupBy("rule", "key").agg(F.min("record_seq").alias("record_seq"))
+    holders = materialize(holders.select(*_INDEX), "holders")
     own = changed.join(numbered.select("record_seq"), "record_seq", "left_semi").select(*KEY, F.col("entity_id").alias("entityId"))
     touches = own.unionByName(_moves(changed))
-    return numbered, Change(changed, lost, fresh_keys, _affected(touches, "ADD", run_id))
+    free = of_lost.join(holders, ["rule", "key"], "left_anti")
+    return numbered, featured, Change(changed, lost, fresh_keys, _affected(touches, "ADD", run_id), holders, free)
 
 
 def _moves(changed: DataFrame) -> DataFrame:
@@ -172,11 +219,18 @@ def _moves(changed: DataFrame) -> DataFrame:
 
 
 def delete_records(keys: DataFrame, members: DataFrame, batch: DataFrame, run_id: str, floor: int = HOT_FLOOR) -> Change:
+    """``delete_from`` on state held as frames."""
+    return delete_from(FrameState(keys, members), batch, run_id, floor)
+
+
+def delete_from(state, batch: DataFrame, run_id: str, floor: int = HOT_FLOOR) -> Change:
     """Remove ``batch`` (by record key); an absent record is a no-op without an error row."""
-    lost = _lost(members, batch)
-    again = _recluster(members, keys.join(lost, "record_seq", "left_anti"), lost, floor)
+    lost = _lost(state, batch)
+    again, left_keys = _recluster(state, lost, floor)
+    of_lost = materialize(state.keys_of(lost.select("record_seq")).select("rule", "key").distinct(), "lost-keys")
+    holders = materialize(_standing(state, of_lost, lost, left_keys), "holders")
     touches = _moves(again).unionByName(lost.select(*KEY, F.col("old_id").alias("entityId")))
-    return Change(again, lost, None, _affected(touches, "DELETE", run_id))
+    return Change(again, lost, None, _affected(touches, "DELETE", run_id), holders, of_lost.join(holders, ["rule", "key"], "left_anti"))
 
 
 # --- redo ------------------------------------------------------------------------------------

@@ -259,10 +259,15 @@ SELECT coalesce(c1.id, c2.id) AS entity_id,
   CASE WHEN c2.id IS NOT NULL AND (c1.id IS NULL OR c1.seg <> 'BUILDING' OR c1.nat < 12) THEN 6 WHEN c1.seg = 'BUILDING' AND c1.nat >= 12 THEN 7 ELSE 5 END AS refresh_seq
 FROM c1 FULL JOIN c2 ON c1.id = c2.id""")
 def mart_upsert(t: Tables) -> DataFrame:
-    """Pass 6 meets rows of pass 5 and, for some customers, of the later pass 7."""
+    """Pass 6 meets rows of pass 5 and, for some customers, of the later pass 7 that was written before it."""
     newer = (F.col("seg") == "BUILDING") & (F.col("nat") >= 12)
-    target = fx.customers(t, 1).select("entity_id", "entity_name", F.when(newer, 7).otherwise(5).cast("bigint").alias("refresh_seq"))
-    return upsert.monotonic_upsert(target, fx.customers(t, 2).select("entity_id", "entity_name"), ["entity_id"], 6)
+    table = _mart(t).tables["entity"]
+    first, second = docs.entity_frame(_parsed(t, 1)), docs.entity_frame(_parsed(t, 2))
+    held = fx.customers(t, 1).filter(newer).select("entity_id")
+    table.write(7, first.join(held, "entity_id", "left_semi"))
+    table.write(5, first.join(held, "entity_id", "left_anti"))
+    table.write(6, second)
+    return table.read(7, ["entity_name"]).select("entity_id", "entity_name", "refresh_seq")
 
 
 @query("mart_relationship_upsert", f"""{_E}
@@ -271,11 +276,10 @@ SELECT coalesce(p1.lo, p2.lo) AS entity_id_lo, coalesce(p1.hi, p2.hi) AS entity_
 FROM p1 FULL JOIN p2 ON p1.lo = p2.lo AND p1.hi = p2.hi""")
 def mart_relationship_upsert(t: Tables) -> DataFrame:
     """The low ends were refreshed in pass 1, the high ends are in pass 2."""
-    low = docs.relation_frame(_parsed(t, 1)).filter(F.col("match_key").isNotNull()).withColumn("refresh_seq", F.lit(1).cast("bigint"))
-    high = docs.relation_frame(_parsed(t, 2)).filter(F.col("rev_match_key").isNotNull())
-    return upsert.relationship_upsert(low, high, 2).select(
-        "entity_id_lo", "entity_id_hi", "match_key", "rev_match_key", "match_level_code", "refresh_seq"
-    )
+    table = _mart(t).tables["relationship"]
+    table.write(1, upsert.fold_relations(docs.relation_frame(_parsed(t, 1)).filter(F.col("match_key").isNotNull())))
+    table.write(2, upsert.fold_relations(docs.relation_frame(_parsed(t, 2)).filter(F.col("rev_match_key").isNotNull())))
+    return table.read(2, ["match_key", "rev_match_key", "match_level_code"])
 
 
 @query("mart_tombstone_cascade", f"""{_E}, gone AS (SELECT id FROM c1 WHERE id NOT IN (SELECT id FROM c2))
@@ -284,16 +288,15 @@ UNION ALL SELECT 'entity_doc', count(*), CAST(sum(id) AS BIGINT) FROM c1 WHERE i
 UNION ALL SELECT 'entity_record', count(*), CAST(sum(id) AS BIGINT) FROM r1 WHERE id NOT IN (SELECT id FROM gone)
 UNION ALL SELECT 'relationship', count(*), CAST(sum(lo) AS BIGINT) FROM p1 WHERE lo NOT IN (SELECT id FROM gone) AND hi NOT IN (SELECT id FROM gone)""")
 def mart_tombstone_cascade(t: Tables) -> DataFrame:
-    parsed = materialize(_parsed(t, 1), "parsed")
-    tables = {
-        "entity": docs.entity_frame(parsed), "entity_doc": docs.document_frame(parsed),
-        "entity_record": docs.record_frame(parsed), "relationship": upsert.fold_relations(docs.relation_frame(parsed)),
-    }
-    left = upsert.cascade(tables, ed.tombstones(_fetched(t, 2, failing=False)))
+    """Version 1, then a pass in which the entities that version 2 no longer has are gone."""
+    held = _mart(t)
+    held.sync(_fetched(t, 1, failing=False))
+    held.sync(_fetched(t, 2, failing=False).filter("kind = 'GONE'"))
     total = None
     for name in MART_TABLES:
         key = "entity_id_lo" if name == "relationship" else "entity_id"
-        row = left[name].agg(F.count(F.lit(1)).alias("n"), F.sum(key).alias("ids")).select(F.lit(name).alias("name"), "n", "ids")
+        columns = [key] if name == "entity_record" else []
+        row = held.read(name, columns=columns).agg(F.count(F.lit(1)).alias("n"), F.sum(key).alias("ids")).select(F.lit(name).alias("name"), "n", "ids")
         total = row if total is None else total.unionByName(row)
     return total
 

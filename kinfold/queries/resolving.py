@@ -43,8 +43,14 @@ members{tag} AS (SELECT node AS doc_id, min(seen) AS entity_id FROM reach{tag} G
 
 _R = f"WITH RECURSIVE {lines_sql('l', 'documents')}, {members_sql('', 'l')}"
 
-_PASSAGES = """SELECT doc_id, 'PASSAGE' AS ftype, md5(ls[i] || chr(10) || ls[i + 1] || chr(10) || ls[i + 2]) AS value
-  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) - 1)) AS i FROM l)"""
+
+
+def passages_sql(lines: str) -> str:
+    return f"""SELECT doc_id, 'PASSAGE' AS ftype, md5(ls[i] || chr(10) || ls[i + 1] || chr(10) || ls[i + 2]) AS value
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) - 1)) AS i FROM {lines})"""
+
+
+_PASSAGES = passages_sql("l")
 
 _SHARED = f"""
 vals AS (SELECT DISTINCT entity_id, ftype, value FROM (
@@ -273,44 +279,65 @@ def resolve_delete_affected(t: Tables) -> DataFrame:
     return change.affected.select("entityId", "op")
 
 
-@query("resolve_search", f"""{_R},
+def search_sql(asked: str, top: int) -> str:
+    """CTEs up to ranked(request_id, rank, entity_id, shared, level) for the CTE ``asked`` of (doc_id, ftype, value)."""
+    return f"""{_R},
 held AS (
   SELECT DISTINCT entity_id, 'LINE' AS ftype, md5(x) AS value FROM (SELECT doc_id, unnest(ls) AS x FROM l) JOIN members USING (doc_id)
   UNION SELECT entity_id, ftype, value FROM ({_PASSAGES}) JOIN members USING (doc_id)
   UNION SELECT entity_id, rule, key FROM keys JOIN members USING (doc_id)),
-asked AS (
-  SELECT DISTINCT doc_id, 'LINE' AS ftype, md5(x) AS value FROM (SELECT doc_id, unnest(ls) AS x FROM l)
-  UNION {_PASSAGES}
-  UNION SELECT doc_id, rule, key FROM keys),
+{asked},
 hits AS (
   SELECT asked.doc_id AS request_id, entity_id, count(*) AS shared, count(*) FILTER (WHERE asked.ftype NOT IN ('LINE', 'PASSAGE')) AS merging,
     bool_or(asked.ftype = 'PASSAGE') AS passage
-  FROM asked JOIN held ON asked.ftype = held.ftype AND asked.value = held.value WHERE asked.doc_id % 100 = 0 GROUP BY 1, 2),
+  FROM asked JOIN held ON asked.ftype = held.ftype AND asked.value = held.value GROUP BY 1, 2),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY merging > 0 DESC, shared DESC, entity_id) AS rank FROM hits)
-SELECT request_id, CAST(rank AS INTEGER) AS rank, entity_id, shared,
-  CASE WHEN merging > 0 THEN 'RESOLVED' WHEN passage THEN 'POSSIBLY_SAME' ELSE 'POSSIBLY_RELATED' END AS match_level_code
-FROM ranked WHERE rank <= 3""")
+  SELECT request_id, entity_id, shared, row_number() OVER (PARTITION BY request_id ORDER BY merging > 0 DESC, shared DESC, entity_id) AS rank,
+    CASE WHEN merging > 0 THEN 'RESOLVED' WHEN passage THEN 'POSSIBLY_SAME' ELSE 'POSSIBLY_RELATED' END AS level
+  FROM hits QUALIFY rank <= {top})"""
+
+
+def _loaded(t: Tables) -> ResolverStore:
+    """A store with all documents, under their own numbers."""
+    store = _store(t)
+    store.add(_as_records(t.documents), "load", number="record_seq")
+    return store
+
+
+_ASKED_DOCUMENTS = f"""asked AS (SELECT * FROM (
+  SELECT DISTINCT doc_id, 'LINE' AS ftype, md5(x) AS value FROM (SELECT doc_id, unnest(ls) AS x FROM l)
+  UNION {_PASSAGES}
+  UNION SELECT doc_id, rule, key FROM keys) WHERE doc_id % 100 = 0)"""
+
+
+@query("resolve_search", f"""{search_sql(_ASKED_DOCUMENTS, 3)}
+SELECT request_id, CAST(rank AS INTEGER) AS rank, entity_id, shared, level AS match_level_code FROM ranked""")
 def resolve_search(t: Tables) -> DataFrame:
-    """Documents whose id is divisible by 100 as requests against all entities, the three best for each."""
-    records = fx.records(t)
-    state = resolver.resolve(records)
-    held = relating.entity_values(ft.search_values(ft.with_features(records)), state.moved)
-    requests = records.filter("record_seq % 100 = 0").select(F.col("record_seq").alias("request_id"), "payload")
-    return searching.search(requests, held, top=3)
+    """Documents whose id is divisible by 100 as requests against the stored postings of all entities, the three best for each."""
+    requests = fx.records(t).filter("record_seq % 100 = 0").select(F.col("record_seq").alias("request_id"), "payload")
+    return _loaded(t).find(requests, top=3)
+
 
+_ASKED_ITEMS = f"""{lines_sql('b', '(SELECT item_id AS doc_id, text FROM benchmark)')},
+asked AS (
+  SELECT DISTINCT doc_id, 'LINE' AS ftype, md5(x) AS value FROM (SELECT doc_id, unnest(ls) AS x FROM b)
+  UNION {passages_sql('b')}
+  UNION SELECT doc_id, 'EXACT_TEXT', sha256(lower(trim(text))) FROM b
+  UNION SELECT doc_id, 'SAME_OPENING', md5(ls[1] || chr(10) || ls[2]) FROM b WHERE len(ls) >= 2
+  UNION SELECT doc_id, 'SAME_CLOSING', md5(ls[-2] || chr(10) || ls[-1]) FROM b WHERE len(ls) >= 2)"""
 
-@query("resolve_search_results", """
-SELECT md5(text) AS text_md5, 1 AS lists FROM benchmark""")
+
+@query("resolve_search_results", f"""{search_sql(_ASKED_ITEMS, 10)}
+SELECT md5(text) AS text_md5, coalesce(found, '') AS found FROM benchmark LEFT JOIN (
+  SELECT request_id, string_agg(entity_id || ':' || shared || ':' || level, ',' ORDER BY rank) AS found FROM ranked GROUP BY request_id) ON request_id = item_id""")
 def resolve_search_results(t: Tables) -> DataFrame:
-    """Requests with their result JSON: every request gets one, found or not."""
-    records = fx.records(t)
-    state = resolver.resolve(records)
-    held = relating.entity_values(ft.search_values(ft.with_features(records)), state.moved)
+    """Requests with their result JSON, read again: the ten best entities of each in order; every request has a list, found or not."""
     requests = t.benchmark.select(F.col("item_id").alias("request_id"), F.to_json(F.struct(F.col("text").alias("TEXT"))).alias("payload"))
-    results = searching.search_results(requests, searching.search(requests, held))
-    listed = F.get_json_object("resultJson", "$.RESOLVED_ENTITIES").isNotNull().cast("int")
-    return results.select(F.md5(F.get_json_object("requestJson", "$.TEXT")).alias("text_md5"), listed.alias("lists"))
+    results = searching.search_results(requests, _loaded(t).find(requests, top=10))
+    shape = "RESOLVED_ENTITIES array<struct<ENTITY: struct<RESOLVED_ENTITY: struct<ENTITY_ID: bigint>>, MATCH_INFO: struct<MATCH_LEVEL_CODE: string, SHARED: bigint>>>"
+    listed = F.from_json("resultJson", shape)["RESOLVED_ENTITIES"]
+    found = F.transform(listed, lambda e: F.concat_ws(":", e["ENTITY"]["RESOLVED_ENTITY"]["ENTITY_ID"], e["MATCH_INFO"]["SHARED"], e["MATCH_INFO"]["MATCH_LEVEL_CODE"]))
+    return results.select(F.md5(F.get_json_object("requestJson", "$.TEXT")).alias("text_md5"), F.concat_ws(",", found).alias("found"))
 
 
 _REDO_BLOCK = 8  # values with more holders wait in the queue

@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -74,6 +76,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` written once, for several actions that must see the same rows; the rows are removed afterwards.
+
+    A cached frame is computed anew where an executor is lost, and then may differ: a call can fail the first time and pass the second.
+    """
+    spark, path = df.sparkSession, scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(frame: DataFrame, key: str) -> DataFrame:
     """``frame`` over all cores when it comes from fewer files than there are cores. Meant for plans
     that do much work per row; an input of many files is left as it is, so nothing large is shuffled."""

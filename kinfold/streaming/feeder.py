@@ -9,11 +9,11 @@ from __future__ import annotations
 import warnings
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kinfold.operators.outcomes import error_rows, stamp_failure
+from kinfold.session import stored
 from kinfold.sources.inbox import stream_inbox
 
 Process = Callable[[DataFrame, int], DataFrame]
@@ -42,16 +42,13 @@ def start_feeder(
     """Feed the inbox through ``process`` (input rows and batch id to outcome rows).
 
     ``once`` drains what is there and ends; otherwise the query keeps running. The outcome frame is
-    computed once per batch and feeds both sinks. The batch is committed after both are written.
+    computed and stored once per batch and feeds both sinks. The batch is committed after both are written.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        outcomes = process(batch, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with stored(process(batch, batch_id), "outcomes") as outcomes:
             write_batch(outcomes.filter(F.col("kind") != "ERROR"), output, batch_id)
             write_batch(stamp_failure(error_rows(outcomes), source), dead_letter, batch_id)
-        finally:
-            outcomes.unpersist()
 
     if pool:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)

@@ -1,3 +1,7 @@
+import os
+import random
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +161,73 @@ def test_observed_counters(spark):
     watched, seen = out.observe_counters(rows)
     watched.collect()
     assert (seen.get["succeeded"], seen.get["errored"], seen.get["replaceConflict"]) == (1, 1, 1)
+
+
+def test_a_batch_may_take_longer_than_one_record_s_budget(spark):
+    """The budget is each record's own: the last one fails once after all others took their time, and is retried."""
+
+    def slow(source, record, payload, attempt):
+        time.sleep(0.02)
+        if record == "29" and attempt == 0:
+            raise er.VerbError("RETRYABLE", "busy")
+        return '{"AFFECTED_ENTITIES":[{"ENTITY_ID":1}]}'
+
+    assert route(spark, slow, policy=er.RetryPolicy(budget_ms=300, base_ms=1, cap_ms=1)).filter("kind = 'AFFECTED'").count() == 30
+
+
+def test_a_blip_does_not_open_the_breaker(spark):
+    """Every record fails once, or none passes for a while: with waits in between the failures in a row stay few."""
+
+    def once(source, record, payload, attempt):
+        if attempt == 0:
+            raise er.VerbError("RETRYABLE", "blip")
+        return '{"AFFECTED_ENTITIES":[{"ENTITY_ID":1}]}'
+
+    quick = er.RetryPolicy(budget_ms=60_000, base_ms=4, cap_ms=50, breaker=20)
+    assert route(spark, once, policy=quick).filter("kind = 'AFFECTED'").count() == 30
+
+    def outage():
+        began = []
+
+        def verb(source, record, payload, attempt):
+            began.append(time.monotonic())
+            if began[-1] - began[0] < 0.3:
+                raise er.VerbError("RETRYABLE", "outage")
+            return '{"AFFECTED_ENTITIES":[{"ENTITY_ID":1}]}'
+
+        return verb
+
+    assert route(spark, outage(), policy=quick).filter("kind = 'AFFECTED'").count() == 30
+
+
+def test_one_failing_record_does_not_hold_up_the_others():
+    order = []
+
+    def verb(source, record, payload, attempt):
+        order.append((record, attempt))
+        if record == "0":
+            raise er.VerbError("RETRYABLE", "always")
+        return "{}"
+
+    line = er._Line(verb, er.RetryPolicy(budget_ms=400, base_ms=10, cap_ms=200), None)
+    rows = [{"dataSource": "S", "recordId": str(i), "payload": "{}"} for i in range(20)]
+    done = [c.row["recordId"] for c in line.settled(rows)] + [c.row["recordId"] for c in line.rest()]
+    assert sorted(done, key=int) == [str(i) for i in range(20)] and done[-1] == "0"
+    assert order[0] == ("0", 0) and order[1] == ("0", 1) and [r for r, _ in order].index("1") < len(order) - 1
+    attempts = [a for r, a in order if r == "0"]
+    assert attempts == list(range(len(attempts))) and len(attempts) > 3
+
+
+def test_each_record_lands_in_one_sink(spark, folder):
+    """The verb answers at random, so a second evaluation would differ: outcomes are stored before they are split."""
+
+    def moody(source, record, payload, attempt):
+        if random.random() < 0.5:
+            raise er.VerbError("BAD_INPUT", "no")
+        return '{"AFFECTED_ENTITIES":[{"ENTITY_ID":1}]}'
+
+    scratch = spark.conf.get("spark.checkpoint.dir")
+    out.write_split(route(spark, moody), f"{folder}/good", f"{folder}/bad")
+    good, bad = ({r.recordId for r in spark.read.parquet(f"{folder}/{x}").collect()} for x in ("good", "bad"))
+    assert good.isdisjoint(bad) and good | bad == {str(i) for i in range(30)}
+    assert not [f for f in os.listdir(scratch) if f.startswith("outcomes-")]
