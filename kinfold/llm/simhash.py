@@ -8,7 +8,7 @@ the five weight-4 words part the 23 positions among themselves.
 
 Two fingerprints that differ in at most two bits differ in at most two of the three segments, so one segment is equal and
 the segment after it differs in at most two bits. The join key is therefore (equal segment, one Golay key of the next):
-up to 18 keys of up to 35 bits, and no pair within two bits is lost.
+up to 18 keys of up to 35 bits, and no pair within two bits is lost. Pairs that share a key are verified by their differing bits.
 
 ``one_of_each`` also takes texts for copies whose sets of five-word shingles have a Jaccard similarity of 0.8 or more. Such texts often differ in
 five to fifteen bits of a SimHash, out of reach of any key that stays selective, so it adds min-wise bands over those shingles, each
@@ -33,6 +33,7 @@ GENERATOR = 0xC75  # fixed value: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1, a gen
 BITS = 23
 SEGMENTS = ((0, 23), (23, 23), (46, 18))  # first bit and width of each segment
 BLOCK = 1 << 14  # shingles whose bits are counted at once
+BUCKET = 64  # fingerprints of one join key that are compared with each other; more are verified by `met_at_words`
 SIMILAR = 0.8  # Jaccard similarity of shingle sets from which on two texts are copies
 WIDE = 5  # words in a shingle of these sets
 BANDS, ROWS = 32, 4  # a pair at 0.8 shares no band with probability (1 - 0.8^4)^32 = 5e-8
@@ -144,8 +145,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return batches(rows, step, schema).withColumnRenamed("id", "doc_id")
 
 
-def candidates(distinct: DataFrame) -> DataFrame:
-    """(fp): the fingerprints that share a Golay join key with another one."""
+def links(distinct: DataFrame) -> DataFrame:
+    """(lo, hi): links that join all fingerprints of ``distinct`` (fp, one row each) within two bits of each other.
+
+    Fingerprints are joined on their Golay keys and the pairs that share one are verified by their differing bits, within the row of the key. That holds for
+    keys of up to ``BUCKET`` fingerprints, nearly all: a key has 35 bits. The fingerprints of fuller keys are verified without pairs
+    by ``met_at_words``; so every pair within two bits is found by one of the two, whatever the sizes.
+    """
     tables = golay_tables()
 
     def step(fp):
@@ -157,15 +163,20 @@ def candidates(distinct: DataFrame) -> DataFrame:
         return {"key": keys[first], "fp": np.repeat(np.array(fp, dtype=np.int64), n)[first.ravel()]}
 
     keyed = materialize(batches(distinct, step, "key bigint, fp bigint"), "golay")
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return keyed.join(shared, "key").select("fp").distinct()
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    joined = materialize(keyed.join(shared, "key"), "golay-joined")
+    held = joined.filter(F.col("n") <= BUCKET).groupBy("key").agg(F.collect_list("fp").alias("all"))
+    near = F.filter("all", lambda hi: (hi > F.col("lo")) & (F.bit_count(F.col("lo").bitwiseXOR(hi)) <= 2))
+    verified = held.select("all", F.explode("all").alias("lo")).select("lo", F.explode(near).alias("hi"))
+    crowded = joined.filter(F.col("n") > BUCKET).select("fp").distinct()
+    return verified.unionByName(met_at_words(crowded)).distinct()
 
 
-def links(found: DataFrame) -> DataFrame:
-    """(lo, hi): links that join all fingerprints of ``found`` within two bits of each other.
+def met_at_words(found: DataFrame) -> DataFrame:
+    """(lo, hi): the same for fingerprints too many to compare in pairs; linear in their number.
 
-    Verification without pairs: two fingerprints differ in at most two bits exactly when some word is within one bit of
-    both. Each candidate is sent to the 65 words within one bit, and those that meet at a word are linked to the
+    Two fingerprints differ in at most two bits exactly when some word is within one bit of
+    both. Each is sent to the 65 words within one bit, and those that meet at a word are linked to the
     smallest of them. At most 65 can meet at one word, however large the group of copies is.
     """
     bit = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("shiftleft", F.lit(1).cast("bigint"), i))
@@ -175,15 +186,13 @@ def links(found: DataFrame) -> DataFrame:
         met.filter(F.size("all") > 1)
         .select(F.array_min("all").alias("lo"), F.explode("all").alias("hi"))
         .filter("hi > lo")
-        .distinct()
     )
 
 
 def grouped(marked: DataFrame) -> DataFrame:
     """Stored rows of ``fingerprints`` with root, the smallest fingerprint of the component, and component_id, its smallest doc_id."""
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    found = materialize(candidates(nodes.select("fp")), "candidates")
-    roots = components(links(found)).select(F.col("record_seq").alias("fp"), F.col("entity_id").alias("root"))
+    roots = components(links(nodes.select("fp"))).select(F.col("record_seq").alias("fp"), F.col("entity_id").alias("root"))
     placed = materialize(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     return marked.join(placed.join(smallest, "root").select("fp", "root", "component_id"), "fp")

@@ -91,12 +91,43 @@ def test_query_matches_brute_force(spark, documents):
 def test_a_chain_of_links_is_one_component(spark):
     prints = [0b111 << i for i in range(0, 30, 1)]
     found = spark.createDataFrame([(p,) for p in prints], "fp bigint")
-    assert simhash.candidates(found).count() == len(prints)
     pairs = {(r.lo, r.hi) for r in simhash.links(found).collect()}
     assert all((a ^ b).bit_count() <= 2 for a, b in pairs)
     assert len(pairs) >= len(prints) - 1
 
 
+@pytest.mark.parametrize("bucket", [64, 3])
+def test_links_are_the_near_pairs(spark, monkeypatch, bucket):
+    """Clusters around random centres, one of them in a crowded key; with small buckets the fuller keys take the other way."""
+    rng = random.Random(9)
+    prints = set()
+    for size in (1, 2, 5, 12, 40):
+        for _ in range(3):
+            centre = rng.getrandbits(64)
+            prints |= {centre ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for _ in range(size)}
+    centre = rng.getrandbits(64) & ~(0x3FFFF << 46)
+    prints |= {centre | rng.getrandbits(18) << 46 for _ in range(150)}  # two segments equal: one key holds them all
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    near = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) % (1 << 64)).bit_count() <= 2}
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    pairs = {(r.lo, r.hi) for r in simhash.links(spark.createDataFrame([(p,) for p in signed], "fp bigint")).collect()}
+    assert pairs <= near
+
+    def parts(edges):
+        root = {p: p for p in signed}
+
+        def find(p):
+            while root[p] != p:
+                p = root[p]
+            return p
+
+        for a, b in edges:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+        return {p: find(p) for p in signed}
+
+    assert parts(pairs) == parts(near) and len(near) > 200
+
+
 def test_edges(edge_docs, no_docs):
     got = simhash.fingerprint_components(edge_docs).collect()
     assert len(got) == edge_docs.count()
