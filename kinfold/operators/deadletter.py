@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinfold.operators.errors import REPROCESSABLE
+from kinfold.operators.outcomes import good_rows
 from kinfold.schemas import ERROR_COLUMNS, INPUT, struct
 from kinfold.session import read_if_exists, stored
 
@@ -121,6 +122,6 @@ def _drive(spark: SparkSession, base: str, generation: int, redrive, on_success)
         stamped = failed.withColumns({"failedAt": F.current_timestamp(), "source": F.lit(f"redrive-{generation}")})
         write_dead_letter(stamped, f"{base}/due-{generation + 1}", "overwrite")
         if on_success:
-            on_success(outcomes.filter(F.col("kind") != "ERROR"))
+            on_success(good_rows(outcomes))
     again = reprocessable(spark.read.schema(DEAD_LETTER).parquet(f"{base}/due-{generation + 1}"))
     return due.count(), again.count()

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from kinfold.schemas import OUTCOME
+from kinfold.schemas import CALL, OUTCOME
 
 # Error class -> category (fixed values). The narrowest class of a failure decides.
 CATEGORY_OF = {
@@ -92,6 +92,7 @@ class _Call:
     response: str | None = None
     error: VerbError | None = None
     refreshed: bool = False
+    conflicts: int = 0
 
     @property
     def category(self) -> str | None:
@@ -139,6 +140,7 @@ class _Line:
             record.error = error
         now = time.monotonic()
         record.elapsed_ms = int((now - started) * 1000)
+        record.conflicts += record.category == "REPLACE_CONFLICT"
         action = ACTIONS.get(record.category)
         if action is None:
             self.in_a_row = 0
@@ -167,6 +169,7 @@ class _Line:
 
 
 ROUTED = T.StructType([*OUTCOME.fields, T.StructField("elapsedMs", T.LongType())])
+LEDGERED = T.StructType([*ROUTED.fields, T.StructField("conflicts", T.IntegerType()), T.StructField("affected", T.IntegerType())])
 
 
 def route_errors(
@@ -177,21 +180,39 @@ def route_errors(
     policy: RetryPolicy = RetryPolicy(),
     not_found_is_benign: bool = False,
     refresh: Callable[[], bool] | None = None,
+    ledger: bool = False,
 ) -> DataFrame:
     """Apply ``verb(dataSource, recordId, payload, attempt)`` to every row and route what fails.
 
     Calls go out one at a time in a task. A record that may go again waits in a heap by its due time, over the end of its Arrow batch if need be, for at most its budget.
     ``refresh`` re-reads the configuration after a config-relevant failure; if it returns true the
     record is tried once more. The gate on required keys runs before this, as a column expression.
+
+    A record has as many outcome rows as entities it affected: none, one or many. With ``ledger`` the same pass also gives one row of kind CALL for
+    each record, with the category that is written for it, or NOT_FOUND where that is passed over as benign, its retries and conflicts, the entities it affected
+    and the time of its last call. `outcomes.split_calls` takes the two apart again.
     """
 
+    def entries(record: _Call) -> list[dict]:
+        rows = outcomes(record)
+        if ledger:
+            key = {"dataSource": record.row["dataSource"], "recordId": record.row["recordId"], "op": op, "runId": run_id}
+            affected = sum(row["kind"] == "AFFECTED" for row in rows)
+            counts = {"attempts": record.attempts, "conflicts": record.conflicts, "affected": affected, "elapsedMs": record.elapsed_ms}
+            rows.append({"kind": CALL, **key, "category": written_category(record), **counts})
+        return rows
+
+    def written_category(record: _Call) -> str | None:
+        if record.category == "NOT_FOUND":
+            return "NOT_FOUND" if not_found_is_benign else "BAD_INPUT"
+        return "RETRY_EXHAUSTED" if record.category == "RETRYABLE" else record.category
+
     def outcomes(record: _Call) -> list[dict]:
         row, ms = record.row, {"elapsedMs": record.elapsed_ms}
         if record.error:
             if record.category == "NOT_FOUND" and not_found_is_benign:
                 return []
-            written = {"NOT_FOUND": "BAD_INPUT", "RETRYABLE": "RETRY_EXHAUSTED"}.get(record.category, record.category)
-            error = {"category": written, "errorCode": record.error.code, "message": str(record.error), "attempts": record.attempts}
+            error = {"category": written_category(record), "errorCode": record.error.code, "message": str(record.error), "attempts": record.attempts}
             return [{"kind": "ERROR", **row, **error, **ms}]
         if op == "SEARCH":
             return [{"kind": "SEARCH", "requestJson": row["payload"], "resultJson": record.response, **ms}]
@@ -206,7 +227,8 @@ def route_errors(
         yield written(line.rest())
 
     def written(done: Iterator[_Call]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist([row for record in done for row in outcomes(record)], schema=shape)
+        return pa.RecordBatch.from_pylist([row for record in done for row in entries(record)], schema=shape)
 
-    shape = to_arrow_schema(ROUTED)
-    return records.select("dataSource", "recordId", "payload").mapInArrow(partition, ROUTED)
+    columns = LEDGERED if ledger else ROUTED
+    shape = to_arrow_schema(columns)
+    return records.select("dataSource", "recordId", "payload").mapInArrow(partition, columns)

@@ -66,6 +66,28 @@ def route_errors(t: Tables) -> DataFrame:
     return routed.groupBy("kind", "dataSource", "recordId", "entityId", "category", "errorCode").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _uneven_verb(source: str, record: str, payload: str, attempt: int) -> str:
+    """As above, but views are absent, errors conflict, and a purchase affects as many entities as the record's number leaves by 4."""
+    if source == "error":
+        raise er.VerbError("REPLACE_CONFLICT", "changed meanwhile")
+    if source == "purchase":
+        return json.dumps({"AFFECTED_ENTITIES": [{"ENTITY_ID": i} for i in range(int(record) % 4)]})
+    return _verb(source, record, payload, attempt)
+
+
+@query("outcome_counters", """
+SELECT event_type AS "dataSource", count(*) FILTER (event_type IN ('purchase', 'signup')) AS succeeded, count(*) FILTER (event_type IN ('click', 'error')) AS errored,
+  count(*) FILTER (event_type = 'view') AS "notFound", count(*) FILTER (event_type = 'error') AS "replaceConflict",
+  count(*) FILTER (event_type = 'signup') AS retried, CAST(0 AS BIGINT) AS long FROM events GROUP BY 1""")
+def outcome_counters(t: Tables) -> DataFrame:
+    """Records, not rows: calls that affect no entity, one or several, that pass at the second attempt, and absences that are benign."""
+    from kinfold.sources.records import as_records
+
+    policy = er.RetryPolicy(budget_ms=60_000, base_ms=0, cap_ms=0)
+    routed = er.route_errors(as_records(fx.log(t)), _uneven_verb, "ADD", "run", policy, not_found_is_benign=True, ledger=True)
+    return out.outcome_counters(routed, ["dataSource"])
+
+
 # --- dead letter -----------------------------------------------------------------------------
 
 

@@ -10,7 +10,7 @@ from kinfold.queries.registry import Tables, query
 from kinfold.session import read_if_exists, scratch
 from kinfold.sources import changefeed, inbox, log as logs, messages, records as rec
 from kinfold.schemas import INPUT, OUTCOME, struct
-from kinfold.streaming.feeder import drain, run_sharded, start_feeder
+from kinfold.streaming.feeder import affected_feed, drain, run_sharded, start_feeder, write_batch
 
 _RAW_OUT = f"WITH {fx.RAW_SQL} SELECT ds AS \"dataSource\", rid AS \"recordId\", md5(text) AS text_md5 FROM raw"
 
@@ -262,13 +262,6 @@ def affected_feed_dedup(t: Tables) -> DataFrame:
     return out.affected_feed_dedup(rows)
 
 
-@query("outcome_counters", f"""{_OUTCOMES}
-SELECT (SELECT count(*) FROM good) + (SELECT count(*) FROM benchmark) AS succeeded, (SELECT count(*) FROM errs) AS errored,
-  CAST(0 AS BIGINT) AS "notFound", CAST(0 AS BIGINT) AS "replaceConflict", CAST(0 AS BIGINT) AS retried""")
-def outcome_counters(t: Tables) -> DataFrame:
-    return out.outcome_counters(_outcomes(t))
-
-
 @query("output_stats", f"""{_OUTCOMES}
 SELECT (SELECT count(*) FROM good) + (SELECT count(*) FROM benchmark) + (SELECT count(*) FROM errs) AS rows,
   (SELECT count(DISTINCT doc_id) FROM good) AS entities""")
@@ -281,10 +274,27 @@ SELECT event_id, CAST(value * 10000 AS BIGINT) AS elapsed FROM events
 WHERE event_type <> 'error' AND CAST(value * 10000 AS BIGINT) > 300000""")
 def slow_records(t: Tables) -> DataFrame:
     calls = t.events.select(
-        "event_id", F.when(F.col("event_type") == "error", "ERROR").otherwise("AFFECTED").alias("kind"),
-        F.round(F.col("value") * 10000).cast("bigint").alias("elapsed"),
+        "event_id", F.when(F.col("event_type") == "error", "BAD_INPUT").alias("category"),
+        F.round(F.col("value") * 10000).cast("bigint").alias("elapsedMs"),
+    )
+    return out.slow_records(calls).select("event_id", F.col("elapsedMs").alias("elapsed"))
+
+
+@query("affected_feed_stream", """
+SELECT DISTINCT event_type AS "dataSource", CAST(event_id // 2 AS VARCHAR) AS "recordId", user_id AS "entityId" FROM events""")
+def affected_feed_stream(t: Tables) -> DataFrame:
+    """A feeder's output in two batches, the second of which is repeated after the stream ended; the stream goes on from its checkpoint."""
+    path = scratch(t.spark, "affected")
+    rows = t.events.select(
+        F.lit("AFFECTED").alias("kind"), F.col("event_type").alias("dataSource"), F.floor(F.col("event_id") / 2).cast("string").alias("recordId"),
+        F.col("user_id").alias("entityId"), (F.col("event_id") % 2).alias("batch"),
     )
-    return out.slow_records(calls, "elapsed").select("event_id", "elapsed")
+    for batch in (0, 1, 1):
+        write_batch(rows.filter(F.col("batch") == batch).drop("batch"), f"{path}/output", batch)
+        feed = affected_feed(t.spark, f"{path}/output").select("dataSource", "recordId", "entityId")
+        writer = feed.writeStream.format("parquet").option("path", f"{path}/once").option("checkpointLocation", f"{path}/checkpoint")
+        drain([writer.trigger(availableNow=True).start()])
+    return t.spark.read.parquet(f"{path}/once")
 
 
 # --- streams ---------------------------------------------------------------------------------

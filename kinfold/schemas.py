@@ -31,6 +31,11 @@ ERROR_COLUMNS = [
     "dataSource", "recordId", "payload", "category", "errorCode", "message", "attempts",
 ]
 
+# One row for each record that was called, beside its outcome rows.
+CALL = "CALL"
+CALL_COLUMNS = ["dataSource", "recordId", "op", "runId", "category", "attempts", "conflicts", "affected", "elapsedMs"]
+LEDGER_ONLY = ["conflicts", "affected"]  # columns that outcome rows do not have
+
 FETCH = struct(
     "entityId bigint, kind string, json string, category string, errorCode string, message string"
 )

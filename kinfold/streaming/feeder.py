@@ -9,10 +9,11 @@ from __future__ import annotations
 import warnings
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from kinfold.operators.outcomes import error_rows, stamp_failure
+from kinfold.operators.outcomes import affected_feed_dedup, affected_rows, error_rows, good_rows, split_calls, stamp_failure
+from kinfold.schemas import CALL_COLUMNS, OUTCOME
 from kinfold.session import stored
 from kinfold.sources.inbox import stream_inbox
 
@@ -32,6 +33,7 @@ def start_feeder(
     checkpoint: str,
     output: str = "",
     dead_letter: str = "",
+    calls: str = "",
     source: str = "stream",
     max_files: int = 100,
     archive: str | None = None,
@@ -42,13 +44,16 @@ def start_feeder(
     """Feed the inbox through ``process`` (input rows and batch id to outcome rows).
 
     ``once`` drains what is there and ends; otherwise the query keeps running. The outcome frame is
-    computed and stored once per batch and feeds both sinks. The batch is committed after both are written.
+    computed and stored once per batch and feeds all sinks. The batch is committed after they are written. ``calls`` gets the ledger, if the outcome
+    rows come with one.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         with stored(process(batch, batch_id), "outcomes") as outcomes:
-            write_batch(outcomes.filter(F.col("kind") != "ERROR"), output, batch_id)
+            write_batch(good_rows(outcomes), output, batch_id)
             write_batch(stamp_failure(error_rows(outcomes), source), dead_letter, batch_id)
+            if set(CALL_COLUMNS) <= set(outcomes.columns):
+                write_batch(split_calls(outcomes)[1], calls, batch_id)
 
     if pool:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
@@ -62,6 +67,17 @@ def start_feeder(
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
 
+def affected_feed(spark: SparkSession, output: str, within: str = "1 day", max_files: int = 100) -> DataFrame:
+    """The affected rows below a feeder's ``output`` as a stream, each key once.
+
+    A batch that is repeated replaces its folder by new files, whose rows then come a second time; the dedup drops them. Times are those of the files.
+    """
+    shape = T.StructType([*OUTCOME.fields, T.StructField("batch_id", T.LongType())])
+    rows = spark.readStream.schema(shape).option("maxFilesPerTrigger", max_files).parquet(output)
+    timed = rows.filter("kind = 'AFFECTED'").select("*", F.col("_metadata.file_modification_time").alias("at"))
+    return affected_rows(affected_feed_dedup(timed, "at", within))
+
+
 def run_sharded(
     spark: SparkSession, inbox: str, shards: int, process: Process, checkpoint: str, output: str,
     dead_letter: str, label: str, **options,

@@ -3,9 +3,10 @@ import random
 import time
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from kinfold.operators import deadletter as dl, errors as er, outcomes as out
+from kinfold.streaming.feeder import drain
 
 INPUT = "dataSource string, recordId string, payload string"
 
@@ -156,11 +157,92 @@ def test_disposition_and_systemic_column(spark):
         spark.createDataFrame([("X",)], "c string").select(er.fail_on_systemic(er.classify(F.col("c")))).collect()
 
 
-def test_observed_counters(spark):
-    rows = again(letters(spark, "CONFIG_RELEVANT", "CONFIG_RELEVANT").select("dataSource", "recordId", "payload"), ["r0"])
-    watched, seen = out.observe_counters(rows)
-    watched.collect()
-    assert (seen.get["succeeded"], seen.get["errored"], seen.get["replaceConflict"]) == (1, 1, 1)
+def uneven_verb():
+    def uneven(source, record, payload, attempt):
+        """Records 0-3 affect as many entities; 4 conflicts, 5 is absent, 6 passes at the third attempt, 7 is bad; 8 takes its time."""
+        number = int(record)
+        if number in (4, 5, 7):
+            raise er.VerbError({4: "REPLACE_CONFLICT", 5: "NOT_FOUND", 7: "BAD_INPUT"}[number], "no")
+        if number == 6 and attempt < 2:
+            raise er.VerbError("RETRYABLE", "busy")
+        if number == 8:
+            time.sleep(0.2)
+        return '{"AFFECTED_ENTITIES":[%s]}' % ",".join('{"ENTITY_ID":%d}' % i for i in range(number if number < 4 else 1))
+
+    return uneven
+
+
+CALM = er.RetryPolicy(budget_ms=60_000, base_ms=1, cap_ms=1)
+
+
+@pytest.mark.parametrize("benign", [True, False])
+def test_counters_count_records(spark, benign):
+    routed = route(spark, uneven_verb(), policy=CALM, ledger=True, not_found_is_benign=benign)
+    seen = Observation("calls")
+    rows = out.observe_counters(routed, seen, slow_ms=150).collect()
+    want = {"succeeded": 27, "errored": 2 if benign else 3, "notFound": int(benign), "replaceConflict": 1, "retried": 2, "long": 1}
+    assert seen.get == want
+    assert out.outcome_counters(routed, slow_ms=150).collect()[0].asDict() == want
+    assert sum(r.kind == "CALL" for r in rows) == 30 and sum(r.kind == "AFFECTED" for r in rows) == 6 + 23
+    plain = route(spark, uneven_verb(), policy=CALM, not_found_is_benign=benign)
+    outcomes, calls = out.split_calls(routed)
+    assert outcomes.columns == plain.columns and outcomes.drop("elapsedMs").exceptAll(plain.drop("elapsedMs")).count() == 0
+    assert [r.recordId for r in out.slow_records(calls, 150).collect()] == ["8"]
+    assert {r.recordId: r.affected for r in calls.collect() if int(r.recordId) < 6} == {"0": 0, "1": 1, "2": 2, "3": 3, "4": 0, "5": 0}
+
+
+def test_a_conflict_counts_even_if_the_refresh_cures_it(spark):
+    tried = []
+
+    def verb(source, record, payload, attempt):
+        tried.append(record)
+        if tried.count(record) == 1:
+            raise er.VerbError("REPLACE_CONFLICT", "old")
+        return "{}"
+
+    counted = out.outcome_counters(route(spark, verb, policy=CALM, ledger=True, refresh=lambda: True)).collect()[0]
+    assert (counted.succeeded, counted.errored, counted.replaceConflict) == (30, 0, 30)
+
+
+def test_counters_of_no_calls(spark):
+    none = route(spark, uneven_verb(), policy=CALM, ledger=True).limit(0)
+    assert set(out.outcome_counters(none).collect()[0]) == {0}
+
+
+def test_a_stream_observes_its_counters_and_writes_its_ledger(spark, folder):
+    shape = "dataSource string, recordId string, payload string"
+    spark.createDataFrame([("S", str(i), "{}") for i in range(30)], shape).write.parquet(f"{folder}/in")
+    routed = er.route_errors(spark.readStream.schema(shape).parquet(f"{folder}/in"), uneven_verb(), "ADD", "run", CALM, ledger=True)
+    writer = out.observe_counters(routed, "calls").writeStream.format("parquet").option("path", f"{folder}/out")
+    stream = writer.option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start()
+    drain([stream])
+    seen = [p.observedMetrics["calls"] for p in stream.recentProgress if "calls" in p.observedMetrics]
+    assert (sum(m.succeeded for m in seen), sum(m.errored for m in seen), sum(m.retried for m in seen)) == (27, 3, 2)
+    out.write_split(spark.read.parquet(f"{folder}/out"), f"{folder}/good", f"{folder}/bad")
+    assert {r.kind for r in spark.read.parquet(f"{folder}/good").select("kind").distinct().collect()} == {"AFFECTED"}
+    assert spark.read.parquet(f"{folder}/bad").count() == 3
+
+
+def test_stream_dedup_forgets_keys_behind_the_watermark(spark, folder):
+    """Within the span repeats go, over a restart too; rows behind the watermark are late; a key comes again when its span is over."""
+    shape = "dataSource string, recordId string, entityId long, at timestamp"
+    rounds = [
+        [("S", "a", 1, 0), ("S", "a", 1, 1), ("S", "b", 1, 2), ("S", None, 1, 2), ("S", None, 1, 3)],
+        [("S", "a", 1, 8), ("S", "c", 1, 100)],
+        [("S", "late", 1, 5), ("S", "c", 1, 101)],
+        [("S", "a", 1, 102)],
+    ]
+    got = []
+    for number, rows in enumerate(rounds):
+        timed = spark.createDataFrame(rows, "dataSource string, recordId string, entityId long, s long")
+        timed.withColumn("at", F.timestamp_seconds("s")).drop("s").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        once = out.affected_feed_dedup(spark.readStream.schema(shape).parquet(f"{folder}/in"), "at", "10 seconds")
+        writer = once.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/cp")
+        drain([writer.trigger(availableNow=True).start()])
+        got.append(spark.read.parquet(f"{folder}/out").count())
+    assert got == [3, 4, 4, 5]
+    with pytest.raises(ValueError, match="time column"):
+        out.affected_feed_dedup(spark.readStream.schema(shape).parquet(f"{folder}/in"))
 
 
 def test_a_batch_may_take_longer_than_one_record_s_budget(spark):
