@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinfold.operators.errors import REPROCESSABLE
@@ -16,7 +17,6 @@ DEAD_LETTER = struct(
     "dataSource string, recordId string, payload string, category string, errorCode string, "
     "message string, attempts int, failedAt timestamp, source string"
 )
-_LEDGER = struct("file string, sweep bigint")
 _FINISHED = struct("file string, run bigint")
 _STATE = struct("run bigint, generation int, due bigint, failing bigint")
 
@@ -34,26 +34,31 @@ def write_dead_letter(errors: DataFrame, path: str, mode: str = "append") -> Non
     shaped.write.mode(mode).parquet(path)
 
 
-def sweep(spark: SparkSession, dead_letter: str, re_feed: str, ledger: str) -> int:
+def sweep(spark: SparkSession, dead_letter: str, re_feed: str, ledger: str, max_age: str = "7d") -> int:
     """Re-emit the reprocessable rows of every dead-letter file not swept before; returns their number.
 
-    The file list is the one the read resolved, so files that arrive during the sweep wait for the
-    next one. Swept files are recorded in a ledger after the rows are out. Each sweep writes its own
-    `sweep=N` folder as a whole, so one that is repeated after a crash replaces its output.
+    A file stream that ends when it has read what was there at its start. Its checkpoint ``ledger`` has Spark's own log of the files read, so swept files are
+    not opened again, and files that arrive during the sweep wait for the next one. Each sweep writes its own `sweep=N` folder as a whole; one that broke off
+    is repeated with the same files and replaces its output. Folders below ``dead_letter`` are read too. A file that appears with a time more than ``max_age`` before that of
+    the newest file swept is taken for an old one and left: writers give new files the present time.
     """
-    letters = read_if_exists(spark, dead_letter, DEAD_LETTER)
-    if not letters.inputFiles():
+    emitted = []
+
+    def on_batch(rows: DataFrame, number: int) -> None:
+        target = f"{re_feed}/sweep={number}"
+        reprocessable(rows).write.mode("overwrite").parquet(target)
+        emitted.append(spark.read.schema(INPUT).parquet(target).count())
+
+    source = spark.readStream.schema(DEAD_LETTER).option("recursiveFileLookup", "true").option("maxFileAge", max_age)
+    try:
+        letters = source.parquet(dead_letter)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return 0
-    swept = read_if_exists(spark, ledger, _LEDGER)
-    number = swept.agg(F.coalesce(F.max("sweep"), F.lit(-1))).first()[0] + 1
-    named = letters.withColumn("file", F.col("_metadata.file_path"))
-    fresh = named.join(swept.select("file").distinct(), "file", "left_anti")
-    target = f"{re_feed}/sweep={number}"
-    reprocessable(fresh).write.mode("overwrite").parquet(target)
-    emitted = spark.read.schema(INPUT).parquet(target).count()
-    files = fresh.select("file").distinct().withColumn("sweep", F.lit(number).cast("bigint"))
-    files.write.mode("append").parquet(ledger)
-    return emitted
+    writer = letters.writeStream.foreachBatch(on_batch).option("checkpointLocation", ledger)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return sum(emitted)
 
 
 @dataclass(frozen=True)

@@ -41,6 +41,25 @@ def test_sweep_is_repeatable(spark, folder):
     assert spark.read.parquet(paths[1]).count() == 3
 
 
+def test_sweep_reads_new_files_only(spark, folder):
+    """Swept files may go; folders of a feeder's batches and shards are read; a sweep that broke off is repeated as a whole."""
+    paths = [f"{folder}/{p}" for p in ("dead", "feed", "ledger")]
+    dl.write_dead_letter(letters(spark, "RETRY_EXHAUSTED", "CONFIG_RELEVANT"), f"{paths[0]}/shard=0/batch_id=0")
+    assert dl.sweep(spark, *paths) == 2
+    for name in os.listdir(f"{paths[0]}/shard=0/batch_id=0"):
+        os.remove(f"{paths[0]}/shard=0/batch_id=0/{name}")
+    dl.write_dead_letter(letters(spark, "REPLACE_CONFLICT", "BAD_INPUT", "RETRY_EXHAUSTED"), f"{paths[0]}/shard=1/batch_id=0")
+    with open(f"{folder}/in-the-way", "w"):
+        pass
+    with pytest.raises(Exception):
+        dl.sweep(spark, paths[0], f"{folder}/in-the-way", paths[2])
+    dl.write_dead_letter(letters(spark, "REPLACE_CONFLICT"), f"{paths[0]}/shard=1/batch_id=1")
+    assert dl.sweep(spark, *paths) == 3
+    assert dl.sweep(spark, *paths) == 0
+    found = spark.read.parquet(paths[1]).groupBy("sweep").count().collect()
+    assert sorted(map(tuple, found)) == [(0, 2), (1, 2), (2, 1)]
+
+
 @pytest.mark.parametrize(
     "keep, rounds, want",
     [
