@@ -1,7 +1,7 @@
 """Relations between entities: shared values, pair scores, ambiguity.
 
 One rule for values of any size: each holder of a value is tied to the value's smallest holder. That is linear in the holders and leaves none
-out. Several agreements (lines in a row, two attributes) are values of their own (``features.relating_values``), so a score does not
+out. Pairs that meet only beside a smaller holder are in the classes (``relation_classes``, ``class_members``). Several agreements (lines in a row, two attributes) are values of their own (``features.relating_values``), so a score does not
 depend on which entity happens to be the smallest holder of each single value. Blocks can be deferred (see
 ``plans/resolver.py``) and give the same evidence later.
 """
@@ -71,14 +71,19 @@ def score_pairs(evidence: DataFrame) -> DataFrame:
 
     Counting combines map-side, so a pair sharing many values costs one row per task.
     """
-    counted = evidence.groupBy("lo", "hi").agg(
-        *[F.count_if(F.col("ftype") == t).alias(f"_{t}") for t in TYPES]
-    )
+    return _scored(evidence.groupBy("lo", "hi").agg(*_by_type()), "lo", "hi")
+
+
+def _by_type() -> list[Column]:
+    return [F.count_if(F.col("ftype") == t).alias(f"_{t}") for t in TYPES]
+
+
+def _scored(counted: DataFrame, *keys: str) -> DataFrame:
     counts = {t: F.col(f"_{t}") for t in TYPES}
     parts = [F.when(counts[t] > 0, F.lit(f"+{t}")) for t in sorted(TYPES)]
     level, code = level_of(counts)
     return counted.select(
-        "lo", "hi",
+        *keys,
         sum((counts[t] for t in TYPES[1:]), counts[TYPES[0]]).alias("shared"),
         F.concat_ws("", *parts).alias("match_key"),
         level.alias("match_level_code"),
@@ -86,6 +91,25 @@ def score_pairs(evidence: DataFrame) -> DataFrame:
     )
 
 
+def relation_classes(index: DataFrame) -> DataFrame:
+    """(ftype, value, anchor, n, shared, match_key, match_level_code, errule_code): one row per distinct set of two or more entities that hold some value together.
+
+    The class is named by the smallest of its values; ``shared`` counts them. Sets are told apart by their size, smallest member and two 64-bit digests, which combine before the
+    shuffle; so no set is gathered in one place, and a pair of entities that shares a value without its smallest holder is in a class all the same.
+    """
+    digests = [F.bit_xor(F.xxhash64("entity_id", F.lit(salt))).alias(f"_set{salt}") for salt in (1, 2)]
+    sets = index.groupBy("ftype", "value", "anchor", "n").agg(*digests)
+    counted = sets.groupBy("anchor", "n", "_set1", "_set2").agg(F.min(F.struct("value", "ftype")).alias("_class"), *_by_type())
+    named = counted.withColumns({"ftype": F.col("_class.ftype"), "value": F.col("_class.value")})
+    return _scored(named, "ftype", "value", "anchor", "n")
+
+
+def class_members(index: DataFrame, classes: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
+    """The rows of ``classes``, a stored frame, once for each entity_id of the class: linear in the holders, whatever their number."""
+    hot = hot_keys(classes, ["ftype", "value"], floor=floor)
+    return salted_join(index.select("ftype", "value", "entity_id"), classes, ["ftype", "value"], hot)
+
+
 def relations(scored: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
     """Scored pairs as relationship rows. Ambiguous: possibly the same as more than one entity."""
     scored = materialize(scored, "scored")

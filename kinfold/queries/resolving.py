@@ -125,6 +125,23 @@ def resolve_relationships(t: Tables) -> DataFrame:
     )
 
 
+@query("resolve_relation_classes", f"""{_R}, {_SHARED},
+held AS (SELECT ftype, value, list(entity_id ORDER BY entity_id) AS holders FROM sized WHERE n > 1 GROUP BY ftype, value),
+classes AS (
+  SELECT holders, min(value) AS class, count(*) AS shared, bool_or(ftype = 'PASSAGE') AS same,
+    CASE WHEN bool_or(ftype = 'LINE') THEN '+LINE' ELSE '' END || CASE WHEN bool_or(ftype = 'PASSAGE') THEN '+PASSAGE' ELSE '' END AS match_key
+  FROM held GROUP BY holders)
+SELECT class, unnest(holders) AS entity_id, holders[1] AS anchor, len(holders) AS holders, shared, match_key,
+  CASE WHEN same THEN 'POSSIBLY_SAME' ELSE 'POSSIBLY_RELATED' END AS match_level_code FROM classes""")
+def resolve_relation_classes(t: Tables) -> DataFrame:
+    """Who holds values together: every entity of every class, so every related pair is in one of them."""
+    _, index = _index(t)
+    classes = materialize(relating.relation_classes(index), "classes")
+    return relating.class_members(index, classes).select(
+        F.lower(F.hex("value")).alias("class"), "entity_id", "anchor", F.col("n").alias("holders"), "shared", "match_key", "match_level_code"
+    )
+
+
 # --- documents and reports -------------------------------------------------------------------
 
 

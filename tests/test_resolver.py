@@ -217,3 +217,20 @@ def test_store_jobs(spark, folder):
 def test_numbers_are_dense(spark):
     rows = number_rows(spark.range(0, 50, 1, 4).select("id"), 100)
     assert sorted(r.record_seq for r in rows.collect()) == list(range(100, 150))
+
+
+@pytest.mark.parametrize("floor", [2, 100_000])
+def test_classes_hold_every_related_pair(spark, floor):
+    """2 and 3 share values beside 1, which makes them no pair of their own; the class has them. A hot class is salted."""
+    held = {b"a": (1, 2, 3), b"b": (1, 2, 3), b"c": (1, 2), b"d": (2, 3), b"e": tuple(range(1, 400)), b"f": (7,)}
+    rows = [(e, "PASSAGE" if v == b"d" else "LINE", bytearray(v)) for v, holders in held.items() for e in holders]
+    index = relating.block_index(spark.createDataFrame(rows, "entity_id bigint, ftype string, value binary"), floor)
+    classes = relating.relation_classes(index)
+    found = {bytes(r.value): (r.anchor, r.n, r.shared, r.match_level_code) for r in classes.collect()}
+    related, same = "POSSIBLY_RELATED", "POSSIBLY_SAME"
+    assert found == {b"a": (1, 3, 2, related), b"c": (1, 2, 1, related), b"d": (2, 2, 1, same), b"e": (1, 399, 1, related)}
+    members = {}
+    for r in relating.class_members(index, classes, floor).collect():
+        members.setdefault(bytes(r.value), []).append(r.entity_id)
+    assert {v: tuple(sorted(m)) for v, m in members.items()} == {v: held[v] for v in found}
+    assert relating.class_members(index.limit(0), relating.relation_classes(index.limit(0))).count() == 0
