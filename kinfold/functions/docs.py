@@ -18,7 +18,7 @@ DOCUMENT = (
     "RECORDS: array<struct<DATA_SOURCE: string, RECORD_ID: string, MATCH_KEY: string, "
     "MATCH_LEVEL_CODE: string, ERRULE_CODE: string, FIRST_SEEN_DT: string, LAST_SEEN_DT: string>>>, "
     "RELATED_ENTITIES: array<struct<ENTITY_ID: variant, MATCH_LEVEL_CODE: string, MATCH_KEY: string, "
-    "ERRULE_CODE: string, IS_AMBIGUOUS: variant, IS_DISCLOSED: variant>>>"
+    "ERRULE_CODE: string, IS_AMBIGUOUS: variant, IS_DISCLOSED: variant>>, RELATION_COUNT: bigint>"
 )
 
 # Flag spellings (fixed values), compared in upper case.
@@ -253,6 +253,7 @@ def content_hash(
 def parse_documents(docs: DataFrame, json: str = "json", page: str | None = None) -> DataFrame:
     """Parse each document once into its row form: scalars plus the three nested row arrays.
 
+    Page 0 counts for the whole entity, the pages after it count 0, so that sums over pages are right too.
     Malformed JSON and a document without an integer `ENTITY_ID` fail the query: an entity read that
     cannot be understood is a defect, not a row to skip.
     """
@@ -273,13 +274,16 @@ def parse_documents(docs: DataFrame, json: str = "json", page: str | None = None
         feature_rows(entity).alias("features"),
         record_rows(entity, F.col("entity_id")).alias("records"),
         relation_rows(F.col("_d.RELATED_ENTITIES"), F.col("entity_id")).alias("relations"),
-        record_summary(entity).alias("record_summary"),
+        record_summary(entity).alias("record_summary"), F.col("_d.RELATION_COUNT").alias("_relation_count"),
     )
     total = F.aggregate(F.map_values("record_summary"), F.lit(0), lambda a, b: a + b)
+    listed = F.when(F.size("record_summary") > 0, total).otherwise(F.size("records"))
+    related = F.coalesce(F.col("_relation_count"), F.size("relations"))
+    header = F.col("page") == 0
     return rows.select(
-        "*",
-        F.when(F.size("record_summary") > 0, total).otherwise(F.size("records")).cast("int").alias("record_count"),
-        F.size("relations").cast("int").alias("relation_count"),
+        *[c for c in rows.columns if c != "_relation_count"],
+        F.when(header, listed).otherwise(0).cast("int").alias("record_count"),
+        F.when(header, related).otherwise(0).cast("int").alias("relation_count"),
         content_hash(
             F.col("entity_id"), F.col("entity_name"), F.col("features"), F.col("records"),
             F.col("relations"), F.col("record_summary"),

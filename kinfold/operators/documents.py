@@ -2,7 +2,9 @@
 
 A document is cut into pages of about ``page_size`` items, so an entity that holds a large share of
 all records never becomes one row. Nearly every entity has the single page 0, which is the whole
-document; the pages of a larger one each carry the entity id and name and their part of the lists.
+document. Of a larger one, page 0 is also the header: its `RECORD_SUMMARY` and `RELATION_COUNT` are those of the whole entity, counted in two
+levels (partial counts in the tasks, then one row per entity and source). The pages after it carry the entity id and name and their part of the lists, and
+no counts.
 """
 
 from __future__ import annotations
@@ -77,19 +79,24 @@ def _feature_items(features: DataFrame) -> DataFrame:
 
 
 def _paged(items: DataFrame, page_size: int, floor: int) -> tuple[DataFrame, DataFrame | None]:
-    """Add `page`: a hash of the item over the number of pages the entity needs. Also returns the
-    entities of several pages, None if there are none."""
-    large = materialize(
-        items.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > page_size), "large-entities"
-    )
+    """Add `page`: a hash of the item over the number of pages the entity needs. Also returns a header row for
+    each entity of several pages (`_relations`, `_summary`: counts over all pages), None if there are none."""
+    sized = items.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n"), F.count("rel").alias("_relations"))
+    large = materialize(sized.filter(F.col("n") > page_size), "large-entities")
     if large.isEmpty():
         return items.withColumn("page", F.lit(0)), None
     pages = large.select("entity_id", F.ceil(F.col("n") / page_size).cast("int").alias("_pages"))
     joined = salted_join(items, pages, ["entity_id"], hot_keys(large, ["entity_id"], floor=floor), "left")
+    # One row for each source of an entity, as many as there are registered sources.
+    by_source = joined.filter(F.col("_pages").isNotNull() & F.col("rec.DATA_SOURCE").isNotNull()).groupBy(
+        "entity_id", F.col("rec.DATA_SOURCE").alias("DATA_SOURCE")
+    ).agg(F.count(F.lit(1)).cast("int").alias("RECORD_COUNT"))
+    summary = by_source.groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct("DATA_SOURCE", "RECORD_COUNT"))).alias("_summary"))
+    header = large.join(summary, "entity_id", "left").select("entity_id", "_relations", "_summary")
     page = F.pmod(F.xxhash64("rec", "rel", "feat"), F.coalesce("_pages", F.lit(1)))
     # The row of the entity itself goes to page 0, which therefore always exists.
     bare = F.col("rec").isNull() & F.col("rel").isNull() & F.col("feat").isNull()
-    return joined.withColumn("page", F.when(bare, 0).otherwise(page).cast("int")).drop("_pages"), large
+    return joined.withColumn("page", F.when(bare, 0).otherwise(page).cast("int")).drop("_pages"), header
 
 
 def assemble_documents(
@@ -99,16 +106,18 @@ def assemble_documents(
     features: DataFrame | None = None,
     page_size: int = PAGE_SIZE,
     floor: int = HOT_FLOOR,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """(entity_id, page, json). ``names`` holds one (entity_id, entity_name) row per entity. The inputs are
-    read twice (page count, then lists), so they should be stored frames."""
+    read twice (page count, then lists), so they should be stored frames. ``only`` (entity_id) leaves out the other ends of ``relations``."""
     items = _item(names, F.col("entity_id"), "name", F.col("entity_name")).unionByName(_record_items(members))
     if relations is not None:
-        items = items.unionByName(_relation_items(relations))
+        ends = _relation_items(relations)
+        items = items.unionByName(ends if only is None else ends.join(only, "entity_id", "left_semi"))
     if features is not None:
         items = items.unionByName(_feature_items(features))
     # One shuffle gathers all three lists; a list holds about one page of items.
-    paged, large = _paged(items, page_size, floor)
+    paged, header = _paged(items, page_size, floor)
     gathered = paged.groupBy("entity_id", "page").agg(
         F.max("name").alias("entity_name"),
         F.array_sort(F.collect_list("rec")).alias("recs"),
@@ -120,22 +129,27 @@ def assemble_documents(
         s.alias("DATA_SOURCE"),
         F.size(F.filter("recs", lambda r: r["DATA_SOURCE"] == s)).alias("RECORD_COUNT"),
     ))
+    relation_count = F.lit(None).cast("bigint")  # a null field is left out of the JSON
     ftypes = F.array_distinct(F.transform("feats", lambda f: f["FTYPE"]))
     by_type = F.map_from_entries(F.transform(ftypes, lambda t: F.struct(
         t.alias("key"),
         F.transform(F.filter("feats", lambda f: f["FTYPE"] == t), lambda f: f.dropFields("FTYPE")).alias("value"),
     )))
     named = gathered
-    if large is not None:
+    if header is not None:
         # Later pages repeat the name; only entities of several pages take part in this join.
-        of_large = names.join(large, "entity_id", "left_semi").select("entity_id", F.col("entity_name").alias("_name"))
+        of_large = names.withColumnRenamed("entity_name", "_name").join(header, "entity_id").withColumn("_large", F.lit(True))
         named = gathered.join(of_large, "entity_id", "left").withColumn("entity_name", F.coalesce("entity_name", "_name"))
+        first = F.col("page") == 0
+        whole = F.coalesce(F.when(first, F.col("_summary")), F.array().cast("array<struct<DATA_SOURCE: string, RECORD_COUNT: int>>"))
+        summary = F.when(F.col("_large"), whole).otherwise(summary)
+        relation_count = F.when(F.col("_large") & first, F.col("_relations"))
     document = F.struct(
         F.struct(
             F.col("entity_id").alias("ENTITY_ID"), F.col("entity_name").alias("ENTITY_NAME"),
             by_type.alias("FEATURES"), summary.alias("RECORD_SUMMARY"), F.col("recs").alias("RECORDS"),
         ).alias("RESOLVED_ENTITY"),
-        F.col("rels").alias("RELATED_ENTITIES"),
+        F.col("rels").alias("RELATED_ENTITIES"), relation_count.alias("RELATION_COUNT"),
     )
     return named.select("entity_id", "page", F.to_json(document).alias("json"))
 

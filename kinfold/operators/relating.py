@@ -71,14 +71,15 @@ def score_pairs(evidence: DataFrame) -> DataFrame:
 
     Counting combines map-side, so a pair sharing many values costs one row per task.
     """
-    return _scored(evidence.groupBy("lo", "hi").agg(*_by_type()), "lo", "hi")
+    return scored_counts(evidence.groupBy("lo", "hi").agg(*_by_type()), "lo", "hi")
 
 
 def _by_type() -> list[Column]:
     return [F.count_if(F.col("ftype") == t).alias(f"_{t}") for t in TYPES]
 
 
-def _scored(counted: DataFrame, *keys: str) -> DataFrame:
+def scored_counts(counted: DataFrame, *keys: str) -> DataFrame:
+    """Scores from the number of shared values per feature type, in columns `_LINE`, `_NAME` and so on."""
     counts = {t: F.col(f"_{t}") for t in TYPES}
     parts = [F.when(counts[t] > 0, F.lit(f"+{t}")) for t in sorted(TYPES)]
     level, code = level_of(counts)
@@ -101,7 +102,7 @@ def relation_classes(index: DataFrame) -> DataFrame:
     sets = index.groupBy("ftype", "value", "anchor", "n").agg(*digests)
     counted = sets.groupBy("anchor", "n", "_set1", "_set2").agg(F.min(F.struct("value", "ftype")).alias("_class"), *_by_type())
     named = counted.withColumns({"ftype": F.col("_class.ftype"), "value": F.col("_class.value")})
-    return _scored(named, "ftype", "value", "anchor", "n")
+    return scored_counts(named, "ftype", "value", "anchor", "n")
 
 
 def class_members(index: DataFrame, classes: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
@@ -110,12 +111,17 @@ def class_members(index: DataFrame, classes: DataFrame, floor: int = HOT_FLOOR)
     return salted_join(index.select("ftype", "value", "entity_id"), classes, ["ftype", "value"], hot)
 
 
-def relations(scored: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
-    """Scored pairs as relationship rows. Ambiguous: possibly the same as more than one entity."""
+def relations(scored: DataFrame, floor: int = HOT_FLOOR, degree: DataFrame | None = None) -> DataFrame:
+    """Scored pairs as relationship rows. Ambiguous: possibly the same as more than one entity.
+
+    ``degree`` (id, n) says how many pairs of that level an entity has, where ``scored`` holds only some pairs of its ends.
+    """
     scored = materialize(scored, "scored")
     same = scored.filter(F.col("match_level_code") == "POSSIBLY_SAME")
-    ends = same.select(F.col("lo").alias("id")).unionByName(same.select(F.col("hi").alias("id")))
-    degree = materialize(ends.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1), "degree")
+    if degree is None:
+        ends = same.select(F.col("lo").alias("id")).unionByName(same.select(F.col("hi").alias("id")))
+        degree = ends.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    degree = materialize(degree.filter(F.col("n") > 1), "degree")
     hot = hot_keys(degree, ["id"], floor=floor)
 
     def flag(frame: DataFrame, end: str) -> DataFrame:

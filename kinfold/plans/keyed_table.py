@@ -109,19 +109,20 @@ class KeyedTable:
         return sorted(row[0] for row in only.select(self.bucket(columns)).distinct().collect())
 
     def read(
-        self, as_of: int, columns: list[str] | None = None, base: int | None = None, only: DataFrame | None = None
+        self, as_of: int, columns: list[str] | None = None, base: int | None = None, only: DataFrame | None = None, since: int = 0
     ) -> DataFrame:
         """The table as of a pass: the newest version per key, removed keys left out.
 
         ``only`` restricts the result to rows that match it on its columns. It is applied to the stored
         versions, before they are grouped, so a small batch does not shuffle the table; its buckets alone are read when its columns
-        hold those that place a row, or are a lookup. It is read more than once and should be a stored frame.
+        hold those that place a row, or are a lookup. It is read more than once and should be a stored frame. ``since`` leaves the passes before it
+        closed: keys that only these wrote do not show.
         """
         wanted = [c for c in self._values if columns is None or c in columns]
         base = self.base if base is None else base
         names = [*self.keys, *wanted, "removed", "refresh_seq"]
         if only is None:
-            return self._newest(self.versions(as_of, base).select(*names), wanted)
+            return self._newest(self.versions(as_of, base, since).select(*names), wanted)
         match = only.columns
         if set(self._placing) <= set(match):
             rows = self.versions(as_of, base, buckets=self.touched(only, self._placing)).select(*dict.fromkeys([*names, *match]))

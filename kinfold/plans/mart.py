@@ -33,11 +33,12 @@ class EntityMart(VersionedTables):
     def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
         super().__init__(spark, path, MART, accumulate=("relationship",), layout=LAYOUT, buckets=buckets)
 
-    def sync(self, fetched: DataFrame, live: DataFrame | None = None) -> int:
+    def sync(self, fetched: DataFrame, live: DataFrame | None = None, whole_relations: bool = False) -> int:
         """Apply one batch of fetched entities; returns the sequence number of the pass.
 
         ``live`` lists the (data_source, record_id) keys that exist anywhere: without it a record that
-        left a refreshed entity counts as gone, and its new entity's own refresh brings it back.
+        left a refreshed entity counts as gone, and its new entity's own refresh brings it back. ``whole_relations``: a document
+        lists all relations of its entity, so a stored one that a refreshed entity no longer has is ended.
 
         All reads are restricted to the buckets of the batch's entities and of the records and relations they hold.
         """
@@ -74,6 +75,12 @@ class EntityMart(VersionedTables):
             pairs = pairs.join(at_end, end, "left_anti")
             hit = tables["relationship"].read(before, [], only=at_end).select(*RELATION_KEY)
             ended = hit if ended is None else ended.unionByName(hit)
+        if whole_relations:
+            pairs = materialize(pairs, "pairs")
+            for end in RELATION_KEY:
+                at_end = materialize(refreshed.select(F.col("entity_id").alias(end)), "refreshed-ends")
+                held = tables["relationship"].read(before, [], only=at_end).select(*RELATION_KEY)
+                ended = ended.unionByName(held.join(pairs, RELATION_KEY, "left_anti"))
 
         rows = {
             "entity": (entity_frame(changed), lapsed("entity")),

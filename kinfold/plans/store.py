@@ -59,8 +59,9 @@ class ResolverStore(VersionedTables):
     search. A batch reads the buckets of its own records and keys, and of the entities it takes apart or merges.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
-        super().__init__(spark, path, SHAPES, layout=LAYOUT, buckets=buckets)
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS, shapes: dict = {}, layout: dict = {}):
+        """``shapes`` and ``layout`` add tables of a subclass."""
+        super().__init__(spark, path, SHAPES | shapes, layout=LAYOUT | layout, buckets=buckets)
 
     def _next(self) -> tuple[int, int, int, dict[str, KeyedTable]]:
         state = self.state()
@@ -98,9 +99,14 @@ class ResolverStore(VersionedTables):
             partial(tables["link_key"].write, now, change.fresh_keys, old_keys),
             partial(tables["holder"].write, now, change.holders, change.free),
             partial(tables["value"].write, now, values, old_values),
+            *self._along(seq, now, tables, change, values, old_values),
         )
         self.commit(now, next_record=number)
 
+    def _along(self, seq: int, now: int, tables: dict, change: resolver.Change, values: DataFrame | None, old_values: DataFrame) -> list:
+        """Further writes of a subclass in the same pass."""
+        return []
+
     def add(self, records: DataFrame, run_id: str, number: str | None = None) -> DataFrame:
         """Add or update input records; returns outcome rows. Of one key given twice in a batch one row
         counts: the later one where both come from the same input file. ``number`` names a column with record numbers of the caller's own, which must be

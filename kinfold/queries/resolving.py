@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, functions as F
 from kinfold.functions import docs
 from kinfold.operators import documents as ed, features as ft, linking, relating, searching
 from kinfold.plans import mart as marts, resolver
+from kinfold.plans.related import RelatedStore, profiles
 from kinfold.queries import fixtures as fx
 from kinfold.queries.registry import Tables, query
 from kinfold.plans.store import ResolverStore
 from kinfold.session import materialize, scratch
 from kinfold.sources.inbox import write_inbox
 from kinfold.streaming.feeder import drain, start_feeder
+from kinfold.streaming.marts import start_mart_sync
 
 # --- the same resolution in SQL --------------------------------------------------------------
 
@@ -145,18 +147,6 @@ def resolve_relation_classes(t: Tables) -> DataFrame:
 # --- documents and reports -------------------------------------------------------------------
 
 
-def _member_rows(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members as mart records; a linked record names the first rule that linked it."""
-    first = links.groupBy(F.col("hi").alias("record_seq")).agg(F.min("rule").alias("errule_code"))
-    joined = members.join(first, "record_seq", "left")
-    stamp = F.lit(None).cast("timestamp")
-    return joined.select(
-        F.col("dataSource").alias("data_source"), F.col("recordId").alias("record_id"), "entity_id",
-        linking.match_key_of(F.col("errule_code")).alias("match_key"), F.lit("RESOLVED").alias("match_level_code"),
-        "errule_code", stamp.alias("first_seen_dt"), stamp.alias("last_seen_dt"),
-    )
-
-
 @query("entity_docs", f"""{_R}, {_SHARED},
 rels AS (SELECT lo AS id, count(*) AS n FROM (SELECT lo FROM scored UNION ALL SELECT hi FROM scored) GROUP BY lo),
 feats AS (
@@ -169,28 +159,18 @@ SELECT entity_id, min(source || ':' || CAST(entity_id AS VARCHAR)) FILTER (WHERE
 FROM members JOIN documents USING (doc_id) LEFT JOIN rels ON rels.id = entity_id LEFT JOIN feats ON feats.id = entity_id
 GROUP BY entity_id""")
 def entity_docs(t: Tables) -> DataFrame:
-    """Documents of resolved entities, assembled and parsed again."""
+    """Documents of resolved entities, assembled and parsed again; the larger ones in several pages, whose header counts for all of them."""
     records = fx.records(t)
     resolution = resolver.resolve(records)
     index = resolver.relation_index(records, resolution.moved)
-    members = resolution.members
-    names = members.filter(F.col("record_seq") == F.col("entity_id")).select(
-        "entity_id", F.concat_ws(":", "dataSource", "recordId").alias("entity_name")
-    )
-    held = ft.feature_rows(ft.with_features(records)).join(resolution.moved, "record_seq", "left")
-    number = F.conv(F.substring(F.hex("value"), 1, 15), 16, 10).cast("bigint")
-    features = held.select(
-        F.coalesce("entity_id", "record_seq").alias("entity_id"), "ftype", "feat_desc", number.alias("lib_feat_id"),
-        "usage_type", "used_for_cand", "used_for_scoring",
-    ).distinct()
-    documents = ed.assemble_documents(
-        names, materialize(_member_rows(members, resolution.links), "member-rows"),
-        materialize(resolver.entity_relations(index), "relations"), materialize(features, "features"),
-    )
+    documents = profiles(resolution.members, resolution.links, ft.with_features(records), resolver.entity_relations(index), page_size=40)
     parsed = docs.parse_documents(documents, page="page")
-    return parsed.select(
-        "entity_id", "entity_name", "record_count", "relation_count", F.size("features").alias("feature_count"),
-        F.size("record_summary").alias("sources"),
+    return parsed.groupBy("entity_id").agg(
+        F.max("entity_name").alias("entity_name"),
+        F.max(F.when(F.col("page") == 0, F.col("record_count"))).alias("record_count"),
+        F.max(F.when(F.col("page") == 0, F.col("relation_count"))).alias("relation_count"),
+        F.sum(F.size("features")).cast("int").alias("feature_count"),
+        F.max(F.size("record_summary")).alias("sources"),
     )
 
 
@@ -422,3 +402,59 @@ def store_add_delete(t: Tables) -> DataFrame:
     members = store.read("member")
     sizes = members.groupBy("entity_id").agg(F.count(F.lit(1)).alias("size"), F.min(F.col("recordId").cast("bigint")).alias("smallest"))
     return members.join(sizes, "entity_id").select("dataSource", "recordId", "smallest", "size")
+
+
+_KEPT = f"""WITH RECURSIVE d1 AS (SELECT doc_id, text FROM documents WHERE NOT ({_DELETED})), {lines_sql('l', 'd1')}, {members_sql('', 'l')}, {_SHARED}"""
+
+
+def _moved_store(t: Tables, on_step=lambda store, affected: None) -> RelatedStore:
+    """Two loads, an update to the final text and an unload, each with its redo afterwards. ``on_step`` gets the outcome rows of every step."""
+    store = RelatedStore(t.spark, scratch(t.spark, "related"))
+    store.create()
+    store.register(t.documents.select(F.col("source").alias("data_source")).distinct())
+    early = t.documents.filter("lang = 'en'")
+    stale = early.withColumn("text", F.when(F.col("doc_id") % 5 == 0, F.reverse("text")).otherwise(F.col("text")))
+    steps = [
+        lambda: store.add(_as_records(stale), "load", "record_seq"),
+        lambda: store.add(_as_records(early.filter("doc_id % 5 = 0").unionByName(t.documents.filter("lang IS DISTINCT FROM 'en'"))), "rest", "record_seq"),
+        lambda: store.delete(_as_records(t.documents.filter(_DELETED)), "unload"),
+    ]
+    for step in steps:
+        on_step(store, step())
+        redone, _ = store.drain("redo")
+        if redone is not None:
+            on_step(store, redone)
+    return store
+
+
+@query("store_relations", f"""{_KEPT},
+ends AS (SELECT lo AS id FROM scored WHERE level = 'POSSIBLY_SAME' UNION ALL SELECT hi FROM scored WHERE level = 'POSSIBLY_SAME'),
+several AS (SELECT id FROM ends GROUP BY id HAVING count(*) > 1)
+SELECT lo AS entity_id_lo, hi AS entity_id_hi, level AS match_level_code, match_key, code AS errule_code,
+  level = 'POSSIBLY_SAME' AND (lo IN (SELECT id FROM several) OR hi IN (SELECT id FROM several)) AS is_ambiguous FROM scored""")
+def store_relations(t: Tables) -> DataFrame:
+    """Relations kept by redo over loads, updates and deletes are those of one resolve of the final records."""
+    return _moved_store(t).relations().select("entity_id_lo", "entity_id_hi", "match_level_code", "match_key", "errule_code", "is_ambiguous")
+
+
+@query("mart_from_store", f"""{_KEPT},
+rels AS (SELECT lo AS id, count(*) AS n FROM (SELECT lo FROM scored UNION ALL SELECT hi FROM scored) GROUP BY lo)
+SELECT entity_id, min(source || ':' || CAST(entity_id AS VARCHAR)) FILTER (WHERE doc_id = entity_id) AS entity_name,
+  CAST(count(*) AS INTEGER) AS record_count, CAST(coalesce(any_value(rels.n), 0) AS INTEGER) AS relation_count,
+  (SELECT count(*) FROM scored) AS relations, (SELECT count(*) FROM members) AS records
+FROM members JOIN documents USING (doc_id) LEFT JOIN rels ON rels.id = entity_id GROUP BY entity_id""")
+def mart_from_store(t: Tables) -> DataFrame:
+    """Store to documents to mart: the affected feed of loads, updates, deletes and redo drives the mart as a stream."""
+    work = scratch(t.spark, "mart-feed")
+    mart = marts.EntityMart(t.spark, f"{work}/mart")
+    mart.create()
+
+    def follow(store: RelatedStore, affected: DataFrame) -> None:
+        affected.write.mode("append").parquet(f"{work}/feed")
+        start_mart_sync(t.spark, f"{work}/feed", mart, store.fetch, f"{work}/cp", whole_relations=True).awaitTermination()
+
+    _moved_store(t, follow)
+    count = lambda name: mart.read(name, columns=[]).agg(F.count(F.lit(1))).scalar()
+    return mart.read("entity", columns=["entity_name", "record_count", "relation_count"]).select(
+        "entity_id", "entity_name", "record_count", "relation_count", count("relationship").alias("relations"), count("entity_record").alias("records")
+    )

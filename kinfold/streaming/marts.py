@@ -22,14 +22,16 @@ def start_mart_sync(
     once: bool = True,
     interval: str = "60 seconds",
     max_files: int = 1000,
+    whole_relations: bool = False,
 ) -> StreamingQuery:
     """Apply each batch of newly affected ids as one sync pass. The checkpoint remembers what was
-    read, so a pass does not reread the whole feed. ``fetch`` maps ids to fetch results."""
+    read, so a pass does not reread the whole feed. ``fetch`` maps ids to fetch results, such as ``RelatedStore.fetch``, whose documents list
+    all relations (``whole_relations``)."""
 
     def on_batch(batch: DataFrame, _: int) -> None:
         ids = affected_ids(batch)
         if not ids.isEmpty():
-            mart.sync(fetch(ids), live() if live else None)
+            mart.sync(fetch(ids), live() if live else None, whole_relations)
 
     frame = spark.readStream.schema(OUTCOME).option("maxFilesPerTrigger", max_files).parquet(feed)
     trigger = {"availableNow": True} if once else {"processingTime": interval}
