@@ -53,7 +53,7 @@ def commit_prefix(commits: DataFrame, start: int, **ranges) -> DataFrame:
     nothing.
     """
     ahead = commits.filter(F.col("range_end") > start)
-    ranged = with_range(ahead, "range_start", **ranges)
+    ranged = with_range(ahead, ["range_start", "range_end"], **ranges)
     reach = running(ranged, [], ["range_start", "range_end"], F.col("range_end"), "max", "_reach", current=False)
     before = F.greatest(F.lit(start), F.coalesce("_reach", F.lit(start)))
     gap = F.col("range_start") > before
@@ -68,7 +68,7 @@ def commit_prefix(commits: DataFrame, start: int, **ranges) -> DataFrame:
 def commit_stalls(commits: DataFrame, series: list[str], at: str, window_ms: int, order: list[str] | None = None, **ranges) -> DataFrame:
     """Commits that came more than ``window_ms`` after the one before."""
     order = order or [at]
-    steps = lagged(with_range(commits, at, **ranges), series, order, [at])
+    steps = lagged(with_range(commits, order, **ranges), series, order, [at])
     gap = F.unix_millis(at) - F.unix_millis(f"prev_{at}")
     return steps.select(*commits.columns, gap.alias("gap_ms")).filter(F.col("gap_ms") > window_ms)
 

@@ -57,6 +57,27 @@ def test_ordered_helpers_match_a_plain_scan(spark):
             assert got_sum[(series, at)] == sum(before)
 
 
+def test_levels_carry_a_long_series_of_equal_positions(spark):
+    """All positions are equal and a third of the rows has a null series: ranges stay bounded, and several levels give what a plain scan gives."""
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", "a", None]), 7, i, rng.randint(-9, 9)) for i in rng.sample(range(1000), 230)]
+    frame = spark.createDataFrame(rows, "s string, at bigint, tie bigint, v int")
+    ranged = with_range(frame, ["at", "tie"], min_rows=3, fan=4)
+    cut = ranged.schema["_range"].metadata
+    assert cut == {"ranges": 77, "fan": 4} and ranged.groupBy("_range").count().agg(F.max("count")).first()[0] == 3
+    order = ["at", "tie"]
+    lag = {r.tie: r.prev_v for r in lagged(ranged, ["s"], order, ["v"]).collect()}
+    total = {r.tie: r.total for r in running(ranged, ["s"], order, F.col("v"), "sum", "total").collect()}
+    top = {r.tie: r.top for r in running(ranged, ["s"], order, F.col("v"), "max", "top", current=False).collect()}
+    assert len(lag) == len(total) == len(top) == len(rows)
+    for series in ("a", None):
+        before = []
+        for _, _, tie, v in sorted((r for r in rows if r[0] == series), key=lambda r: r[2]):
+            assert (lag[tie], top[tie]) == ((before[-1], max(before)) if before else (None, None))
+            before.append(v)
+            assert total[tie] == sum(before)
+
+
 def test_streaks_cross_ranges_and_reset(spark):
     outcomes = "ffsfffsfsffff"
     frame = spark.createDataFrame([("q", i, c) for i, c in enumerate(outcomes)], "s string, at bigint, c string")
