@@ -407,8 +407,8 @@ def store_add_delete(t: Tables) -> DataFrame:
 _KEPT = f"""WITH RECURSIVE d1 AS (SELECT doc_id, text FROM documents WHERE NOT ({_DELETED})), {lines_sql('l', 'd1')}, {members_sql('', 'l')}, {_SHARED}"""
 
 
-def _moved_store(t: Tables, on_step=lambda store, affected: None) -> RelatedStore:
-    """Two loads, an update to the final text and an unload, each with its redo afterwards. ``on_step`` gets the outcome rows of every step."""
+def _moved_store(t: Tables, on_step=lambda store, *affected: None) -> RelatedStore:
+    """A load, an update to the final text with the rest, and an unload, each with its redo. ``on_step`` gets the outcome rows of both."""
     store = RelatedStore(t.spark, scratch(t.spark, "related"))
     store.create()
     store.register(t.documents.select(F.col("source").alias("data_source")).distinct())
@@ -420,10 +420,8 @@ def _moved_store(t: Tables, on_step=lambda store, affected: None) -> RelatedStor
         lambda: store.delete(_as_records(t.documents.filter(_DELETED)), "unload"),
     ]
     for step in steps:
-        on_step(store, step())
-        redone, _ = store.drain("redo")
-        if redone is not None:
-            on_step(store, redone)
+        affected, (redone, _) = step(), store.drain("redo")
+        on_step(store, *[rows for rows in (affected, redone) if rows is not None])
     return store
 
 
@@ -449,8 +447,9 @@ def mart_from_store(t: Tables) -> DataFrame:
     mart = marts.EntityMart(t.spark, f"{work}/mart")
     mart.create()
 
-    def follow(store: RelatedStore, affected: DataFrame) -> None:
-        affected.write.mode("append").parquet(f"{work}/feed")
+    def follow(store: RelatedStore, *affected: DataFrame) -> None:
+        for rows in affected:
+            rows.write.mode("append").parquet(f"{work}/feed")
         start_mart_sync(t.spark, f"{work}/feed", mart, store.fetch, f"{work}/cp", whole_relations=True).awaitTermination()
 
     _moved_store(t, follow)
