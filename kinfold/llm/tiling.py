@@ -92,16 +92,9 @@ def tile(item: np.ndarray, doc: np.ndarray, min_tile: int) -> list[tuple[int, in
     in_item, in_doc = np.zeros(len(item), bool), np.zeros(len(doc), bool)
     length = len(item)
     while length >= min_tile:
-        matches = _matches(item, doc, in_item, in_doc, length)
-        if not matches:
-            length = _longest(item, doc, in_item, in_doc, min_tile, length - 1)
-            continue
-        for i, d in matches:
-            if not in_item[i : i + length].any() and not in_doc[d : d + length].any():
-                in_item[i : i + length] = True
-                in_doc[d : d + length] = True
-                tiles.append((i, d, length))
-        length -= 1
+        marked = _mark(item, doc, in_item, in_doc, length)
+        tiles.extend((i, d, length) for i, d in marked)
+        length = length - 1 if marked else _longest(item, doc, in_item, in_doc, min_tile, length - 1)
     return tiles
 
 
@@ -118,29 +111,30 @@ def _longest(item, doc, in_item, in_doc, low: int, high: int) -> int:
     return best
 
 
-def _matches(item, doc, in_item, in_doc, n: int) -> list[tuple[int, int]]:
-    """(item start, doc start) of equal windows of ``n`` tokens; each item window with each document window once a tile can use both."""
+def _mark(item, doc, in_item, in_doc, n: int) -> list[tuple[int, int]]:
+    """(item start, doc start) of the equal windows of ``n`` tokens that are marked now. Each free item window, in order, takes the first free
+    window of the document that equals it, so none is left of this length."""
     i_start, i_hash = window_hashes(item, n, ~in_item)
     d_start, d_hash = window_hashes(doc, n, ~in_doc)
     both = np.isin(d_hash, i_hash)
     places: dict[int, list[int]] = {}
     for d, h in zip(d_start[both].tolist(), d_hash[both].tolist()):
         places.setdefault(h, []).append(d)
-    used: dict[int, int] = {}
+    first: dict[int, int] = {}
     found = []
     for i, h in zip(i_start.tolist(), i_hash.tolist()):
-        options = places.get(h, [])
-        # Equal item windows take successive places that do not overlap.
-        at = used.get(h, 0)
-        while at < len(options):
-            d = options[at]
-            at += 1
-            if np.array_equal(item[i : i + n], doc[d : d + n]):
+        if in_item[i : i + n].any():
+            continue
+        options, at = places.get(h, []), first.get(h, 0)
+        while at < len(options) and in_doc[options[at] : options[at] + n].any():
+            at += 1  # a marked window never becomes free again
+        first[h] = at
+        for d in (options[k] for k in range(at, len(options))):
+            if not in_doc[d : d + n].any() and np.array_equal(item[i : i + n], doc[d : d + n]):
+                in_item[i : i + n] = True
+                in_doc[d : d + n] = True
                 found.append((i, d))
-                while at < len(options) and options[at] < d + n:
-                    at += 1
                 break
-        used[h] = at
     return found
 
 

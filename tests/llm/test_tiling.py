@@ -36,6 +36,14 @@ def test_tiles_match_brute_force(item, doc):
     assert sorted(n for *_, n in got) == sorted(n for *_, n in want)
 
 
+@settings(max_examples=1500, deadline=None)
+@given(st.integers(1, 4).flatmap(lambda top: st.tuples(*[st.lists(st.integers(0, top), min_size=1, max_size=n) for n in (14, 40)])))
+def test_tiles_of_repeated_tokens_match_brute_force(drawn):
+    item, doc = drawn
+    low = min(3, len(item))
+    assert sorted(tiling.tile(np.array(item, np.uint64), np.array(doc, np.uint64), low)) == sorted(plain_tiles(item, doc, low))
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=14), st.lists(st.integers(0, 3), max_size=30))
 def test_tiles_are_equal_runs_that_do_not_overlap(item, doc):
