@@ -117,7 +117,8 @@ def doc_record_summary(t: Tables) -> DataFrame:
     )
     closed = F.replace(marked, F.lit('"RECORD_COUNT":2},]'), F.lit('"RECORD_COUNT":2}]'))
     changed = fx.documents(t, 1).withColumn("json", closed)
-    return docs.parse_documents(changed).select("entity_id", F.explode("record_summary").alias("data_source", "n"))
+    rows = docs.parse_documents(changed).select("entity_id", F.explode_outer("record_summary").alias("data_source", "n"))
+    return rows.filter(F.col("data_source").isNotNull())  # see session.unfold
 
 
 @query("doc_entity_record", f"""{_E}
