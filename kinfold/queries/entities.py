@@ -11,7 +11,7 @@ from kinfold.plans import mart as marts
 from kinfold.queries import fixtures as fx
 from kinfold.queries.registry import Tables, query
 from kinfold.schemas import MART, MART_TABLES
-from kinfold.session import materialize, scratch
+from kinfold.session import materialize, scratch, spread
 from kinfold.streaming.marts import start_mart_sync
 
 # --- responses and scalars -------------------------------------------------------------------
@@ -164,7 +164,7 @@ def doc_features(t: Tables) -> DataFrame:
         F.array(F.struct(F.lit(None).cast("string").alias("FEAT_DESC"), F.lit("text").alias("LIB_FEAT_ID"))).alias("BARE"),
     )
     entity = F.struct(number.alias("ENTITY_ID"), features.alias("FEATURES"))
-    json = fx.customers(t, 1).select(F.to_json(F.struct(entity.alias("RESOLVED_ENTITY"))).alias("json"))
+    json = spread(fx.customers(t, 1), "entity_id").select(F.to_json(F.struct(entity.alias("RESOLVED_ENTITY"))).alias("json"))
     return docs.feature_frame(docs.parse_documents(json)).drop("page")
 
 

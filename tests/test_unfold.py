@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__  # noqa: F401  (registers the queries)
 from kinfold.functions import docs
+from kinfold.queries.registry import QUERIES
 from kinfold.session import unfold
 
 FULL = """{"RESOLVED_ENTITY":{"ENTITY_ID":1,"FEATURES":{"NAME":[{"FEAT_DESC":"a","LIB_FEAT_ID":7}]},"RECORDS":[{"DATA_SOURCE":"s","RECORD_ID":"r"}]},
@@ -26,3 +28,8 @@ def test_unfold_has_no_row_for_empty_and_null_arrays(spark):
     frame = spark.createDataFrame([(1, ["a", "b"]), (2, []), (3, None)], "id bigint, xs array<string>")
     rows = unfold(frame, F.transform("xs", lambda x: F.struct(x.alias("x"), F.lit(None).cast("string").alias("y"))), "x", "id")
     assert sorted(map(tuple, rows.collect())) == [(1, "a", None), (1, "b", None)]
+
+
+def test_documents_of_one_file_are_parsed_by_all_cores(spark):
+    frame = QUERIES["doc_features"](spark, "/root/testdata/sf0.001")
+    assert frame.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
