@@ -16,6 +16,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kinfold.llm.common import hash_share, share
+from kinfold.operators.ordered import ranked_within
+from kinfold.session import materialize
 
 LETTERS = re.compile(r"[^\W\d_]+")
 BLOCK = 4096  # bytes encoded with one start of the dictionary
@@ -98,23 +100,25 @@ def sizes(text: str, model: tuple[tuple[str, bytes], ...]) -> list[int]:
 
 
 def fit(
-    docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out: int = 20_000
+    docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> tuple[dict[str, bytes], Margins]:
-    """(dictionaries, margins): dictionaries from four fifths of the training rows, margins from about ``held_out`` rows of the rest.
+    """(dictionaries, margins): dictionaries from four fifths of the training rows, margins from all rows of the rest.
 
     Clean texts are rows whose label is the language found. The margin of a class of length is the largest that rejects at most ``TAIL`` of its clean texts.
     """
     apart = hash_share(id_col, 0.2, "margin")
     dictionaries = fit_dictionaries(docs, train & (F.col(id_col).isNull() | ~apart), id_col, text_col, lang_col)
     rest = docs.filter(train & apart & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rest = rest.filter(hash_share(id_col, share(held_out, rest.count()), "margins"))
     found = rest.select(F.col(lang_col).alias("lang"), verdict(dictionaries, F.col(text_col)).alias("v"), _letters(F.col(text_col)).alias("size"))
-    clean = found.filter("v.lang_pred = lang AND NOT v.rejected").select("size", "v.margin").collect()
-    margins = []
-    for least, below in zip(CLASSES, (*CLASSES[1:], math.inf)):
-        held = sorted(margin for size, margin in clean if least <= size < below)
-        margins.append((least, math.nextafter(held[int(TAIL * len(held))], 0.0) if len(held) >= LEAST else 0.0))
-    return dictionaries, tuple(margins)
+    least = F.greatest(*[F.when(F.col("size") >= c, F.lit(c)) for c in CLASSES], F.lit(0))
+    clean = materialize(found.filter("v.lang_pred = lang AND NOT v.rejected").select(least.alias("least"), "v.margin"), "clean")
+    held = {row["least"]: row["n"] for row in clean.groupBy("least").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # One row of each class: the first that stays when the share of its clean texts below is rejected.
+    at = F.lit(False)
+    for c, n in held.items():
+        at = at | ((F.col("least") == c) & (F.col("rank") == int(TAIL * n) + 1))
+    bounds = dict(map(tuple, ranked_within(clean, ["least"], [F.col("margin")]).filter(at).select("least", "margin").collect()))
+    return dictionaries, tuple((c, math.nextafter(bounds[c], 0.0) if held.get(c, 0) >= LEAST else 0.0) for c in CLASSES)
 
 
 def _letters(text: Column) -> Column:
