@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+SENT = 4 << 20  # bytes of a batch that goes back to the JVM, about
 PIECE = 1 << 20  # long texts are hashed in pieces of about this many bytes, so that memory stays bounded
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _WORD_BYTE = np.array([(c >= 128) or chr(c).isalnum() or c == 95 for c in range(256)])
@@ -23,7 +24,7 @@ def remainder(key: str, mod: int) -> Column:
 def batches(frame: DataFrame, step: Callable[..., dict], schema: str | T.StructType) -> DataFrame:
     """``frame`` through ``step``, which gets each Arrow batch's columns as lists and returns named lists.
 
-    Batches are streamed, so a task holds one of them at a time.
+    Batches are streamed, so a task holds one of them at a time; what ``step`` returns goes on in parts of about ``SENT`` bytes.
     """
     kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(kind)
@@ -34,12 +35,19 @@ def batches(frame: DataFrame, step: Callable[..., dict], schema: str | T.StructT
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
                 made = step(**{c: part.column(i).to_pylist() for i, c in enumerate(names)})
-                yield pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in arrow], schema=arrow)
+                yield from parts(pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in arrow], schema=arrow))
         give_back()
 
     return frame.mapInArrow(run, kind)
 
 
+def parts(batch: pa.RecordBatch, size: int = SENT) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about ``size`` bytes, at its mean row."""
+    rows = max(1, batch.num_rows * size // max(1, batch.nbytes))
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def give_back() -> None:
     """Return freed memory to the system at the end of a task: Python workers stay alive between tasks, beside those of other stages."""
     pa.default_memory_pool().release_unused()

@@ -11,7 +11,7 @@ import math
 import re
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -123,7 +123,12 @@ def fit(
 
 def _letters(text: Column) -> Column:
     """Bytes of ``plain``."""
-    return F.pandas_udf(lambda bodies: bodies.map(lambda b: len(plain(b))), "bigint")(text)
+
+    @F.arrow_udf("bigint")
+    def size(bodies: pa.Array) -> pa.Array:
+        return pa.array([len(plain(b)) for b in bodies.to_pylist()], pa.int64())
+
+    return size(text)
 
 
 def verdict(dictionaries: dict[str, bytes], text: Column, min_margin: float | Margins = 0.0) -> Column:
@@ -142,9 +147,11 @@ def verdict(dictionaries: dict[str, bytes], text: Column, min_margin: float | Ma
         size = len(plain(body)) if len(margins) > 1 else 0
         return model[packed.index(best)][0], score, margin, margin <= [m for least, m in margins if least <= size][-1]
 
-    @F.pandas_udf("lang_pred string, score double, margin double, rejected boolean")
-    def found(bodies: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(b) for b in bodies], columns=["lang_pred", "score", "margin", "rejected"])
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("margin", pa.float64()), ("rejected", pa.bool_())])
+
+    @F.arrow_udf("lang_pred string, score double, margin double, rejected boolean")
+    def found(bodies: pa.Array) -> pa.Array:
+        return pa.array([dict(zip(kind.names, one(b))) for b in bodies.to_pylist()], kind)
 
     return found(text)
 

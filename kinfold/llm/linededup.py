@@ -18,7 +18,6 @@ from functools import lru_cache, partial
 from itertools import accumulate, chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -91,6 +90,18 @@ def bare_chunk(text: str) -> str:
     return "\n".join(b for first, end in lines_of(text) if (b := text[first:end].strip()))
 
 
+def same_start(left: str, right: str) -> int:
+    """Number of characters that both texts begin with."""
+    low, high = 0, min(len(left), len(right))
+    while low < high:
+        mid = (low + high + 1) // 2
+        if left[low:mid] == right[low:mid]:
+            low = mid
+        else:
+            high = mid - 1
+    return low
+
+
 def equal_end(left: str, right: str) -> int:
     """Characters of ``left``'s last lines that are equal to the last lines of ``right``."""
     if left.rstrip()[-2:] != right.rstrip()[-2:] or left.rsplit(None, 1)[-1:] != right.rsplit(None, 1)[-1:]:
@@ -113,8 +124,10 @@ def equal_start(left: str, right: str, whole: bool = False) -> int:
     """Characters of ``left``'s first lines that are equal to the first lines of ``right``."""
     if left.lstrip()[:2] != right.lstrip()[:2] or left.split(None, 1)[:1] != right.split(None, 1)[:1]:
         return 0
-    taken = 0
-    for mine, other in zip(LINE.finditer(left), LINE.finditer(right)):  # lines after the first unequal ones are not looked for
+    # Lines that end within the common start are equal; its last one may go on differently.
+    common = same_start(left, right)
+    taken = common - len(LINE.findall(left, 0, common)[-1]) if common else 0
+    for mine, other in zip(LINE.finditer(left, taken), LINE.finditer(right, taken)):  # lines after the first unequal ones are not looked for
         # A line at the edge of what was looked at may be cut and does not count.
         if not whole and (mine.end() == len(left) >= BESIDE or other.end() == len(right) >= BESIDE):
             break
@@ -188,10 +201,10 @@ def runs_of(chunks: DataFrame) -> DataFrame:
 def packed(text: Column) -> Column:
     """The text as zstandard bytes; null stays null."""
 
-    @F.pandas_udf(T.BinaryType())
-    def pack(bodies: pd.Series) -> pd.Series:
+    @F.arrow_udf(T.BinaryType())
+    def pack(bodies: pa.Array) -> pa.Array:
         tool = zstandard.ZstdCompressor(level=3)
-        return pd.Series([None if b is None else tool.compress(b.encode("utf-8", "surrogatepass")) for b in bodies], dtype=object)
+        return pa.array([None if b is None else tool.compress(b) for b in bodies.cast(pa.binary()).to_pylist()], pa.binary())
 
     return pack(text)
 
@@ -281,10 +294,11 @@ def without(text: str, starts, ends) -> str:
     return "".join([*kept, text[at:]]).rstrip()
 
 
-@F.pandas_udf(T.StringType())
-def cut_out(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-    whole = [None if t is None else unpacked(t) for t in text]
-    return pd.Series([t if t is None or s is None else without(t, s, e) for t, s, e in zip(whole, starts, ends)], dtype=object)
+@F.arrow_udf(T.StringType())
+def cut_out(text: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
+    whole = (None if t is None else unpacked(t) for t in text.to_pylist())
+    rows = zip(whole, starts.to_pylist(), ends.to_pylist())
+    return pa.array((t if t is None or s is None else without(t, s, e) for t, s, e in rows), pa.string())
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
