@@ -130,8 +130,10 @@ class _Line:
             yield from self.once(record)
 
     def once(self, record: _Call) -> Iterator[_Call]:
-        time.sleep(max(0.0, self.resume - time.monotonic()))
         started = time.monotonic()
+        if started < self.resume:
+            time.sleep(self.resume - started)
+            started = time.monotonic()
         record.began = started if record.began is None else record.began
         try:
             record.response = self.verb(record.row["dataSource"], record.row["recordId"], record.row["payload"], record.attempts)

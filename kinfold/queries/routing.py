@@ -10,7 +10,7 @@ from kinfold.operators import deadletter as dl, errors as er, gates, monitor, ou
 from kinfold.operators.ordered import running, with_range
 from kinfold.queries import fixtures as fx
 from kinfold.queries.registry import Tables, query
-from kinfold.session import scratch
+from kinfold.session import scratch, spread
 
 # --- classes and dispositions ----------------------------------------------------------------
 
@@ -52,6 +52,13 @@ def _verb(source: str, record: str, payload: str, attempt: int) -> str:
     return json.dumps({"AFFECTED_ENTITIES": [{"ENTITY_ID": int(number)}, {"ENTITY_ID": "no"}]})
 
 
+def _called(t: Tables) -> DataFrame:
+    """Events as records, over all cores: one file may be one task, and calls are work per row."""
+    from kinfold.sources.records import as_records
+
+    return as_records(spread(fx.log(t), "offset"))
+
+
 @query("route_errors", """
 SELECT CASE WHEN event_type IN ('view', 'click') THEN 'ERROR' ELSE 'AFFECTED' END AS kind, event_type AS "dataSource",
   CAST(user_id AS VARCHAR) AS "recordId", CASE WHEN event_type NOT IN ('view', 'click') THEN user_id END AS "entityId",
@@ -59,10 +66,8 @@ SELECT CASE WHEN event_type IN ('view', 'click') THEN 'ERROR' ELSE 'AFFECTED' EN
   CASE event_type WHEN 'view' THEN '33' WHEN 'click' THEN '27' END AS "errorCode", count(*) AS n
 FROM events GROUP BY 1, 2, 3, 4, 5, 6""")
 def route_errors(t: Tables) -> DataFrame:
-    from kinfold.sources.records import as_records
-
     policy = er.RetryPolicy(budget_ms=5_000, base_ms=0, cap_ms=0)
-    routed = er.route_errors(as_records(fx.log(t)), _verb, "ADD", "run", policy)
+    routed = er.route_errors(_called(t), _verb, "ADD", "run", policy)
     return routed.groupBy("kind", "dataSource", "recordId", "entityId", "category", "errorCode").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -81,10 +86,8 @@ SELECT event_type AS "dataSource", count(*) FILTER (event_type IN ('purchase', '
   count(*) FILTER (event_type = 'signup') AS retried, CAST(0 AS BIGINT) AS long FROM events GROUP BY 1""")
 def outcome_counters(t: Tables) -> DataFrame:
     """Records, not rows: calls that affect no entity, one or several, that pass at the second attempt, and absences that are benign."""
-    from kinfold.sources.records import as_records
-
     policy = er.RetryPolicy(budget_ms=60_000, base_ms=0, cap_ms=0)
-    routed = er.route_errors(as_records(fx.log(t)), _uneven_verb, "ADD", "run", policy, not_found_is_benign=True, ledger=True)
+    routed = er.route_errors(_called(t), _uneven_verb, "ADD", "run", policy, not_found_is_benign=True, ledger=True)
     return out.outcome_counters(routed, ["dataSource"])
 
 
