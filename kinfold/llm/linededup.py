@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import lru_cache
 from itertools import accumulate, chain
 
 import numpy as np
@@ -31,10 +31,11 @@ from kinfold.session import materialize
 LINE = re.compile(r"(?=[\s\S])[^\n.!?]*+(?:[.!?](?!\s)[^\n.!?]*+)*+(?:[.!?][^\S\n]*+\n?|\n|\Z)")
 MIN_LINES = 2
 MIN_CHARS = 40
-LINE_HASH = partial(xxhash.xxh64_intdigest, seed=7)
+SEED = 7  # of a line's hash
 TEXTS = 200  # texts whose lines are hashed together
 BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())  # what str.strip takes away
 BESIDE = 600  # characters looked at on either side of a repeated chunk
+NEAR = 120  # characters looked at first for the last line of a text
 
 
 def lines_of(text: str) -> list[tuple[int, int]]:
@@ -58,8 +59,10 @@ def chunk_table(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     ends = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)))
     kept = np.flatnonzero(np.fromiter(map(bool, bare), bool, len(bare)))
     bare = [line.encode("utf-8", "surrogatepass") for line in bare if line]
+    body = b"\n".join(bare)  # a chunk is a part of it
+    at = np.concatenate(([0], np.cumsum(np.fromiter(map(len, bare), np.int64, len(bare)) + 1)))
     owner = np.repeat(np.arange(len(texts)), counts)[kept]
-    hashes = np.fromiter(map(LINE_HASH, bare), np.uint64, len(bare))
+    hashes = np.array([xxhash.xxh64_intdigest(line, SEED) for line in bare], np.uint64)
     inside = owner[1:] == owner[:-1]
     rolling = np.full(len(kept) + 1, np.iinfo(np.uint64).max, np.uint64)
     pair = mixed(hashes[1:] + hashes[:-1] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(1)
@@ -74,7 +77,7 @@ def chunk_table(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     first = np.minimum(np.minimum(after, last - MIN_LINES + 1), far)
     fits = first >= head
     first, last, stops = first[fits], last[fits], stops[fits]
-    digests = [xxhash.xxh3_64_intdigest(b"\n".join(bare[f:e])) for f, e in zip(first.tolist(), (last + 1).tolist())]
+    digests = [xxhash.xxh3_64_intdigest(body[f:e]) for f, e in zip(at[first].tolist(), (at[last + 1] - 1).tolist())]
     offset = np.concatenate(([0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))))[owner[last]]
     return owner[last], begins[first] - offset, stops - offset, np.array(digests, dtype=np.uint64).view(np.int64)
 
@@ -102,22 +105,48 @@ def same_start(left: str, right: str) -> int:
     return low
 
 
+def same_end(left: str, right: str) -> int:
+    """Number of characters that both texts end with."""
+    low, high = 0, min(len(left), len(right))
+    while low < high:
+        mid = (low + high + 1) // 2
+        if left[len(left) - mid : len(left) - low] == right[len(right) - mid : len(right) - low]:
+            low = mid
+        else:
+            high = mid - 1
+    return low
+
+
+def last_start(text: str, end: int) -> int:
+    """Where the last line of the first ``end`` characters begins.
+
+    Where a line ends depends on what stands right before that place, so it shows from any place in the line on; the first line found from there may be cut.
+    """
+    window = NEAR
+    while True:
+        start = max(0, end - window)
+        found = LINE.findall(text, start, end)
+        if start == 0 or len(found) > 1:
+            return end - len(found[-1]) if found else 0
+        window *= 4
+
+
 def equal_end(left: str, right: str) -> int:
     """Characters of ``left``'s last lines that are equal to the last lines of ``right``."""
     if left.rstrip()[-2:] != right.rstrip()[-2:] or left.rsplit(None, 1)[-1:] != right.rsplit(None, 1)[-1:]:
         return 0
-    mine, other = lines_of(left), lines_of(right)
-    taken = len(left)
-    # A line at the edge of what was looked at may be cut and does not count.
-    if len(left) >= BESIDE:
-        mine = mine[1:]
-    if len(right) >= BESIDE:
-        other = other[1:]
-    for (a, b), (c, d) in zip(reversed(mine), reversed(other)):
-        if left[a:b].strip() != right[c:d].strip():
+    # Lines behind the first line end within the common end are equal; those before are compared.
+    common = same_end(left, right)
+    a, c = len(left) - common, len(right) - common
+    step = LINE.match(left, a).end() - a if common else 0
+    a, c = a + step, c + step
+    while a and c:
+        x, y = last_start(left, a), last_start(right, c)
+        # A line at the edge of what was looked at may be cut and does not count.
+        if x == 0 and len(left) >= BESIDE or y == 0 and len(right) >= BESIDE or left[x:a].strip() != right[y:c].strip():
             break
-        taken = a
-    return len(left) - taken
+        a, c = x, y
+    return len(left) - a
 
 
 def equal_start(left: str, right: str, whole: bool = False) -> int:
@@ -126,7 +155,7 @@ def equal_start(left: str, right: str, whole: bool = False) -> int:
         return 0
     # Lines that end within the common start are equal; its last one may go on differently.
     common = same_start(left, right)
-    taken = common - len(LINE.findall(left, 0, common)[-1]) if common else 0
+    taken = last_start(left, common)
     for mine, other in zip(LINE.finditer(left, taken), LINE.finditer(right, taken)):  # lines after the first unequal ones are not looked for
         # A line at the edge of what was looked at may be cut and does not count.
         if not whole and (mine.end() == len(left) >= BESIDE or other.end() == len(right) >= BESIDE):
@@ -203,7 +232,7 @@ def packed(text: Column) -> Column:
 
     @F.arrow_udf(T.BinaryType())
     def pack(bodies: pa.Array) -> pa.Array:
-        tool = zstandard.ZstdCompressor(level=3)
+        tool = zstandard.ZstdCompressor(level=1)
         return pa.array([None if b is None else tool.compress(b) for b in bodies.cast(pa.binary()).to_pylist()], pa.binary())
 
     return pack(text)
@@ -222,15 +251,21 @@ def slices(keyed: DataFrame, spans: DataFrame) -> DataFrame:
     """(id, content, start, end, body, left, right) of every span (id, content, start, end): its text and what stands beside it."""
     listed = spans.groupBy(F.col("id").alias("i"), F.col("content").alias("c")).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     texts = keyed.select("id", "content", packed(F.col("text")).alias("text"))
-    held = texts.join(listed, F.col("id").eqNullSafe(F.col("i")) & (F.col("content") == F.col("c"))).select("id", "content", "text", "spans")
+    held = texts.join(listed, F.col("id").eqNullSafe(F.col("i")) & (F.col("content") == F.col("c"))).select(
+        "id", "content", "text", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends")
+    )
 
-    def step(id, content, text, spans):
+    def step(id, content, text, starts, ends):
         out = {c: [] for c in ("id", "content", "start", "end", "body", "left", "right")}
-        for i, c, body, found in zip(id, content, text, spans):
+        for i, c, body, begins, stops in zip(id, content, text, starts, ends):
             body = unpacked(body)
-            for a, b in ((s["start"], s["end"]) for s in found):
-                for name, v in zip(out, (i, c, a, b, body[a:b], body[max(0, a - BESIDE) : a], body[b : b + BESIDE])):
-                    out[name].append(v)
+            out["id"] += [i] * len(begins)
+            out["content"] += [c] * len(begins)
+            out["start"] += begins
+            out["end"] += stops
+            out["body"] += [body[a:b] for a, b in zip(begins, stops)]
+            out["left"] += [body[max(0, a - BESIDE) : a] for a in begins]
+            out["right"] += [body[b : b + BESIDE] for b in stops]
         return out
 
     kind = keyed.schema["id"].dataType.simpleString()
