@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinfold.operators import upsert
+from kinfold.plans import mart as mart_module
 from kinfold.plans.keyed_table import KeyedTable
 from kinfold.plans.mart import EntityMart
 from kinfold.schemas import struct
@@ -142,3 +143,19 @@ def test_departed_records_of_a_hot_entity(spark):
     refreshed = spark.createDataFrame([(1, 300)], "entity_id bigint, n bigint")
     gone = upsert.departed_records(stored, fresh, refreshed, floor=10)
     assert gone.count() == 300 and gone.filter(F.col("entity_id") != 1).isEmpty()
+
+
+def test_a_first_pass_compares_nothing_and_stores_documents_once(spark, mart, monkeypatch):
+    """Comparing all documents with tables that hold nothing, and storing them again, took a part of the time of a load."""
+    labels = []
+
+    def stored(frame, label):
+        labels.append(label)
+        return materialize(frame, label)
+
+    materialize = mart_module.materialize
+    monkeypatch.setattr(mart_module, "materialize", stored)
+    first = fetched(spark, (1, doc(1, ["a", "b"])), (2, doc(2, ["c"])), (3, None))
+    mart.sync(first)
+    assert sorted(labels) == ["fetched", "gone", "parsed"]
+    assert records_of(mart) == {"a": 1, "b": 1, "c": 2}
