@@ -94,7 +94,10 @@ def plain(text: str) -> bytes:
 
 def sizes(text: str, model: tuple[tuple[str, bytes], ...]) -> list[int]:
     """Packed bytes of the whole text for each language of the model."""
-    raw = plain(text)
+    return sizes_of_plain(plain(text), model)
+
+
+def sizes_of_plain(raw: bytes, model: tuple[tuple[str, bytes], ...]) -> list[int]:
     blocks = [raw[i : i + BLOCK] for i in range(0, len(raw), BLOCK)]
     return [sum(len(packer.compress(b)) for b in blocks) for _, packer in _compressors(model)]
 
@@ -109,9 +112,11 @@ def fit(
     apart = hash_share(id_col, 0.2, "margin")
     dictionaries = fit_dictionaries(docs, train & (F.col(id_col).isNull() | ~apart), id_col, text_col, lang_col)
     rest = docs.filter(train & apart & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    found = rest.select(F.col(lang_col).alias("lang"), verdict(dictionaries, F.col(text_col)).alias("v"), _letters(F.col(text_col)).alias("size"))
-    least = F.greatest(*[F.when(F.col("size") >= c, F.lit(c)) for c in CLASSES], F.lit(0))
-    clean = materialize(found.filter("v.lang_pred = lang AND NOT v.rejected").select(least.alias("least"), "v.margin"), "clean")
+    found = rest.select(F.col(lang_col).alias("lang"), verdict(dictionaries, F.col(text_col)).alias("v"))
+    least = F.greatest(*[F.when(F.col("v.size") >= c, F.lit(c)) for c in CLASSES], F.lit(0))
+    # Filtered once stored: a filter on a verdict is moved below it, where another Python worker finds all verdicts a second time.
+    right = F.when(F.expr("v.lang_pred = lang AND NOT v.rejected"), F.col("v.margin"))
+    clean = materialize(found.select(least.alias("least"), right.alias("margin")), "clean").filter("margin IS NOT NULL")
     held = {row["least"]: row["n"] for row in clean.groupBy("least").agg(F.count(F.lit(1)).alias("n")).collect()}
     # One row of each class: the first that stays when the share of its clean texts below is rejected.
     at = F.lit(False)
@@ -121,35 +126,25 @@ def fit(
     return dictionaries, tuple((c, math.nextafter(bounds[c], 0.0) if held.get(c, 0) >= LEAST else 0.0) for c in CLASSES)
 
 
-def _letters(text: Column) -> Column:
-    """Bytes of ``plain``."""
-
-    @F.arrow_udf("bigint")
-    def size(bodies: pa.Array) -> pa.Array:
-        return pa.array([len(plain(b)) for b in bodies.to_pylist()], pa.int64())
-
-    return size(text)
-
-
 def verdict(dictionaries: dict[str, bytes], text: Column, min_margin: float | Margins = 0.0) -> Column:
-    """The struct (lang_pred, score, margin, rejected) of a text column; see ``classify``."""
+    """The struct (lang_pred, score, margin, rejected, size) of a text column; see ``classify``. Size: bytes of ``plain``."""
     margins = min_margin if isinstance(min_margin, tuple) else ((0, min_margin),)
     model = tuple(dictionaries.items())
 
     def one(body):
         if not model or body is None or not LETTERS.search(body):
-            return UNKNOWN, 0.0, 0.0, True
-        packed = sizes(body, model)
+            return UNKNOWN, 0.0, 0.0, True, 0
+        raw = plain(body)
+        packed = sizes_of_plain(raw, model)
         best = min(packed)
         others = sorted(s - best for s in packed)[1:]
         margin = others[0] / best if others else 1.0
         score = 1 / (1 + sum(2.0 ** -min(extra, 64) for extra in others))
-        size = len(plain(body)) if len(margins) > 1 else 0
-        return model[packed.index(best)][0], score, margin, margin <= [m for least, m in margins if least <= size][-1]
+        return model[packed.index(best)][0], score, margin, margin <= [m for least, m in margins if least <= len(raw)][-1], len(raw)
 
-    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("margin", pa.float64()), ("rejected", pa.bool_())])
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("margin", pa.float64()), ("rejected", pa.bool_()), ("size", pa.int64())])
 
-    @F.arrow_udf("lang_pred string, score double, margin double, rejected boolean")
+    @F.arrow_udf("lang_pred string, score double, margin double, rejected boolean, size bigint")
     def found(bodies: pa.Array) -> pa.Array:
         return pa.array([dict(zip(kind.names, one(b))) for b in bodies.to_pylist()], kind)
 
@@ -167,7 +162,7 @@ def classify(
     language that comes first in ``dictionaries``, which is the most frequent one in training. Repeated rows stay; only the two columns are read.
     """
     found = docs.select(F.col(id_col).alias("doc_id"), verdict(dictionaries, F.col(text_col), min_margin).alias("v"))
-    return found.select("doc_id", "v.*")
+    return found.select("doc_id", "v.lang_pred", "v.score", "v.margin", "v.rejected")
 
 
 def recognised(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", min_margin: float | Margins = 0.0) -> DataFrame:

@@ -28,3 +28,18 @@ def test_margins_come_from_all_held_out_rows(spark):
         held = sorted(r.margin for r in found if r.lang_pred == r.lang and not r.rejected and least <= r.n + 2 < below)
         want = math.nextafter(held[int(langid.TAIL * len(held))], 0.0) if len(held) >= langid.LEAST else 0.0
         assert margins[at] == (least, want)
+
+
+def test_a_fit_finds_each_verdict_once(spark, monkeypatch):
+    """One Python step in the plan: a second one doubles the work and the Python workers of an executor."""
+    plans = []
+
+    def stored(frame, label):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return materialize(frame, label)
+
+    materialize = langid.materialize
+    monkeypatch.setattr(langid, "materialize", stored)
+    rows = [(i, "de" if i % 2 else "en", "das ist nicht gut" if i % 2 else "this is not good") for i in range(40)]
+    langid.fit(spark.createDataFrame(rows, "doc_id int, lang string, text string"), F.lit(True))
+    assert len(plans) == 1 and plans[0].count("ArrowEvalPython") == 1
