@@ -12,13 +12,14 @@ up to 18 keys of up to 35 bits, and no pair within two bits is lost. Pairs that
 
 ``one_of_each`` also takes texts for copies whose sets of five-word shingles have a Jaccard similarity of 0.8 or more. Such texts often differ in
 five to fifteen bits of a SimHash, out of reach of any key that stays selective, so it adds min-wise bands over those shingles, each
-candidate being checked on its whole shingle sets.
+candidate being checked on its whole shingle sets. Crowded bands, as of texts with a common passage, are cut further by an exact prefix filter.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from itertools import combinations
+from math import ceil
 
 import numpy as np
 import xxhash
@@ -39,6 +40,8 @@ WIDE = 5  # words in a shingle of these sets
 BANDS, ROWS = 32, 4  # a pair at 0.8 shares no band with probability (1 - 0.8^4)^32 = 5e-8
 LEADERS = 64  # slots for leaders in one band in one round, at most, unless ``ROUND`` allows more
 ROUND = 1 << 24  # rows of (band, leader, node) in one round, about
+CROWDED = 16  # texts of a band outside its largest part, up to which all are compared; bands of more are cut by `parted`
+ORDER = 16  # texts of a crowded band that tell the order of its shingles
 FACTORS = np.random.default_rng(11).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -199,17 +202,17 @@ def grouped(marked: DataFrame) -> DataFrame:
 
 
 def compared(members: DataFrame, leaders: int) -> DataFrame:
-    """(key, leader, node): leaders of each band beside those of its nodes that are in another part. ``members`` has key, node, part and degree.
+    """(key, leader, node): leaders of each band beside those of its nodes that are in another part and not too far in size to be similar. ``members`` has key, node, part, degree and size.
 
     Each of ``leaders`` slots of a band gives the node with the most links of the last round, which is where a star of copies has its centre, and one
     of the smallest part, so that a band of one large part and a few others ends with the others.
     """
     slot = F.pmod(F.xxhash64("node", F.lit(leaders)), F.lit(leaders))
-    top = F.max_by("node", F.struct("degree", -F.col("node"))).alias("leader")
+    top = F.max_by(F.struct(F.col("node").alias("leader"), F.col("size").alias("leader_size")), F.struct("degree", -F.col("node"))).alias("top")
     by_slot = members.groupBy("key", "part", slot.alias("slot")).agg(top, F.max("degree").alias("degree"), F.count(F.lit(1)).alias("n"))
-    by_slot = materialize(by_slot, "slots")
+    by_slot = materialize(by_slot.select("key", "part", "slot", "top.*", "degree", "n"), "slots")
     parts = by_slot.groupBy("key", "part").agg(F.sum("n").alias("mass"))
-    one = F.struct("leader", F.col("part").alias("leader_part"))
+    one = F.struct("leader", F.col("part").alias("leader_part"), "leader_size")
     picked = (
         by_slot.join(parts, ["key", "part"])
         .groupBy("key", "slot")
@@ -217,8 +220,73 @@ def compared(members: DataFrame, leaders: int) -> DataFrame:
     )
     beside = materialize(picked.select("key", F.explode(F.array_distinct(F.array("linked", "small"))).alias("one")).select("key", "one.*"), "leaders")
     sizes = by_slot.groupBy("key").agg(F.sum("n").alias("n"))
-    met = salted_join(members.select("key", "node", "part"), beside, ["key"], hot_keys(sizes, ["key"]))
-    return met.filter("leader = node OR part <> leader_part").select("key", "leader", "node")
+    met = salted_join(members.select("key", "node", "part", "size"), beside, ["key"], hot_keys(sizes, ["key"]))
+    alike = F.least("size", "leader_size") >= SIMILAR * F.greatest("size", "leader_size") - 1e-6
+    return met.filter((F.col("leader") == F.col("node")) | (F.col("part") != F.col("leader_part")) & alike).select("key", "leader", "node")
+
+
+def common_shingles(some: list[list[int]]) -> list[int]:
+    """The shingles that several of the sets hold, those of the fewest first."""
+    values, times = np.unique(np.concatenate([np.array(s, np.int64) for s in some]), return_counts=True)
+    order = np.lexsort((values, times))
+    return values[order][times[order] > 1].tolist()
+
+
+def prefix(shingles: list[int], common: list[int]) -> list[int]:
+    """The first |set| - 0.8 |set| + 1 of the shingles, in an order that has those of ``common`` last, as they stand there.
+
+    Two sets at a similarity of 0.8 or more have 0.8 of either in common, so whatever the order is, the first common one is in both prefixes.
+    """
+    own, known = np.array(shingles, np.int64), np.array(common, np.int64)
+    rank = np.zeros(len(own), np.int64)
+    if len(known):
+        by_value = np.argsort(known)
+        at = by_value[np.minimum(np.searchsorted(known, own, sorter=by_value), len(known) - 1)]
+        rank = np.where(known[at] == own, at + 1, 0)
+    return own[np.lexsort((own, rank))][: len(own) - ceil(SIMILAR * len(own) - 1e-6) + 1].tolist()
+
+
+def parted(state: DataFrame, sets: DataFrame) -> DataFrame:
+    """``state`` (key, node, part, degree, size) with crowded bands cut into smaller groups; any two similar texts of a band that are in two parts share a group.
+
+    An exact prefix filter (``prefix``): the texts of a band that meet at a shingle of their prefixes are a group. The order of the shingles, which decides on speed alone, has
+    last what ``ORDER`` texts of the band have in common, as a frequent passage, so dissimilar texts hardly meet. Groups of the same texts are one;
+    a band whose groups have more than half of its pairs stays as it is.
+    """
+    masses = state.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
+    crowded = materialize(masses.filter(F.col("n") - F.col("most") > CROWDED).select("key", "n"), "crowded")
+    if crowded.isEmpty():
+        return state
+    inside = materialize(salted_join(state, crowded.select("key"), ["key"], hot_keys(crowded, ["key"])).select(*state.columns), "inside")
+    some = inside.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(ORDER)).alias("slot")).agg(F.min("node").alias("node"))
+    some = some.join(sets, "node").groupBy("key").agg(F.collect_list("shingles").alias("some"))  # of ORDER texts at most
+    common = batches(some, lambda key, some: {"key": key, "common": [common_shingles(s) for s in some]}, "key bigint, common array<bigint>")
+    common = materialize(common, "common")
+
+    def step(key, node, part, shingles, common):
+        found = [prefix(*both) for both in zip(shingles, common)]
+        times = [len(f) for f in found]
+        made = {c: np.repeat(np.array(v, np.int64), times) for c, v in (("key", key), ("node", node), ("part", part))}
+        return made | {"shingle": [x for f in found for x in f]}
+
+    met = salted_join(inside.select("key", "node", "part"), common, ["key"], hot_keys(crowded, ["key"])).join(sets, "node")
+    sent = materialize(batches(met.select("key", "node", "part", "shingles", "common"), step, "key bigint, node bigint, part bigint, shingle bigint"), "prefixes")
+    groups = sent.groupBy("key", "shingle").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("part").alias("a"),
+        F.max("part").alias("b"),
+        F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
+    )
+    groups = materialize(groups.filter("a <> b").groupBy("key", "n", "x", "y").agg(F.min("shingle").alias("shingle")), "groups")
+    pairs = groups.groupBy("key").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs"))
+    fewer = crowded.join(pairs, "key", "left").filter(2 * F.coalesce("pairs", F.lit(0.0)) <= F.col("n").cast("double") * F.col("n")).select("key")
+    fewer = materialize(fewer, "fewer")
+    groups = groups.join(fewer, "key").select("key", "shingle", "n")
+    cut = salted_join(sent.select("key", "shingle", "node"), groups.drop("n"), ["key", "shingle"], hot_keys(groups, ["key", "shingle"]))
+    cut = cut.select(F.xxhash64("key", "shingle").alias("key"), "node").join(inside.select("node", "part", "degree", "size").distinct(), "node")
+    whole = state.join(fewer, "key", "left_anti")
+    return materialize(whole.select(*state.columns).unionByName(cut.select(*state.columns)), "parted")
 
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -235,8 +303,8 @@ def similar_links(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame])
     """(lo, hi): links between similar texts. ``nodes`` is a stored frame with node and bands; ``texts_of`` gives (node, text) of some of its rows.
 
     In each band the texts are compared with a few leaders. A leader that was compared leaves the band, all others stay in it, linked or not, and are
-    compared with the next leaders, twice as many, but for pairs that links already join into one part. A band ends when what is left of it is one part. So of
-    any two texts that share a band, either the pair was compared or both are in one part.
+    compared with the next leaders, twice as many, but for pairs that links already join into one part. A band of many parts is cut into groups that dissimilar texts
+    hardly share (``parted``). A band ends when what is left of it is one part. So of any two similar texts that share a band, either the pair was compared or both are in one part.
     """
     members = nodes.select("node", F.explode(F.array_distinct("bands")).alias("key"))
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
@@ -250,6 +318,7 @@ def similar_links(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame])
         ),
         "shingles",
     )
+    members = materialize(members.join(sets.select("node", F.size("shingles").alias("size")), "node").select("key", "node", "size"), "bands")
     joined, degrees, leaders = None, None, 1
     while rows := members.count():
         if joined is None:
@@ -257,9 +326,9 @@ def similar_links(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame])
         else:
             moved = joined.select(F.col("record_seq").alias("node"), F.col("entity_id").alias("part"))
             state = members.join(moved, "node", "left").join(degrees, "node", "left")
-            state = state.select("key", "node", F.coalesce("part", "node").alias("part"), F.coalesce("degree", F.lit(0)).alias("degree"))
+            state = state.select("key", "node", F.coalesce("part", "node").alias("part"), F.coalesce("degree", F.lit(0)).alias("degree"), "size")
             several = state.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a <> b").select("key")
-            state = materialize(state.join(several, "key", "left_semi"), "parts")
+            state = parted(materialize(state.join(several, "key", "left_semi"), "parts"), sets)
         leaders = max(1, min(leaders, max(LEADERS, ROUND // rows)))
         beside = materialize(compared(state, leaders), "beside")
         pairs = materialize(beside.filter("leader <> node").select("leader", "node").distinct(), "pairs")
@@ -269,7 +338,7 @@ def similar_links(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame])
         joined = components(edges)
         degrees = new.select(F.explode(F.array("lo", "hi")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
         done = beside.filter("leader = node").select("key", "node").distinct()
-        members = materialize(state.select("key", "node").join(done, ["key", "node"], "left_anti"), "bands")
+        members = materialize(state.select("key", "node", "size").join(done, ["key", "node"], "left_anti"), "bands")
         leaders *= 2
     if joined is None:
         return nodes.select(F.col("node").alias("lo"), F.col("node").alias("hi")).limit(0)

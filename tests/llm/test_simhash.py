@@ -211,6 +211,29 @@ def test_a_star_of_similar_texts(spark, n):
     assert kept == {0, 10_000}
 
 
+def test_texts_with_a_common_passage_are_not_all_compared(spark, monkeypatch, tmp_path):
+    """One band of dissimilar texts with a long passage in common: all pairs at 0.8 or more are found without comparing all with all."""
+    rng = random.Random(13)
+    vocabulary = [f"word{i}" for i in range(3000)]
+    passage = rng.choices(vocabulary, k=60)
+    texts = [passage[: rng.randrange(50, 61)] + rng.choices(vocabulary, k=rng.randrange(20, 50)) for _ in range(160)]
+    texts += [edited(rng, texts[n], vocabulary, 1 + n % 3) for n in range(0, 160, 4)]
+    texts = [" ".join(t) for t in texts]
+    near = {(4 * n, 160 + n) for n in range(40) if wide_similarity(texts[4 * n], texts[160 + n]) >= 0.8}
+    spark.createDataFrame(list(enumerate(texts)), "node bigint, text string").selectExpr("*", "array(7L, 7L) AS bands").write.parquet(str(tmp_path / "nodes"))
+    nodes, compared = spark.read.parquet(str(tmp_path / "nodes")), simhash.compared
+    counts = []
+
+    def counted(members, leaders):
+        counts.append(compared(members, leaders).count())
+        return compared(members, leaders)
+
+    monkeypatch.setattr(simhash, "compared", counted)
+    got = {(r.lo, r.hi) for r in simhash.similar_links(nodes.select("node", "text", "bands"), lambda wanted: wanted.select("node", "text")).collect()}
+    assert got == near and 10 < len(near) < 40
+    assert sum(counts) < 5 * len(texts)
+
+
 def test_bands_hold_whole_sets():
     assert simhash.band_keys(simhash.shingle_set(None)) == []
     words = [f"w{i % 5000}" for i in range(70_000)]
