@@ -7,11 +7,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from kinfold.operators.outcomes import outcome_union
 from kinfold.plans.mart import EntityMart
 from kinfold.plans.related import RelatedStore
 from kinfold.schemas import MART_TABLES
 from kinfold.session import materialize, temporary
 from kinfold.streaming.marts import start_mart_sync
+from test_mart import doc, fetched
 
 
 def record(key, **attributes):
@@ -103,3 +105,32 @@ def test_a_due_value_settled_with_all_others_is_not_stored_again(spark, store):
     assert store.due().isEmpty() and store.tables["due"].versions(now, since=now).isEmpty()
     store.add(body(spark, [record(9, PHONE_NUMBER="5")]), "b")
     assert store.due().count() == 1
+
+
+def test_a_large_batch_enters_the_mart_in_parts(spark, folder):
+    """The parts of a batch add up to one pass over all of it, also where a record or the end of a relation is in another part."""
+    batches = [
+        {1: doc(1, ["a", "b"], [(2, "+F"), (4, "+F")]), 2: doc(2, ["c"], [(1, "+B")]), 3: doc(3, ["d"]), 4: doc(4, ["e"], [(1, "+B")])},
+        {1: doc(1, ["a"], [(3, "+G")]), 2: None, 3: doc(3, ["d", "b", "c"], [(1, "+H")]), 4: doc(4, ["e"])},
+    ]
+    asked, tables = [], {}
+    for name, size in (("whole", 250_000), ("parts", 2)):
+        mart = EntityMart(spark, f"{folder}/{name}", buckets=1)
+        mart.create()
+        for batch in batches:
+            documents = fetched(spark, *batch.items())
+
+            def fetch(ids):
+                asked.append((name, sorted(r.entityId for r in ids.collect())))
+                return documents.join(ids, "entityId", "left_semi")
+
+            ids = documents.select("entityId", F.lit("ADD").alias("op"), F.lit("r").alias("runId"), *[F.lit("x").alias(c) for c in ("dataSource", "recordId")])
+            outcome_union(affected=ids).write.mode("append").parquet(f"{folder}/feed-{name}")
+            start_mart_sync(
+                spark, f"{folder}/feed-{name}", mart, fetch, f"{folder}/cp-{name}", whole_relations=True, pass_entities=size
+            ).awaitTermination()
+        tables[name] = {t: sorted(map(str, mart.read(t).drop("refresh_seq").collect())) for t in MART_TABLES}
+    assert [ids for name, ids in asked if name == "whole"] == [[1, 2, 3, 4]] * 2
+    parts = [ids for name, ids in asked if name == "parts"]
+    assert len(parts) > 2 and sorted(sum(parts, [])) == sorted([1, 2, 3, 4] * 2)
+    assert tables["parts"] == tables["whole"] and len(tables["whole"]["entity_record"]) == 5 and len(tables["whole"]["relationship"]) == 1
